@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
 from ._common import col, map_rows, read
-from .words import WordHashes, mix
+from .words import WEIGHTS, mix, word_hashes
 
 #: Care positions (1) of the seeds; weight 7 in spans of 10 and 11 words.
 MASKS = ("1110110101", "1101010111", "11010011101")
@@ -36,10 +36,6 @@ INDEX_WORDS = 2_000_000
 _FILTER_BITS = 22
 
 
-def clean(word: bytes) -> bytes:
-    return word.strip(b".,;:!?\"'()[]{}") or word
-
-
 def masked(words: np.ndarray, mask: str) -> np.ndarray:
     """Hash of every window under the mask."""
     n = len(words) - len(mask) + 1
@@ -48,16 +44,15 @@ def masked(words: np.ndarray, mask: str) -> np.ndarray:
     h = np.full(n, np.uint64(len(mask)))
     for i, c in enumerate(mask):
         if c == "1":
-            h = mix(h * np.uint64(0x9E3779B97F4A7C15) + words[i : i + n])
-    return h
+            h += words[i : i + n] * WEIGHTS[i]
+    return mix(h)
 
 
 class Index:
     """Benchmark words and, per mask, sorted window hashes with their item and place."""
 
     def __init__(self, items: list[tuple[int | None, str | None]]):
-        hashes = WordHashes(clean)
-        self.items = [(i, hashes.of(t)) for i, t in items]
+        self.items = list(zip([i for i, _ in items], word_hashes([t for _, t in items], strip=True)))
         spans = min(map(len, MASKS))
         short = sorted({len(w) for _, w in self.items if 0 < len(w) < max(map(len, MASKS))})
         self.masks = [*MASKS, *("1" * n for n in short if n < spans or n < max(map(len, MASKS)))]
@@ -137,10 +132,10 @@ def overlaps(documents: DataFrame, benchmark: DataFrame, text: str = "text", id_
         shared = spark.sparkContext.broadcast(block)
 
         def make(shared=shared):
-            index, hashes = _index(shared), _hashes()
+            index = _index(shared)
 
             def f(ids, texts):
-                rows = [(i, index.items[k][0], s, n, m, len(index.items[k][1])) for i, t in zip(ids, texts) for k, s, n, m in index.overlaps(hashes.of(t))]
+                rows = [(i, index.items[k][0], s, n, m, len(index.items[k][1])) for i, w in zip(ids, word_hashes(texts, strip=True)) for k, s, n, m in index.overlaps(w)]
                 return list(zip(*rows)) if rows else None
 
             return f
@@ -164,10 +159,6 @@ def _index(shared) -> Index:
     return _CACHE[key]
 
 
-def _hashes() -> WordHashes:
-    return _CACHE.setdefault("words", WordHashes(clean))
-
-
 def clean_documents(documents: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The rows that overlap no benchmark item, with all their columns; one map pass a block, no shuffle."""
     spark = documents.sparkSession
@@ -180,10 +171,12 @@ def clean_documents(documents: DataFrame, benchmark: DataFrame, text: str = "tex
         def run(batches, shared=shared):
             import pyarrow as pa
 
-            index, hashes = _index(shared), _hashes()
-            for b in batches:
-                keep = [next(index.overlaps(hashes.of(t)), None) is None for t in b.column(at).to_pylist()]
-                yield b.filter(pa.array(keep, pa.bool_()))
+            index = _index(shared)
+            for whole in batches:
+                for k in range(0, whole.num_rows, 512):
+                    b = whole.slice(k, 512)
+                    keep = [next(index.overlaps(w), None) is None for w in word_hashes(b.column(at).to_pylist(), strip=True)]
+                    yield b.filter(pa.array(keep, pa.bool_()))
 
         out = out.mapInArrow(run, schema)
     return out

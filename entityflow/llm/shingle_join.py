@@ -18,8 +18,8 @@ Groups of many near copies would make the square of their size in pairs, though
 their members are one component after few of them. So links are sought in
 rounds: in a round each class meets one centre, the class that stands for its
 posting with the least seeded hash; pairs that verify join components; postings
-within one component are done. When few pairs of different components are left
-(or after ``MAX_ROUNDS``) all of those are verified. Only pairs inside one component
+within one component are done. After ``ROUNDS`` of them all remaining pairs of
+different components are verified. Only pairs inside one component
 stay unverified, so components are exact: no link between components is lost.
 
 Edge cases: null and empty texts have an empty set and link with nothing; fewer
@@ -39,25 +39,18 @@ from pyspark.sql import functions as F
 from entityflow.operators.components import connected_components
 
 from ._common import col, drop, map_rows, read, written
-from .words import WordHashes, shingles
+from .words import shingles, word_hashes
 
 SKETCH_BITS, SKETCH_BLOCK = 20, 1 << 14
 #: Postings whose bucket count is higher are dealt to several tasks.
 HOT = 2000
-#: Rounds with centres, and the cross pairs a posting that end them early.
-MAX_ROUNDS, FEW = 6, 4
+#: Rounds with centres before the pairs that are left.
+ROUNDS = 2
 #: Signatures a task remembers to emit equal sets once.
 SEEN = 200_000
 BLOOM_BITS = 1 << 27
 
 
-def _words() -> WordHashes:
-    return _CACHE.setdefault("words", WordHashes())
-
-
-_CACHE: dict = {}
-
-
 def _signature(sets: np.ndarray) -> tuple[int, int]:
     d = xxhash.xxh3_128_intdigest(sets.tobytes())
     return (d >> 65), (d & ((1 << 63) - 1))
@@ -66,10 +59,10 @@ def _signature(sets: np.ndarray) -> tuple[int, int]:
 def sketch(documents: DataFrame, k: int, text: str, bits: int = SKETCH_BITS) -> np.ndarray:
     """Counts of all documents' shingles in 2**bits hashed buckets: a table of fixed size, summed by blocks."""
     def make():
-        words, total = _words(), np.zeros(1 << bits, np.int64)
+        total = np.zeros(1 << bits, np.int64)
 
         def f(texts):
-            found = [shingles(words.of(t), k) for t in texts if t]
+            found = [shingles(w, k) for w in word_hashes(texts)]
             if found:
                 total[:] += np.bincount((np.concatenate(found) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
             return None
@@ -118,34 +111,32 @@ def bands(sets: np.ndarray) -> int:
 
 
 def classes(documents: DataFrame, k: int, text: str, id_col: str) -> DataFrame:
-    """(id, n, s1, s2) per row: size of the set and its 126-bit signature (null for empty sets)."""
+    """(id, n, s1, s2, bands) per row: size of the set, its 126-bit signature (null for empty sets) and band counts."""
     def make():
-        words = _words()
-
         def f(ids, texts):
             rows = []
-            for i, t in zip(ids, texts):
-                s = shingles(words.of(t), k)
-                rows.append((i, len(s), *(_signature(s) if len(s) else (None, None))))
+            for i, w in zip(ids, word_hashes(texts)):
+                s = shingles(w, k)
+                rows.append((i, len(s), *((*_signature(s), bands(s)) if len(s) else (None, None, None))))
             return list(zip(*rows))
 
         return f
 
-    return map_rows(documents, [col(id_col).cast("long"), col(text)], make, "id long, n long, s1 long, s2 long")
+    return map_rows(documents, [col(id_col).cast("long"), col(text)], make, "id long, n long, s1 long, s2 long, bands long")
 
 
 def postings(documents: DataFrame, k: int, t: int, shared, text: str, id_col: str) -> DataFrame:
-    """(key, salt, s1, s2, n, pos, bands): the prefix of every set; equal sets of a task once."""
+    """(key, salt, s1, place): the prefix of every set, place = n * 2^32 + position; equal sets of a task once."""
     def make():
-        words, counts = _words(), shared.value
+        counts = shared.value
         shift = np.uint64(64 - int(len(counts)).bit_length() + 1)
         seen: set = set()
-        schema = ("key", "salt", "s1", "s2", "n", "pos", "bands")
+        schema = ("key", "salt", "s1", "place")
 
         def f(ids, texts):
             out: dict[str, list] = {c: [] for c in schema}
-            for i, x in zip(ids, texts):
-                s = shingles(words.of(x), k) if i is not None else ()
+            for i, w in zip(ids, word_hashes(texts)):
+                s = shingles(w, k) if i is not None else ()
                 n = len(s)
                 if not n:
                     continue
@@ -167,14 +158,13 @@ def postings(documents: DataFrame, k: int, t: int, shared, text: str, id_col: st
                 out["key"].append(key.view(np.int64))
                 # a key that may be hot is dealt by its holders' signatures
                 out["salt"].append(np.where(c > HOT, sig[0] % np.maximum(1, c // HOT), -1))
-                for name, v in (("s1", sig[0]), ("s2", sig[1]), ("n", n), ("bands", bands(s))):
-                    out[name].append(np.full(len(key), v, np.int64))
-                out["pos"].append(np.arange(len(key)))
+                out["s1"].append(np.full(len(key), sig[0], np.int64))
+                out["place"].append((n << 32) + np.arange(len(key)))
             return [np.concatenate(v) for v in out.values()] if out["key"] else None
 
         return f
 
-    return map_rows(documents, [col(id_col).cast("long"), col(text)], make, "key long, salt long, s1 long, s2 long, n long, pos long, bands long")
+    return map_rows(documents, [col(id_col).cast("long"), col(text)], make, "key long, salt long, s1 long, place long")
 
 
 def _possible(t: int):
@@ -200,7 +190,9 @@ def shingle_sets(documents: DataFrame, k: int, wanted: DataFrame, text: str, id_
     shared = spark.sparkContext.broadcast(bytes(bloom))
 
     def make():
-        words, table = _words(), np.frombuffer(shared.value, np.uint8)
+        import pyarrow as pa
+
+        table = np.frombuffer(shared.value, np.uint8)
 
         def f(ids, texts):
             ids_ = np.array([-1 if i is None else i for i in ids], np.int64)
@@ -208,8 +200,10 @@ def shingle_sets(documents: DataFrame, k: int, wanted: DataFrame, text: str, id_
             for h in _places(ids_):
                 ok &= (table[h >> 3] >> (h & 7)) & 1 == 1
             keep = [j for j in np.flatnonzero(ok).tolist() if ids[j] is not None]
-            sets = [shingles(words.of(texts[j]), k).view(np.int64) for j in keep]
-            return [[ids[j] for j in keep], [s.tolist() for s in sets]] if keep else None
+            if not keep:
+                return None
+            sets = [shingles(w, k).view(np.int64) for w in word_hashes([texts[j] for j in keep])]
+            return [[ids[j] for j in keep], pa.ListArray.from_arrays(np.append(0, np.cumsum([len(s) for s in sets])).astype(np.int32), np.concatenate(sets))]
 
         return f
 
@@ -255,6 +249,22 @@ def _bloom_or(batches):
         yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([v.tobytes() for v in held.values()], pa.binary())], names=["part", "bits"])
 
 
+def prefixes(post: DataFrame) -> DataFrame:
+    """(id, n, ps): a class's shared prefix shingles with their positions, in order."""
+    return post.groupBy("id").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("pos", "key"))).alias("ps"))
+
+
+def promising(pairs: DataFrame, info: DataFrame, t: int) -> DataFrame:
+    """Pairs whose shared prefix shingles and what may follow the last of them reach the overlap that their sizes ask for."""
+    side = lambda c: info.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("ps").alias(f"p{c}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    keys = both.withColumns({"ka": F.transform("pa", lambda p: p["key"]), "kb": F.transform("pb", lambda p: p["key"])})
+    met = keys.withColumn("met", F.array_intersect("ka", "kb")).withColumn("last", F.element_at("met", -1))
+    after = lambda c: F.expr(f"n{c} - 1 - element_at(p{c}, cast(array_position(k{c}, last) as int)).pos")
+    need = F.expr(f"({t} * (na + nb) + {99 + t}) div {100 + t}")
+    return met.where(F.size("met") + F.least(after("a"), after("b")) >= need).select("a", "b")
+
+
 def linked(pairs: DataFrame, sets: DataFrame, t: int) -> DataFrame:
     """The pairs (a, b) that reach the threshold, each verified once on the full sets."""
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
@@ -279,21 +289,23 @@ def components(documents: DataFrame, k: int = 3, t: int = 90, text: str = "text"
     """(id, n, component) per row."""
     spark = documents.sparkSession
     rows = written(classes(documents, k, text, id_col), "join-classes")
-    class_of = rows.where("id is not null and s1 is not null").groupBy("s1", "s2").agg(F.min("id").alias("rep"))
+    class_of = rows.where("id is not null and s1 is not null").groupBy("s1", "s2").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"))
 
     # Postings whose key several classes hold. Hot keys are dealt to several tasks and kept as they are.
     shared = spark.sparkContext.broadcast(sketch(documents, k, text))
     key = Window.partitionBy("key", "salt")
-    more = (F.min("s1").over(key) != F.max("s1").over(key)) | (F.min("s2").over(key) != F.max("s2").over(key))
-    kept = postings(documents, k, t, shared, text, id_col).withColumn("more", more | (F.col("salt") >= 0)).where("more")
-    post = written(kept.join(class_of, ["s1", "s2"]).select("key", F.col("rep").alias("id"), "n", "pos", "bands").distinct(), "join-postings")
-    post = _with_partner(post, t)
-    sets = written(shingle_sets(documents, k, post.select("id").distinct(), text, id_col), "join-sets")
+    more = (F.min("s1").over(key) != F.max("s1").over(key)) | (F.col("salt") >= 0)
+    kept = postings(documents, k, t, shared, text, id_col).withColumn("more", more).where("more")
+    known = kept.join(class_of, "s1").select("key", F.col("rep").alias("id"), F.shiftright("place", 32).alias("n"), F.expr("place & 4294967295").alias("pos"), "bands")
+    shared_post = written(known.distinct(), "join-postings")
+    post = _with_partner(shared_post, t)
+    drop(shared_post)
+    info = written(prefixes(post), "join-prefixes")
+    sets, made_sets = None, []
 
-    n_post = post.count()
     labels = None
     tested = None
-    for number in range(MAX_ROUNDS + 1):
+    for number in range(ROUNDS + 1):
         comp = F.col("id") if labels is None else F.coalesce("component", "id")
         at = post if labels is None else post.join(labels.withColumnRenamed("node", "id"), "id", "left")
         at = at.select("key", "id", "n", "pos", "bands", comp.alias("comp"))
@@ -304,11 +316,18 @@ def components(documents: DataFrame, k: int = 3, t: int = 90, text: str = "text"
             drop(open_keys)
             break
         live = written(at.join(open_keys.select("key"), "key", "left_semi"), "join-live")
-        last = cross <= FEW * n_post or number == MAX_ROUNDS
+        last = number == ROUNDS
         pairs = _candidates(live, live, t, F.col("x.comp") < F.col("y.comp")) if last else _star_pairs(live, t, number)
         if tested is not None:  # each pair is verified once
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, "join-pairs")
+        pairs = written(promising(pairs, info, t), "join-pairs")
+        fresh = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        if sets is not None:
+            fresh = fresh.join(sets.select("id"), "id", "left_anti")
+        fresh = written(fresh, "join-ids")
+        new = written(shingle_sets(documents, k, fresh, text, id_col), "join-sets")
+        sets = new if sets is None else sets.unionByName(new)
+        made_sets.append(new)
         links = written(linked(pairs, sets, t), "join-links")
         tested = pairs if tested is None else tested.unionByName(pairs)
         ends = live.select("id", "comp").distinct()
@@ -328,7 +347,7 @@ def components(documents: DataFrame, k: int = 3, t: int = 90, text: str = "text"
         out = out.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left")
     else:
         out = out.withColumn("component", F.lit(None).cast("long"))
-    drop(sets)
+    drop(post, info, *made_sets)
     # an empty set is a component of its own
     return out.select("id", "n", F.coalesce("component", "rep", "id").alias("component"))
 
