@@ -34,7 +34,8 @@ def consolidate(relations: DataFrame) -> DataFrame:
     rows = relations.select(*key, F.coalesce("strength", F.lit(1.0)).alias("strength"), F.struct("item_id", "rel_no").alias("o"), F.array("description").alias("description"), F.array("relationship_type").alias("relationTag"), F.coalesce(perms, none).alias("permissions"), F.coalesce("sources", none).alias("sources"))
     keys = ["src_type", "src_name", "dst_type", "dst_name", "type"]
     top = rows.groupBy(*keys).agg(F.max("strength").alias("strength"))
-    lists = [F.transform(F.col(f), lambda v, f=f: F.struct(F.lit(f).alias("f"), v.alias("v"))) for f in ("description", "relationTag", "permissions", "sources")]
+    tagged = lambda f: F.transform(F.col(f), lambda v: F.struct(F.lit(f).alias("f"), v.alias("v")))
+    lists = [tagged(f) for f in ("description", "relationTag", "permissions", "sources")]
     long = rows.select(*keys, "o", F.posexplode(F.concat(*lists)).alias("at", "x")).where("x.v <> ''")
     once = long.groupBy(*keys, "x.f", "x.v").agg(F.min(F.struct("o", "at")).alias("o"))
     ordered = lambda f: F.transform(F.sort_array(F.collect_list(F.when(F.col("f") == f, F.struct("o", "v")))), lambda x: x["v"]).alias(f)

@@ -130,7 +130,7 @@ def mail_chunks_join(spark, d):
     return c.select("conv_id", F.sha2(F.array_join(F.transform("chunks", lambda x: x["text"]), " "), 256).alias("digest"), F.size("chunks").cast("long").alias("chunks"))
 
 
-@query("SELECT event_id, epoch_ms(ts) // 1000 AS from_seconds, epoch_ms(ts) // 1000 AS from_millis, epoch_ms(ts) // 1000 AS from_text FROM events")
+@query("SELECT event_id, epoch_ms(date_trunc('second', ts)) // 1000 AS from_seconds, epoch_ms(date_trunc('second', ts)) // 1000 AS from_millis, epoch_ms(date_trunc('second', ts)) // 1000 AS from_text FROM events")
 def timestamp_units(spark, d):
     e = _t(spark, d, "events").withColumn("s", F.unix_timestamp("ts"))
     back = lambda c: F.unix_timestamp(text.timestamp(c))
