@@ -41,7 +41,7 @@ MEMO = 400_000
 def _features(word: str) -> tuple[int, ...]:
     """Hashes of a word and its prefixes."""
     kinds = [("w", word), *((f"p{n}", word[:n]) for n in PREFIXES if len(word) > n)]
-    return tuple(xxhash.xxh3_64_intdigest(f"{k} {s}") >> 1 for k, s in kinds)
+    return tuple(xxhash.xxh32_intdigest(f"{k} {s}") for k, s in kinds)
 
 
 class _Memo(dict):
@@ -111,21 +111,27 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, n_features: int, n_g
     return w, np.cumsum(np.concatenate([[cut[0]], np.exp(cut[1:])]))
 
 
-def fit(texts: list[set[int]], toxic: np.ndarray) -> Model:
-    """Feature choice, first fit, grades of the toxic texts, ordinal fit."""
+def fit(texts: list[np.ndarray], toxic: np.ndarray) -> Model:
+    """Feature choice, first fit, grades of the toxic texts, ordinal fit. texts: distinct features of each."""
     toxic = np.asarray(toxic, bool)
     if not len(texts) or toxic.all() or not toxic.any():
         return Model({}, [50.0] * (GRADES - 1))
-    lens = [len(t) for t in texts]
-    flat = np.fromiter((f for t in texts for f in sorted(t)), np.int64, sum(lens))
-    of = np.repeat(np.arange(len(texts)), lens)
-    names, place = np.unique(flat, return_inverse=True)
-    all_rows = np.bincount(place, minlength=len(names))
-    hits = np.bincount(place, weights=toxic[of], minlength=len(names))
     n, k = len(texts), int(toxic.sum())
+    least = min(MIN_ROWS, max(2, k // 2))
+    names, all_rows = np.unique(np.concatenate(texts), return_counts=True)
+    names, all_rows = names[all_rows >= least], all_rows[all_rows >= least]
+    if not len(names):
+        return Model({}, [50.0] * (GRADES - 1))
+    known = []
+    for t in texts:  # text by text, so only what is kept is held twice
+        at = np.minimum(np.searchsorted(names, t), len(names) - 1)
+        known.append(at[names[at] == t].astype(np.int32))
+    of = np.repeat(np.arange(n), [len(x) for x in known])
+    place = np.concatenate(known)
+    hits = np.bincount(place, weights=toxic[of], minlength=len(names))
     share = all_rows / n
     z = (hits / k - (all_rows - hits) / (n - k)) / np.sqrt(share * (1 - share) * (1 / k + 1 / (n - k)) + 1e-12)
-    chosen = np.flatnonzero((all_rows >= min(MIN_ROWS, max(2, k // 2))) & (np.abs(z) >= MIN_Z))
+    chosen = np.flatnonzero(np.abs(z) >= MIN_Z)
     chosen = chosen[np.argsort(-np.abs(z[chosen]), kind="stable")][:MAX_FEATURES]
     index = np.full(len(names), -1)
     index[chosen] = np.arange(len(chosen))
@@ -148,11 +154,16 @@ def train(documents: DataFrame, labels: DataFrame, text: str = "text", id_col: s
 
     def make():
         memo = _Memo()
-        return lambda ids, ys, texts: [ids, ys, [sorted(text_features(t, memo)) for t in texts]]
 
-    got = map_rows(rows, [F.col("i").cast("long"), (F.col("y") > 0), F.col("t")], make, "i long, y boolean, f array<long>")
+        def f(ids, ys, texts):
+            found = [text_features(t, memo) for t in texts]
+            return [ids, ys, [np.fromiter(x, np.uint32, len(x)).tobytes() for x in found]]
+
+        return f
+
+    got = map_rows(rows, [F.col("i").cast("long"), (F.col("y") > 0), F.col("t")], make, "i long, y boolean, f binary")
     got = got.toPandas().sort_values("i", kind="stable").drop_duplicates("i")
-    return fit([set(f) for f in got["f"]], got["y"].to_numpy(bool))
+    return fit([np.frombuffer(f, np.uint32) for f in got["f"]], got["y"].to_numpy(bool))
 
 
 def score(documents: DataFrame, model: Model, text: str = "text", id_col: str = "doc_id") -> DataFrame:
