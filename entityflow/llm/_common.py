@@ -24,6 +24,26 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def release() -> None:
+    """Give memory that a finished task freed back to the system: worker processes are reused, so it would add up."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def map_batches(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """mapInArrow that releases memory at the end of each task."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release()
+
+    return df.mapInArrow(task, schema)
+
+
 def map_rows(df: DataFrame, columns: list[Column], make: Callable[[], Callable], schema: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Arrow map without a shuffle. ``make()`` runs once per task and returns f(*lists) -> list of output columns."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -42,13 +62,19 @@ def map_rows(df: DataFrame, columns: list[Column], make: Callable[[], Callable],
         if (end := getattr(f, "end", None)) is not None and (cols := end()) is not None:
             yield _batch(cols, out)
 
-    return df.select(*[c.alias(f"c{i}") for i, c in enumerate(columns)]).mapInArrow(run, schema)
+    return map_batches(df.select(*[c.alias(f"c{i}") for i, c in enumerate(columns)]), run, schema)
 
 
 def _batch(cols, out: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t.type) for c, t in zip(cols, out)], schema=out)
 
 
+def map_whole(df: DataFrame, run: Callable) -> DataFrame:
+    """map_batches over all columns with the schema kept, whatever the columns' names are (dots, repeats)."""
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return map_batches(plain, run, plain.schema).toDF(*df.columns)
+
+
 def scratch(spark: SparkSession) -> str:
     """The folder that driver and executors share; a temporary one only where the session names none (tests)."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")

@@ -37,7 +37,7 @@ from ._common import RaggedMemo, col, map_rows, read
 #: Symbols of a leaf, tokens of the first window at a join, characters from which a text is spread over tasks.
 LEAF, WINDOW, SPREAD = 24, 4, 1 << 20
 #: Memo entries (distinct words) a worker keeps.
-MEMO = 400_000
+MEMO = 250_000
 _NONE = 1 << 40
 
 

@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-from ._common import col, map_rows, read
+from ._common import col, map_rows, map_whole, read
 from .words import WEIGHTS, mix, word_hashes
 
 #: Care positions (1) of the seeds; weight 7 in spans of 10 and 11 words.
@@ -163,7 +163,6 @@ def clean_documents(documents: DataFrame, benchmark: DataFrame, text: str = "tex
     """The rows that overlap no benchmark item, with all their columns; one map pass a block, no shuffle."""
     spark = documents.sparkSession
     out = documents
-    schema = documents.schema
     at = documents.columns.index(text)
     for block in _blocks(benchmark, "item_id", "text", INDEX_WORDS):
         shared = spark.sparkContext.broadcast(block)
@@ -178,7 +177,7 @@ def clean_documents(documents: DataFrame, benchmark: DataFrame, text: str = "tex
                     keep = [next(index.overlaps(w), None) is None for w in word_hashes(b.column(at).to_pylist(), strip=True)]
                     yield b.filter(pa.array(keep, pa.bool_()))
 
-        out = out.mapInArrow(run, schema)
+        out = map_whole(out, run)
     return out
 
 

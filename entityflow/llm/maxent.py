@@ -27,40 +27,31 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import col, map_rows, read, written
+from ._common import col, map_batches, map_rows, read, written
+from .words import word_hashes
 
 WORDS, CLASSES, HEAD = 1024, 32, 1 << 22
 BUCKETS, WORD_ROWS = 1 << 13, 1 << 13
 ROUNDS, STRIDE, RATE = 2, 8, 0.1
-#: Distinct words a worker remembers; tokens of a numpy batch.
-MEMO, BATCH = 400_000, 1 << 14
+#: Tokens of a numpy batch.
+BATCH = 1 << 14
 PER = WORDS // CLASSES
-END = int(np.uint64(xxhash.xxh3_64_intdigest(b"\0end")).view(np.int64))
+END = np.uint64(xxhash.xxh3_64_intdigest(b"\0end"))
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return text.encode().lower().split() if text else []
-
-
 def held_out(doc_id) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % 10 == 0
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
 def token_counts(documents: DataFrame, text: str, id_col: str) -> DataFrame:
     """(h, c) of all training tokens, counted in the task before the shuffle."""
     def make():
-        hashes: _Hashes = _Hashes()
         held: list[np.ndarray] = []
         state = [0, 0]
 
@@ -68,20 +59,16 @@ def token_counts(documents: DataFrame, text: str, id_col: str) -> DataFrame:
             if not held and not state[1]:
                 return None
             h, c = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint64), return_counts=True)
-            h, c = np.append(h.view(np.int64), END), np.append(c, state[1])
+            h, c = np.append(h, END).view(np.int64), np.append(c, state[1])
             held.clear()
             state[:] = [0, 0]
-            return [h.tolist(), c.tolist()]
+            return [pa.array(h, pa.int64()), pa.array(c, pa.int64())]
 
         def f(ids, texts):
-            if len(hashes) > MEMO:
-                hashes.clear()
-            for i, t in zip(ids, texts):
-                if not held_out(i):
-                    ws = words_of(t)
-                    held.append(np.fromiter(map(hashes.__getitem__, ws), np.uint64, len(ws)))
-                    state[0] += len(ws)
-                    state[1] += 1
+            found = word_hashes([t for i, t in zip(ids, texts) if not held_out(i)])
+            held.extend(found)
+            state[0] += sum(map(len, found))
+            state[1] += len(found)
             return flush() if state[0] > 4_000_000 else None
 
         f.end = flush
@@ -95,6 +82,7 @@ class Space:
     """Head counts, model words, biases: what the corpus fixes before training."""
 
     def __init__(self, h: np.ndarray, c: np.ndarray, total: int, distinct: int):
+        h = h.view(np.uint64)
         order = np.argsort(h)
         self.h, self.c, self.total, self.distinct = h[order], c[order], total, distinct
         self.z = total + 0.1 * (distinct + 1)
@@ -110,50 +98,21 @@ class Space:
             self.class_bias = np.maximum(np.log(mass), -1e9).astype(np.float32)
             self.word_bias = np.maximum(np.log(by_class / np.maximum(by_class.sum(axis=1, keepdims=True), 1e-300)), -1e9).astype(np.float32)
 
+    def lookup(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Head count (-1: not in the head), model word (-1: none) and history code of each token."""
+        if not len(self.h):
+            c, sym = np.full(len(h), -1), np.full(len(h), -1, np.int32)
+        else:
+            at = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
+            hit = self.h[at] == h
+            c, sym = np.where(hit, self.c[at], -1), np.where(hit, self.sym[at], -1)
+        return c, sym, np.where(sym >= 0, sym, WORDS + (h >> np.uint64(54)).astype(np.int64))
 
-class Words(dict):
-    """word -> local number; arrays by local number hold hash, head count (-1: not in the head), model word (-1: none), history code."""
 
-    def __init__(self, space: Space):
-        super().__init__()
-        self.space = space
-        self._reset()
-
-    def _reset(self):
-        self.clear()
-        self.h, self.c = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.sym, self.ctx = np.zeros(0, np.int32), np.zeros(0, np.int64)
-        self.pending: list[bytes] = []
-        self.n = 0
-        self._learn(np.array([END]))
-
-    def _learn(self, h: np.ndarray) -> None:
-        s = self.space
-        at = np.minimum(np.searchsorted(s.h, h), max(len(s.h) - 1, 0))
-        hit = s.h[at] == h if len(s.h) else np.zeros(len(h), bool)
-        c, sym = np.where(hit, s.c[at] if len(s.h) else 0, -1), np.where(hit, s.sym[at] if len(s.h) else -1, -1)
-        ctx = np.where(sym >= 0, sym, WORDS + (h.view(np.uint64) >> np.uint64(54)).astype(np.int64))
-        self.h, self.c, self.sym, self.ctx = np.append(self.h, h), np.append(self.c, c), np.append(self.sym, sym), np.append(self.ctx, ctx)
-        self.n = len(self.h)
-
-    def __missing__(self, word: bytes) -> int:
-        self.pending.append(word)
-        i = self[word] = self.n + len(self.pending) - 1
-        return i
-
-    def numbers(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        """Local numbers of all tokens with an end behind each text, and where texts end. 0 is the end token."""
-        if self.n > MEMO:
-            self._reset()
-        rows = []
-        for ws in texts:
-            r = np.fromiter(map(self.__getitem__, ws), np.int64, len(ws))
-            rows.append(np.append(r, 0))
-        if self.pending:
-            new = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in self.pending), np.uint64, len(self.pending)).view(np.int64)
-            self.pending = []
-            self._learn(new)
-        return np.concatenate(rows), np.cumsum([len(r) for r in rows])
+def tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all tokens with an end behind each text, and where texts end."""
+    rows = [np.append(h, END) for h in word_hashes(texts)]
+    return np.concatenate(rows), np.cumsum([len(r) for r in rows])
 
 
 def features(ctx: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -239,7 +198,6 @@ def gradient_round(documents: DataFrame, shared, number: int, text: str, id_col:
     """(table, block, tokens, change as float32 bytes), summed over the cluster and weighted by tokens."""
     def make():
         model, start = shared.value
-        words = Words(model.space)
         mine = Model(model.space)
         mine.wc, mine.ww = model.wc.copy(), model.ww.copy()
         ac, aw = np.zeros_like(mine.wc), np.zeros_like(mine.ww)
@@ -255,12 +213,13 @@ def gradient_round(documents: DataFrame, shared, number: int, text: str, id_col:
             seen[1] += len(sym)
 
         def f(ids, texts):
-            keep = [words_of(t) for i, t in zip(ids, texts) if not held_out(i)]
+            keep = [t for i, t in zip(ids, texts) if not held_out(i)]
             if keep:
-                number_of, ends = words.numbers(keep)
-                rows, codes = features(words.ctx[number_of], ends)
-                at = np.arange((number * STRIDE // ROUNDS + len(number_of)) % STRIDE, len(number_of), STRIDE)
-                held.append((rows[at], codes[at], words.sym[number_of[at]]))
+                h, ends = tokens(keep)
+                _, sym, ctx = model.space.lookup(h)
+                rows, codes = features(ctx, ends)
+                at = np.arange((number * STRIDE // ROUNDS + len(h)) % STRIDE, len(h), STRIDE)
+                held.append((rows[at], codes[at], sym[at]))
                 seen[0] += len(at)
                 if seen[0] >= 4 * BATCH:
                     train()
@@ -284,7 +243,7 @@ def gradient_round(documents: DataFrame, shared, number: int, text: str, id_col:
     parts = map_rows(documents, [col(id_col).cast("string"), col(text)], make, CHANGES)
     # Two levels, so the parts that meet in a task grow slower than the number of training tasks.
     salted = parts.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(64))).repartition("table", "block", "salt").drop("salt")
-    return salted.mapInArrow(_add, CHANGES).repartition("table", "block").mapInArrow(_add, CHANGES)
+    return map_batches(map_batches(salted, _add, CHANGES).repartition("table", "block"), _add, CHANGES)
 
 
 CHANGES = "table string, block int, tokens long, change binary"
@@ -292,8 +251,6 @@ CHANGES = "table string, block int, tokens long, change binary"
 
 def _add(batches):
     """Sum of the changes of each block in this partition: a stream that holds one array a block."""
-    import pyarrow as pa
-
     total: dict = {}
     for b in batches:
         for t, k, n, raw in zip(*[c.to_pylist() for c in b.columns]):
@@ -342,16 +299,13 @@ def score(documents: DataFrame, counts: DataFrame, model: Model, text: str = "te
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        import pyarrow as pa
-
         known = shared.value
-        words = Words(known.space)
         ln10, z, rare = np.log(10), np.log10(known.space.z), np.log10(known.space.rare_z)
 
         def f(ids, texts):
-            number, ends = words.numbers([words_of(t) for t in texts])
-            c, sym = words.c[number], words.sym[number]
-            rows, codes = features(words.ctx[number], ends)
+            h, ends = tokens(texts)
+            c, sym, ctx = known.space.lookup(h)
+            rows, codes = features(ctx, ends)
             p = known.log_p(rows, codes, sym) / ln10
             logc = np.where(c >= 0, np.log10(np.maximum(c, 0) + 0.1), 0.0)
             starts = np.append(0, ends[:-1])
@@ -364,9 +318,9 @@ def score(documents: DataFrame, counts: DataFrame, model: Model, text: str = "te
 
             add = lambda x: np.add.reduceat(x, starts)  # noqa: E731  every text has its end token
             mark = pa.array([xxhash.xxh3_64_intdigest((t or "").encode()) >> 1 for t in texts], pa.int64())
-            h = pa.array(np.append(np.zeros(n, np.int64), words.h[number[tail]]), pa.int64(), mask=np.arange(n + k) < n)
+            joined = pa.array(np.append(np.zeros(n, np.int64), h[tail].view(np.int64)), pa.int64(), mask=np.arange(n + k) < n)
             return [
-                pa.array(ids, pa.int64()).take(pa.array(of)), mark.take(pa.array(of)), h, head(np.ones(n, np.int64), pa.int64()),
+                pa.array(ids, pa.int64()).take(pa.array(of)), mark.take(pa.array(of)), joined, head(np.ones(n, np.int64), pa.int64()),
                 head(add(logc - z), pa.float64()), head(add(p + np.where(sym < 0, logc - rare, 0.0)), pa.float64()),
                 head(np.diff(ends, prepend=0), pa.int64()), head(add((c > 0).astype(np.int64)), pa.int64()),
             ]

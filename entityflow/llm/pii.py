@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import col, drop, map_rows, read, written
+from ._common import col, drop, map_rows, map_whole, read, written
 
 KINDS = ("email", "ip", "card", "phone")
 MIN_CONFIDENCE, MIN_SEEDS, MAX_PATTERNS, ROUNDS, MAX_TOKEN = 0.8, 3, 20_000, 2, 100
@@ -225,14 +225,14 @@ def redacted(text: str | None, trusted: dict[str, str]) -> str | None:
 def redact(documents: DataFrame, trusted: dict[str, str], text: str = "text", length: str = "n_chars") -> DataFrame:
     """All rows and columns, with redacted texts; an integer column ``length`` follows the new text. No shuffle."""
     shared = documents.sparkSession.sparkContext.broadcast(trusted)
-    names, schema = documents.columns, documents.schema
+    names = documents.columns
     at, n_at = names.index(text), names.index(length) if length in names else None
 
     def run(batches):
         import pyarrow as pa
 
         known = shared.value
-        for b in batches:
+        for b in (whole.slice(k, 512) for whole in batches for k in range(0, whole.num_rows, 512)):
             new = [redacted(t, known) for t in b.column(at).to_pylist()]
             columns = list(b.columns)
             columns[at] = pa.array(new, b.schema.field(at).type)
@@ -240,7 +240,7 @@ def redact(documents: DataFrame, trusted: dict[str, str], text: str = "text", le
                 columns[n_at] = pa.array([None if t is None else len(t) for t in new], b.schema.field(n_at).type)
             yield pa.RecordBatch.from_arrays(columns, schema=b.schema)
 
-    return documents.mapInArrow(run, schema)
+    return map_whole(documents, run)
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

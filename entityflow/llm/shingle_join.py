@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from entityflow.operators.components import connected_components
 
-from ._common import col, drop, map_rows, read, written
+from ._common import col, drop, map_batches, map_rows, read, written
 from .words import shingles, word_hashes
 
 SKETCH_BITS, SKETCH_BLOCK = 20, 1 << 14
@@ -47,7 +47,7 @@ HOT = 2000
 #: Rounds with centres before the pairs that are left.
 ROUNDS = 2
 #: Signatures a task remembers to emit equal sets once.
-SEEN = 200_000
+SEEN = 50_000
 BLOOM_BITS = 1 << 27
 
 
@@ -88,7 +88,7 @@ def sketch(documents: DataFrame, k: int, text: str, bits: int = SKETCH_BITS) ->
     schema = "block int, kind string, counts binary"
     parts = map_rows(documents, [col(text)], make, schema)
     salted = parts.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(16))).repartition("block", "salt").drop("salt")
-    summed = salted.mapInArrow(add, schema).repartition("block").mapInArrow(add, schema)
+    summed = map_batches(map_batches(salted, add, schema).repartition("block"), add, schema)
     out = np.zeros(1 << bits, np.int64)
     for r in summed.collect():  # 2**bits counts at most
         out[r["block"] * SKETCH_BLOCK : (r["block"] + 1) * SKETCH_BLOCK] = np.frombuffer(r["counts"], np.int64)
@@ -183,7 +183,7 @@ def _possible(t: int):
 def shingle_sets(documents: DataFrame, k: int, wanted: DataFrame, text: str, id_col: str) -> DataFrame:
     """(id, set) of the wanted ids. A Bloom filter of fixed size goes ahead of the join, so other texts are hashed but not shuffled."""
     spark = documents.sparkSession
-    parts = wanted.select("id").mapInArrow(_bloom_parts, "part int, bits binary").repartition("part").mapInArrow(_bloom_or, "part int, bits binary")
+    parts = map_batches(map_batches(wanted.select("id"), _bloom_parts, "part int, bits binary").repartition("part"), _bloom_or, "part int, bits binary")
     bloom = bytearray(BLOOM_BITS // 8)
     for r in parts.toLocalIterator():
         bloom[r["part"] * _PART : (r["part"] + 1) * _PART] = r["bits"]
@@ -349,7 +349,7 @@ def components(documents: DataFrame, k: int = 3, t: int = 90, text: str = "text"
         out = out.withColumn("component", F.lit(None).cast("long"))
     drop(post, info, *made_sets)
     # an empty set is a component of its own
-    return out.select("id", "n", F.coalesce("component", "rep", "id").alias("component"))
+    return out.select("id", "n", F.when(F.col("id").isNotNull(), F.coalesce("component", "rep", "id")).alias("component"))
 
 
 def _with_partner(post: DataFrame, t: int) -> DataFrame:
@@ -367,10 +367,11 @@ def op6_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(documents: DataFrame, k: int = 5, t: int = 80, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """The rows of every component's smallest id, with all columns; rows without id or shingles stay. Rows that repeat the kept id and text stay once."""
+    """The rows of every component's smallest id, with all columns; rows without id or shingles stay. Rows that repeat the kept id stay."""
     made = components(documents, k, t, text, id_col)
     gone = written(made.where("id is not null and component <> id").select("id").distinct(), "join-gone")
-    return documents.join(gone.withColumnRenamed("id", "__gone"), col(id_col) == F.col("__gone"), "left_anti")
+    plain = documents.toDF(*[f"c{i}" for i in range(len(documents.columns))])
+    return plain.join(gone, plain[f"c{documents.columns.index(id_col)}"] == gone["id"], "left_anti").toDF(*documents.columns)
 
 
 QUERIES = {"op6_shingle_join": op6_shingle_join}

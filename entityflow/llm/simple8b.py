@@ -29,12 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import RaggedMemo, col, map_rows, read, written
+from ._common import RaggedMemo, col, map_batches, map_rows, read, written
 
 # Fixed values of the format: ids and bits of each selector.
 COUNT = np.array([240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 BITS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 ESCAPE = (1 << 60) - 1
+#: Ids below 2^width need level i at most; level of every small id.
+_LIMITS = np.array([1 << b for b in (0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30)], np.uint64)
+_LEVEL = np.searchsorted(_LIMITS, np.arange(1 << 16, dtype=np.uint64), "right").astype(np.uint8)
 BLOCK = 1 << 15
 #: Ids gathered before a segment is written.
 SEGMENT = 1 << 19
@@ -46,21 +49,21 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(ids)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint32)
-    place = np.arange(n, dtype=np.int32)
-    pick = np.full(n, 15, np.int8)
-    top = int(ids.max())
+    need = np.zeros(n + 256, np.uint8)
+    need[:n] = _LEVEL[ids.astype(np.int64)] if int(ids.max()) < len(_LEVEL) else np.searchsorted(_LIMITS, ids, "right")
+    widest = {1: need}  # largest need of the next 1, 2, 4 ... ids
+    for k in (1, 2, 4, 8, 16, 32, 64):
+        widest[2 * k] = np.maximum(widest[k][: n + 256 - 2 * k], widest[k][k : n + 256 - k])
+    pick = np.full(n, 15, np.uint8)
     for sel in range(14, -1, -1):  # from few wide ids to many narrow ones; the last that fits stays
-        limit = 1 << int(BITS[sel])
-        if top < limit:
-            fits = np.ones(n, bool)  # the block's end may be filled up with zeros
-        else:
-            stop = np.where(ids >= np.uint64(limit), place, np.int32(n + 240))
-            stop = np.minimum.accumulate(stop[::-1])[::-1]
-            fits = stop - place >= COUNT[sel]
-            if not fits.any() and COUNT[sel] <= 60:
-                break  # narrower selectors need longer runs of smaller ids still
-        pick[fits] = sel
-    step = COUNT[pick].tolist()
+        c = int(COUNT[sel])
+        k = 1 << (c.bit_length() - 1)
+        w = widest[k]
+        fits = np.maximum(w[:n], w[c - k : c - k + n]) <= max(0, sel - 1)  # the block's end may be filled up with zeros
+        if not fits.any():
+            break  # narrower selectors need longer runs of smaller ids still
+        pick -= fits.view(np.uint8)  # what fits a selector fits all wider ones
+    step = COUNT.astype(np.uint8)[pick].tobytes()
     starts, i = [], 0
     while i < n:
         starts.append(i)
@@ -143,7 +146,8 @@ def read_segment(data: bytes):
     return [None if z else k for k, z in zip(keys.tolist(), nulls.tolist())], lengths, ids
 
 
-SEGMENTS = "part int, seg int, n_docs long, n_ids long, payload binary"
+#: before: ids of the part's earlier segments.
+SEGMENTS = "part int, seg int, n_docs long, n_ids long, before long, payload binary"
 
 
 def write_ids(df: DataFrame, encoder, end_id: int | None, text: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -158,14 +162,14 @@ def write_ids(df: DataFrame, encoder, end_id: int | None, text: str = "text", id
         code, part, seg = encoder(), TaskContext.get().partitionId(), 0
         keys: list = []
         rows: list[np.ndarray] = []
-        held = 0
+        held = before = 0
 
         def out():
-            nonlocal seg, held
-            row = pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([seg], pa.int32()), pa.array([len(keys)]), pa.array([held]), pa.array([segment(keys, rows)], pa.binary())], names=["part", "seg", "n_docs", "n_ids", "payload"])
+            nonlocal seg, held, before
+            row = pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([seg], pa.int32()), pa.array([len(keys)]), pa.array([held]), pa.array([before]), pa.array([segment(keys, rows)], pa.binary())], names=["part", "seg", "n_docs", "n_ids", "before", "payload"])
             keys.clear()
             rows.clear()
-            seg, held = seg + 1, 0
+            seg, held, before = seg + 1, 0, before + held
             return row
 
         for batch in batches:
@@ -182,7 +186,7 @@ def write_ids(df: DataFrame, encoder, end_id: int | None, text: str = "text", id
 
     rows = df.select(col(id_col).cast("long").alias("k"), col(text).alias("t"))
     dealt = rows.repartitionByRange("k").sortWithinPartitions("k", "t")
-    return written(dealt.mapInArrow(run, SEGMENTS), "simple8b")
+    return written(map_batches(dealt, run, SEGMENTS), "simple8b")
 
 
 def read_ids(segments: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -204,18 +208,14 @@ def read_ids(segments: DataFrame, id_col: str = "doc_id") -> DataFrame:
         return f
 
     sizes = segments.groupBy("part").agg(F.sum("n_ids").alias("ids"))  # one row a partition of the writing job
-    before = sizes.select("part", (F.sum("ids").over(Window.orderBy("part")) - F.col("ids")).alias("before"))
-    inside = F.sum("n_ids").over(Window.partitionBy("part").orderBy("seg")) - F.col("n_ids")
-    heads = segments.select("part", "seg", "n_ids").select("part", "seg", inside.alias("inside"))
-    starts = heads.join(before, "part").select("part", "seg", (F.col("before") + F.col("inside")).alias("start"))
-    placed = segments.join(starts, ["part", "seg"])
+    parts = sizes.select("part", (F.sum("ids").over(Window.orderBy("part")) - F.col("ids")).alias("start"))
+    # as many rows as the writing job had partitions, so the payloads need no shuffle
+    placed = segments.join(F.broadcast(parts), "part").select((F.col("start") + F.col("before")).alias("start"), "payload")
     return map_rows(placed, [F.col("start"), F.col("payload")], make, f"{id_col} long, start long, n_tokens long, ids_crc32 long", 4)
 
 
-#: Memo entries (distinct white-space chunks) a worker keeps.
-MEMO = 400_000
-#: A word ends before a full stop or comma behind a letter, so cutting there changes no ids and leaves fewer distinct chunks.
-_STOP = re.compile("(?<=[a-z])(?=[,.])")
+#: Memo entries (distinct white-space chunks, distinct words) a worker keeps.
+MEMO, WORD_MEMO = 800_000, 900_000
 _PLAIN = re.compile("[\x1c-\x1fİ̀-\U0010ffff]|<\\|")
 
 
@@ -232,24 +232,64 @@ def library_encoder(path: str):
     t.no_truncation()
     t.no_padding()
 
-    def encode_many(chunks: list[str]):
-        ids, lens = [], []
-        for k in range(0, len(chunks), 4096):  # many chunks a call, told apart by their places in the joined text
-            part = chunks[k : k + 4096]
-            e = t.encode(" ".join(part), add_special_tokens=False)
-            ends = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)) + 1)
-            cuts = np.searchsorted(np.array([o[0] for o in e.offsets], np.int64), ends)
-            ids.append(np.array(e.ids, np.int32))
-            lens.append(np.diff(cuts, prepend=0))
-        return np.concatenate(ids), np.concatenate(lens)
-
-    memo = RaggedMemo(encode_many, MEMO)
+    ends_word = np.zeros(t.get_vocab_size(), bool)
+    for name, i in t.get_vocab().items():
+        ends_word[i] = name.endswith("</w>")
+
+    def encode_words(words: list[str]):
+        """Many words a call. Words of letters only end with a word-end token each; others are told apart by their places."""
+        lens = np.zeros(len(words), np.int64)
+        parts, order = [], []
+        letters = np.array([w.isalpha() for w in words], bool)
+        for plain, index in ((True, np.flatnonzero(letters)), (False, np.flatnonzero(~letters))):
+            for k in range(0, len(index), 4096):
+                at = index[k : k + 4096]
+                part = [words[i] for i in at]
+                if plain:
+                    ids = np.array(t.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.int32)
+                    cuts = np.flatnonzero(ends_word[ids]) + 1
+                else:
+                    e = t.encode(" ".join(part), add_special_tokens=False)
+                    ids = np.array(e.ids, np.int32)
+                    ends = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)) + 1)
+                    cuts = np.searchsorted(np.array([o[0] for o in e.offsets], np.int64), ends)
+                lens[at] = np.diff(cuts, prepend=0)
+                parts.append(ids)
+                order.append(at)
+        flat, order = np.concatenate(parts), np.concatenate(order)
+        own = lens[order]
+        back = np.empty(len(order), np.int64)  # from the order of encoding to that of the words
+        back[order] = np.cumsum(own) - own
+        total = np.cumsum(lens)
+        return flat[np.repeat(back - (total - lens), lens) + np.arange(int(total[-1]))], lens
+
+    words = RaggedMemo(encode_words, WORD_MEMO)
+    stops = {c: t.encode(c, add_special_tokens=False).ids[0] for c in ",."}
+
+    def encode_chunks(chunks: list[str]):
+        """A full stop or comma behind a letter is a word of its own, so chunks that differ in it share their word."""
+        cut = np.array([c[-1] in stops and len(c) > 1 and "a" <= c[-2] <= "z" for c in chunks], bool)
+        flat, lens = words.lookup([c[:-1] if x else c for c, x in zip(chunks, cut.tolist())])
+        at = np.flatnonzero(cut)
+        return np.insert(flat, np.cumsum(lens)[at], [stops[chunks[i][-1]] for i in at]), lens + cut
+
+    memo = RaggedMemo(encode_chunks, MEMO)
+
+    def odd(text: str) -> bool:
+        """Special strings, other scripts, or one of the separators that only str.split takes for white space."""
+        if "<|" in text:
+            return True
+        try:
+            raw = text.encode("latin-1")
+        except UnicodeEncodeError:
+            return _PLAIN.search(text) is not None
+        return any(c in raw for c in (b"\x1c", b"\x1d", b"\x1e", b"\x1f"))
 
     def f(texts: list[str]) -> list[np.ndarray]:
-        odd = [_PLAIN.search(x) is not None for x in texts]
-        flat, ends = memo.texts([[] if o else _STOP.sub(" ", x.lower()).split() for x, o in zip(texts, odd)])
+        whole = [odd(x) for x in texts]
+        flat, ends = memo.texts([[] if o else x.lower().split() for x, o in zip(texts, whole)])
         rows = np.split(flat, ends[:-1]) if len(texts) else []
-        return [np.array(t.encode(x, add_special_tokens=False).ids, np.int32) if o else r for x, o, r in zip(texts, odd, rows)]
+        return [np.array(t.encode(x, add_special_tokens=False).ids, np.int32) if o else r for x, o, r in zip(texts, whole, rows)]
 
     return f
 

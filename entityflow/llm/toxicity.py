@@ -28,14 +28,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import col, map_rows, read
+from ._common import col, map_rows, map_whole, read, release
 
-FIT_ROWS, MIN_ROWS, MIN_Z, MAX_FEATURES = 16_384, 8, 4.0, 4096
+FIT_ROWS, MIN_ROWS, MIN_Z, MAX_FEATURES = 12_288, 8, 4.0, 4096
 GRADES = 4
 PREFIXES = (4, 5, 6)
 _WORD = re.compile(r"[^\W\d_]+")
 #: Distinct words a worker remembers.
-MEMO = 400_000
+MEMO = 150_000
 
 
 def _features(word: str) -> tuple[int, ...]:
@@ -163,7 +163,10 @@ def train(documents: DataFrame, labels: DataFrame, text: str = "text", id_col: s
 
     got = map_rows(rows, [F.col("i").cast("long"), (F.col("y") > 0), F.col("t")], make, "i long, y boolean, f binary")
     got = got.toPandas().sort_values("i", kind="stable").drop_duplicates("i")
-    return fit([np.frombuffer(f, np.uint32) for f in got["f"]], got["y"].to_numpy(bool))
+    model = fit([np.frombuffer(f, np.uint32) for f in got["f"]], got["y"].to_numpy(bool))
+    del got
+    release()
+    return model
 
 
 def score(documents: DataFrame, model: Model, text: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -182,16 +185,18 @@ def score(documents: DataFrame, model: Model, text: str = "text", id_col: str =
 
 def non_toxic(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows that the model does not reject, with all their columns; no shuffle."""
-    at, schema = documents.columns.index(text), documents.schema
+    at = documents.columns.index(text)
 
     def run(batches):
         import pyarrow as pa
 
         memo = _Memo(model.weights)
-        for b in batches:
-            yield b.filter(pa.array([model.severity(text_features(t, memo))[1] < 0.5 for t in b.column(at).to_pylist()], pa.bool_()))
+        for whole in batches:
+            for k in range(0, whole.num_rows, 512):
+                b = whole.slice(k, 512)
+                yield b.filter(pa.array([model.severity(text_features(t, memo))[1] < 0.5 for t in b.column(at).to_pylist()], pa.bool_()))
 
-    return documents.mapInArrow(run, schema)
+    return map_whole(documents, run)
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
