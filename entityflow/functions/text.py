@@ -103,7 +103,8 @@ def sequence_ratio(a: Column, b: Column) -> Column:
 
     import pandas as pd
 
-    def ratio(x: pd.Series, y: pd.Series) -> pd.Series:
+    def ratio(x, y):
         return pd.Series([SequenceMatcher(None, p or "", q or "").ratio() for p, q in zip(x, y)])
 
+    ratio.__annotations__ = {"x": pd.Series, "y": pd.Series, "return": pd.Series}  # the module's own are strings
     return F.pandas_udf(ratio, "double")(a, b)

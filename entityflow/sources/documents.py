@@ -76,7 +76,7 @@ def read_batches(spark: SparkSession, path: str, pattern: str = "*.json") -> Dat
     many = v.select("file", F.explode_outer(F.try_variant_get("v", "$.results", "array<variant>")).alias("r"), "v")
     r = F.coalesce("r", "v")
     got = many.select(F.coalesce(F.try_variant_get(r, "$.item_id", "string"), F.try_variant_get(r, "$.source_item_id", "string"), F.col("file")).alias("item_id"), F.try_variant_get(r, "$.entities", "array<variant>").alias("e"), F.coalesce(F.try_variant_get(r, "$.relationships", "array<variant>"), F.try_variant_get(r, "$.relations", "array<variant>")).alias("q"))
-    return got.where("e is not null or q is not null").select("item_id", F.transform("e", F.to_json).alias("entities_json"), F.transform("q", F.to_json).alias("relations_json"))
+    return got.where("e is not null or q is not null").select("item_id", F.transform("e", lambda x: F.to_json(x)).alias("entities_json"), F.transform("q", lambda x: F.to_json(x)).alias("relations_json"))
 
 
 def query(docs: DataFrame, text: str | None = None, doc_type: str | None = None, filters: dict | None = None, limit: int | None = None) -> DataFrame:
