@@ -35,9 +35,28 @@ def release() -> None:
         pass
 
 
-def map_batches(df: DataFrame, run: Callable, schema) -> DataFrame:
+#: Clearing functions of the caches that modules keep in a worker, by module; the module that ran last.
+CACHES: dict[str, list[Callable]] = {}
+_LAST = [""]
+
+
+def begin(owner: str) -> None:
+    """Reused workers drop the caches of the operator that ran before."""
+    if _LAST[0] != owner:
+        for name, clear in CACHES.items():
+            if name != owner:
+                for f in clear:
+                    f()
+        release()
+        _LAST[0] = owner
+
+
+def map_batches(df: DataFrame, run: Callable, schema, owner: str | None = None) -> DataFrame:
     """mapInArrow that releases memory at the end of each task."""
+    name = owner or run.__module__
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(name)
         yield from run(batches)
         release()
 
@@ -62,7 +81,7 @@ def map_rows(df: DataFrame, columns: list[Column], make: Callable[[], Callable],
         if (end := getattr(f, "end", None)) is not None and (cols := end()) is not None:
             yield _batch(cols, out)
 
-    return map_batches(df.select(*[c.alias(f"c{i}") for i, c in enumerate(columns)]), run, schema)
+    return map_batches(df.select(*[c.alias(f"c{i}") for i, c in enumerate(columns)]), run, schema, make.__module__)
 
 
 def _batch(cols, out: pa.Schema) -> pa.RecordBatch:
@@ -72,7 +91,7 @@ def _batch(cols, out: pa.Schema) -> pa.RecordBatch:
 def map_whole(df: DataFrame, run: Callable) -> DataFrame:
     """map_batches over all columns with the schema kept, whatever the columns' names are (dots, repeats)."""
     plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
-    return map_batches(plain, run, plain.schema).toDF(*df.columns)
+    return map_batches(plain, run, plain.schema, run.__module__).toDF(*df.columns)
 
 
 def scratch(spark: SparkSession) -> str:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import RaggedMemo, col, map_rows, read
+from ._common import CACHES, RaggedMemo, col, map_rows, read
 
 #: Symbols of a leaf, tokens of the first window at a join, characters from which a text is spread over tasks.
 LEAF, WINDOW, SPREAD = 24, 4, 1 << 20
@@ -338,3 +338,4 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"op3_bpe": op3_bpe}
 ORACLES: dict[str, str] = {}
+CACHES[__name__] = [memo.cache_clear, vocabulary.cache_clear]

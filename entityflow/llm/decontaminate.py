@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-from ._common import col, map_rows, map_whole, read
+from ._common import CACHES, col, map_rows, map_whole, read
 from .words import WEIGHTS, mix, word_hashes
 
 #: Care positions (1) of the seeds; weight 7 in spans of 10 and 11 words.
@@ -188,3 +188,4 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"op1_decontaminate": op1_decontaminate}
 ORACLES: dict[str, str] = {}
+CACHES[__name__] = [_CACHE.clear]

@@ -41,7 +41,7 @@ from entityflow.operators.components import connected_components
 from ._common import col, drop, map_batches, map_rows, read, written
 from .words import shingles, word_hashes
 
-SKETCH_BITS, SKETCH_BLOCK = 20, 1 << 14
+SKETCH_BITS, SKETCH_BLOCK = 22, 1 << 16
 #: Postings whose bucket count is higher are dealt to several tasks.
 HOT = 2000
 #: Rounds with centres before the pairs that are left.
@@ -59,12 +59,13 @@ def _signature(sets: np.ndarray) -> tuple[int, int]:
 def sketch(documents: DataFrame, k: int, text: str, bits: int = SKETCH_BITS) -> np.ndarray:
     """Counts of all documents' shingles in 2**bits hashed buckets: a table of fixed size, summed by blocks."""
     def make():
-        total = np.zeros(1 << bits, np.int64)
+        total = np.zeros(1 << bits, np.uint32)
 
         def f(texts):
             found = [shingles(w, k) for w in word_hashes(texts)]
             if found:
-                total[:] += np.bincount((np.concatenate(found) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+                at, n = np.unique(np.concatenate(found) >> np.uint64(64 - bits), return_counts=True)
+                total[at.astype(np.int64)] += n.astype(np.uint32)
             return None
 
         def end():
@@ -89,9 +90,9 @@ def sketch(documents: DataFrame, k: int, text: str, bits: int = SKETCH_BITS) ->
     parts = map_rows(documents, [col(text)], make, schema)
     salted = parts.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(16))).repartition("block", "salt").drop("salt")
     summed = map_batches(map_batches(salted, add, schema).repartition("block"), add, schema)
-    out = np.zeros(1 << bits, np.int64)
-    for r in summed.collect():  # 2**bits counts at most
-        out[r["block"] * SKETCH_BLOCK : (r["block"] + 1) * SKETCH_BLOCK] = np.frombuffer(r["counts"], np.int64)
+    out = np.zeros(1 << bits, np.uint32)
+    for r in summed.toLocalIterator():  # 2**bits counts at most
+        out[r["block"] * SKETCH_BLOCK : (r["block"] + 1) * SKETCH_BLOCK] = np.minimum(np.frombuffer(r["counts"], np.int64), (1 << 32) - 1)
     return out
 
 
@@ -154,7 +155,7 @@ def postings(documents: DataFrame, k: int, t: int, shared, text: str, id_col: st
                     order = pick[np.lexsort((s[pick], c[pick]))][:size]
                 else:
                     order = np.lexsort((s, c))
-                key, c = s[order], c[order]
+                key, c = s[order], c[order].astype(np.int64)
                 out["key"].append(key.view(np.int64))
                 # a key that may be hot is dealt by its holders' signatures
                 out["salt"].append(np.where(c > HOT, sig[0] % np.maximum(1, c // HOT), -1))

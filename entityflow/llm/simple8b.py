@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import RaggedMemo, col, map_batches, map_rows, read, written
+from ._common import CACHES, RaggedMemo, col, map_batches, map_rows, read, written
 
 # Fixed values of the format: ids and bits of each selector.
 COUNT = np.array([240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
@@ -303,3 +303,4 @@ def op9_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"op9_simple8b": op9_simple8b}
 ORACLES: dict[str, str] = {}
+CACHES[__name__] = [library_encoder.cache_clear]

@@ -21,7 +21,7 @@ from functools import lru_cache
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-from ._common import col, map_rows, read
+from ._common import CACHES, col, map_rows, read
 
 SEP = "▁"
 #: Memo entries a worker keeps; the memo starts anew beyond it.
@@ -203,3 +203,4 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"op8_token_counts": op8_token_counts}
 ORACLES: dict[str, str] = {}
+CACHES[__name__] = [counter.cache_clear, merger.cache_clear]

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ._common import col, map_rows, map_whole, read, release
 
-FIT_ROWS, MIN_ROWS, MIN_Z, MAX_FEATURES = 12_288, 8, 4.0, 4096
+FIT_ROWS, MIN_ROWS, MIN_Z, MAX_FEATURES = 10_240, 8, 4.0, 4096
 GRADES = 4
 PREFIXES = (4, 5, 6)
 _WORD = re.compile(r"[^\W\d_]+")
