@@ -41,14 +41,14 @@ from entityflow.operators.components import connected_components
 from ._common import col, drop, map_batches, map_rows, read, written
 from .words import shingles, word_hashes
 
-SKETCH_BITS, SKETCH_BLOCK = 22, 1 << 16
+SKETCH_BITS, SKETCH_BLOCK = 21, 1 << 15
 #: Postings whose bucket count is higher are dealt to several tasks.
 HOT = 2000
 #: Rounds with centres before the pairs that are left.
 ROUNDS = 2
 #: Signatures a task remembers to emit equal sets once.
 SEEN = 50_000
-BLOOM_BITS = 1 << 27
+BLOOM_BITS = 1 << 26
 
 
 def _signature(sets: np.ndarray) -> tuple[int, int]:
@@ -299,6 +299,7 @@ def components(documents: DataFrame, k: int = 3, t: int = 90, text: str = "text"
     kept = postings(documents, k, t, shared, text, id_col).withColumn("more", more).where("more")
     known = kept.join(class_of, "s1").select("key", F.col("rep").alias("id"), F.shiftright("place", 32).alias("n"), F.expr("place & 4294967295").alias("pos"), "bands")
     shared_post = written(known.distinct(), "join-postings")
+    shared.destroy()
     post = _with_partner(shared_post, t)
     drop(shared_post)
     info = written(prefixes(post), "join-prefixes")
@@ -319,9 +320,10 @@ def components(documents: DataFrame, k: int = 3, t: int = 90, text: str = "text"
         live = written(at.join(open_keys.select("key"), "key", "left_semi"), "join-live")
         last = number == ROUNDS
         pairs = _candidates(live, live, t, F.col("x.comp") < F.col("y.comp")) if last else _star_pairs(live, t, number)
+        pairs = promising(pairs, info, t)
         if tested is not None:  # each pair is verified once
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(promising(pairs, info, t), "join-pairs")
+        pairs = written(pairs, "join-pairs")
         fresh = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
         if sets is not None:
             fresh = fresh.join(sets.select("id"), "id", "left_anti")
