@@ -11,7 +11,9 @@ shingles. The exact filters of the join:
 * length, positional and suffix filters: the smaller size is at least t % of the
   larger; the shared shingles that the places leave possible must reach the overlap
   that the sizes ask for; and the sets' counts in 8 fixed bands of the hash space
-  bound their difference from below;
+  and the parities of their counts in 256 finer ones bound their difference from below
+  (a shingle that only one of two sets holds changes one parity, so the parities that
+  differ are at most as many as such shingles);
 * each surviving pair is verified once, on the full sets.
 
 Groups of many near copies would make the square of their size in pairs, though
@@ -49,6 +51,8 @@ ROUNDS = 2
 #: Signatures a task remembers to emit equal sets once.
 SEEN = 50_000
 BLOOM_BITS = 1 << 26
+#: What a set is compared by before it is read: counts in 8 bands, parities in 256.
+MARKS = ("bands", "p0", "p1", "p2", "p3")
 
 
 def _signature(sets: np.ndarray) -> tuple[int, int]:
@@ -105,25 +109,26 @@ def _small(x: np.ndarray):
     return kind, x.astype(kind).tobytes()
 
 
-def bands(sets: np.ndarray) -> int:
-    """Counts modulo 256 in 8 bands of the hash space, packed in a signed 64-bit integer."""
-    counts = np.bincount((sets >> np.uint64(61)).astype(np.int64), minlength=8).astype(np.uint8)
-    return int(counts.view(np.int64)[0])
+def marks(sets: np.ndarray) -> tuple[int, ...]:
+    """Counts modulo 256 in 8 bands of the hash space and parities in 256 bands, packed in signed 64-bit integers."""
+    counts = np.bincount((sets >> np.uint64(56)).astype(np.int64), minlength=256)
+    coarse = counts.reshape(8, 32).sum(axis=1).astype(np.uint8).view(np.int64)
+    return (int(coarse[0]), *np.packbits((counts & 1).astype(np.uint8)).view(np.int64).tolist())
 
 
 def classes(documents: DataFrame, k: int, text: str, id_col: str) -> DataFrame:
-    """(id, n, s1, s2, bands) per row: size of the set, its 126-bit signature (null for empty sets) and band counts."""
+    """(id, n, s1, s2, marks) per row: size of the set, its 126-bit signature and its marks (null for empty sets)."""
     def make():
         def f(ids, texts):
             rows = []
             for i, w in zip(ids, word_hashes(texts)):
                 s = shingles(w, k)
-                rows.append((i, len(s), *((*_signature(s), bands(s)) if len(s) else (None, None, None))))
+                rows.append((i, len(s), *((*_signature(s), *marks(s)) if len(s) else [None] * (2 + len(MARKS)))))
             return list(zip(*rows))
 
         return f
 
-    return map_rows(documents, [col(id_col).cast("long"), col(text)], make, "id long, n long, s1 long, s2 long, bands long")
+    return map_rows(documents, [col(id_col).cast("long"), col(text)], make, "id long, n long, s1 long, s2 long, " + ", ".join(f"{m} long" for m in MARKS))
 
 
 def postings(documents: DataFrame, k: int, t: int, shared, text: str, id_col: str) -> DataFrame:
@@ -169,7 +174,7 @@ def postings(documents: DataFrame, k: int, t: int, shared, text: str, id_col: st
 
 
 def _possible(t: int):
-    """The length, positional and band filters of a posting pair x, y."""
+    """The length, positional, band and parity filters of a posting pair x, y."""
     need = F.expr(f"({t} * (x.n + y.n) + {99 + t}) div {100 + t}")  # least overlap that reaches the threshold
     length = F.expr(f"100 * least(x.n, y.n) >= {t} * greatest(x.n, y.n)")
     place = F.least(F.col("x.pos"), F.col("y.pos")) + F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
@@ -178,7 +183,9 @@ def _possible(t: int):
         d = F.expr(f"((shiftrightunsigned(x.bands, {8 * b}) & 255) - (shiftrightunsigned(y.bands, {8 * b}) & 255)) & 255")
         part = F.least(d, F.lit(256) - d)
         gap = part if gap is None else gap + part
-    return length & (place >= need) & (gap <= F.col("x.n") + F.col("y.n") - 2 * need)
+    most = F.col("x.n") + F.col("y.n") - 2 * need
+    odd = F.expr(" + ".join(f"bit_count(x.{m} ^ y.{m})" for m in MARKS[1:]))
+    return length & (place >= need) & (odd <= most) & (gap <= most)
 
 
 def shingle_sets(documents: DataFrame, k: int, wanted: DataFrame, text: str, id_col: str) -> DataFrame:
@@ -276,8 +283,8 @@ def linked(pairs: DataFrame, sets: DataFrame, t: int) -> DataFrame:
 def _star_pairs(live: DataFrame, t: int, number: int) -> DataFrame:
     """One pair a class at most: with the centre of the posting that has its least seeded hash."""
     seed = F.lit(number)
-    centre = live.groupBy("key").agg(F.min_by(F.struct("id", "n", "pos", "bands", "comp"), F.xxhash64("id", seed)).alias("y")).select("key", "y.*")
-    mine = live.groupBy("id").agg(F.min_by(F.struct("key", "n", "pos", "bands", "comp"), F.xxhash64("key", seed)).alias("x")).select("id", "x.*")
+    centre = live.groupBy("key").agg(F.min_by(F.struct("id", "n", "pos", *MARKS, "comp"), F.xxhash64("id", seed)).alias("y")).select("key", "y.*")
+    mine = live.groupBy("id").agg(F.min_by(F.struct("key", "n", "pos", *MARKS, "comp"), F.xxhash64("key", seed)).alias("x")).select("id", "x.*")
     return _candidates(mine, centre, t, F.col("x.comp") != F.col("y.comp"))
 
 
@@ -290,14 +297,14 @@ def components(documents: DataFrame, k: int = 3, t: int = 90, text: str = "text"
     """(id, n, component) per row."""
     spark = documents.sparkSession
     rows = written(classes(documents, k, text, id_col), "join-classes")
-    class_of = rows.where("id is not null and s1 is not null").groupBy("s1", "s2").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"))
+    class_of = rows.where("id is not null and s1 is not null").groupBy("s1", "s2").agg(F.min("id").alias("rep"), *[F.first(m).alias(m) for m in MARKS])
 
     # Postings whose key several classes hold. Hot keys are dealt to several tasks and kept as they are.
     shared = spark.sparkContext.broadcast(sketch(documents, k, text))
     key = Window.partitionBy("key", "salt")
     more = (F.min("s1").over(key) != F.max("s1").over(key)) | (F.col("salt") >= 0)
     kept = postings(documents, k, t, shared, text, id_col).withColumn("more", more).where("more")
-    known = kept.join(class_of, "s1").select("key", F.col("rep").alias("id"), F.shiftright("place", 32).alias("n"), F.expr("place & 4294967295").alias("pos"), "bands")
+    known = kept.join(class_of, "s1").select("key", F.col("rep").alias("id"), F.shiftright("place", 32).alias("n"), F.expr("place & 4294967295").alias("pos"), *MARKS)
     shared_post = written(known.distinct(), "join-postings")
     shared.destroy()
     post = _with_partner(shared_post, t)
@@ -310,7 +317,7 @@ def components(documents: DataFrame, k: int = 3, t: int = 90, text: str = "text"
     for number in range(ROUNDS + 1):
         comp = F.col("id") if labels is None else F.coalesce("component", "id")
         at = post if labels is None else post.join(labels.withColumnRenamed("node", "id"), "id", "left")
-        at = at.select("key", "id", "n", "pos", "bands", comp.alias("comp"))
+        at = at.select("key", "id", "n", "pos", *MARKS, comp.alias("comp"))
         sizes = at.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
         open_keys = written(sizes.where("s * s > q").select("key", ((F.col("s") * F.col("s") - F.col("q")) / 2).alias("cross")), "join-open")
         cross = open_keys.agg(F.sum("cross")).first()[0]
