@@ -23,6 +23,7 @@ import re
 import struct
 import zlib
 from functools import lru_cache
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -216,6 +217,8 @@ def read_ids(segments: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 #: Memo entries (distinct white-space chunks, distinct words) a worker keeps.
 MEMO, WORD_MEMO = 800_000, 900_000
+#: Runs of punctuation a worker remembers.
+TAILS = 10_000
 _PLAIN = re.compile("[\x1c-\x1fİ̀-\U0010ffff]|<\\|")
 
 
@@ -264,14 +267,31 @@ def library_encoder(path: str):
         return flat[np.repeat(back - (total - lens), lens) + np.arange(int(total[-1]))], lens
 
     words = RaggedMemo(encode_words, WORD_MEMO)
-    stops = {c: t.encode(c, add_special_tokens=False).ids[0] for c in ",."}
+    tails: dict[str, list[int]] = {}
+
+    def tail_ids(tail: str) -> list[int]:
+        if tail not in tails:
+            if len(tails) >= TAILS:
+                tails.clear()
+            tails[tail] = t.encode(tail, add_special_tokens=False).ids
+        return tails[tail]
 
     def encode_chunks(chunks: list[str]):
-        """A full stop or comma behind a letter is a word of its own, so chunks that differ in it share their word."""
-        cut = np.array([c[-1] in stops and len(c) > 1 and "a" <= c[-2] <= "z" for c in chunks], bool)
-        flat, lens = words.lookup([c[:-1] if x else c for c, x in zip(chunks, cut.tolist())])
-        at = np.flatnonzero(cut)
-        return np.insert(flat, np.cumsum(lens)[at], [stops[chunks[i][-1]] for i in at]), lens + cut
+        """A run of punctuation that ends a chunk is a word of its own behind a letter, so chunks that differ in it share their word."""
+        heads = [c.rstrip(punctuation) for c in chunks]
+        cut = [k for k, (h, c) in enumerate(zip(heads, chunks)) if len(h) < len(c) and h and h[-1].isalpha()]
+        own = list(chunks)
+        for k in cut:
+            own[k] = heads[k]
+        flat, lens = words.lookup(own)
+        if not cut:
+            return flat, lens
+        ids = [tail_ids(chunks[k][len(heads[k]) :]) for k in cut]
+        more = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.insert(flat, np.repeat(np.cumsum(lens)[cut], more), [i for x in ids for i in x])
+        lens = lens.copy()
+        lens[cut] += more
+        return flat, lens
 
     memo = RaggedMemo(encode_chunks, MEMO)
 
