@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import col, map_rows, map_whole, read, release
+from ._common import col, map_batches, map_rows, map_whole, read
 
 FIT_ROWS, MIN_ROWS, MIN_Z, MAX_FEATURES = 10_240, 8, 4.0, 4096
 GRADES = 4
@@ -147,7 +147,7 @@ def fit(texts: list[np.ndarray], toxic: np.ndarray) -> Model:
 
 
 def train(documents: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "doc_id", fit_rows: int = FIT_ROWS) -> Model:
-    """The sample's features, not its texts, come to the driver: fit_rows sets at most."""
+    """The model, fitted in one task on the features of fit_rows documents at most; only the model comes to the driver."""
     known = labels.select(col("doc_id").alias("i"), col("toxic").alias("y")).where("i is not null and y is not null").groupBy("i").agg(F.max("y").alias("y"))
     sample = known.orderBy(F.xxhash64("i"), "i").limit(fit_rows)
     rows = documents.select(col(id_col).alias("i"), col(text).alias("t")).join(F.broadcast(sample), "i")
@@ -161,12 +161,17 @@ def train(documents: DataFrame, labels: DataFrame, text: str = "text", id_col: s
 
         return f
 
+    def one(batches):
+        import pyarrow as pa
+
+        got = sorted(x for b in batches for x in zip(*[c.to_pylist() for c in b.columns]))
+        model = fit([np.frombuffer(f, np.uint32) for _, _, f in got], np.array([y for _, y, _ in got], bool))
+        yield pa.RecordBatch.from_arrays([pa.array([list(model.weights)], pa.list_(pa.int64())), pa.array([list(model.weights.values())], pa.list_(pa.float64())), pa.array([model.cuts], pa.list_(pa.float64()))], names=["features", "weights", "cuts"])
+
     got = map_rows(rows, [F.col("i").cast("long"), (F.col("y") > 0), F.col("t")], make, "i long, y boolean, f binary")
-    got = got.toPandas().sort_values("i", kind="stable").drop_duplicates("i")
-    model = fit([np.frombuffer(f, np.uint32) for f in got["f"]], got["y"].to_numpy(bool))
-    del got
-    release()
-    return model
+    each = got.groupBy("i").agg(F.max("y").alias("y"), F.max("f").alias("f"))  # rows that repeat an id count once
+    made = map_batches(each.repartition(1), one, "features array<long>, weights array<double>, cuts array<double>", __name__).first()
+    return Model(dict(zip(made["features"], made["weights"])), made["cuts"]) if made else Model({}, [50.0] * (GRADES - 1))
 
 
 def score(documents: DataFrame, model: Model, text: str = "text", id_col: str = "doc_id") -> DataFrame:
