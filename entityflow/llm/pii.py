@@ -10,8 +10,9 @@ product of (1 - confidence) over its trusted patterns. Patterns of confidence
 ``MIN_CONFIDENCE`` and enough distinct seeds mark unknown tokens as spans of
 their kind. Base spans are never removed.
 
-A trusted pattern needs max(MIN_SEEDS, seed edges / MAX_PATTERNS) seeds, so at
-most MAX_PATTERNS of them exist at any input size; that bounds the broadcast.
+A trusted pattern needs MIN_SEEDS seeds at every input size. All trusted patterns
+stay in a written table; they go to the executors as hashes in blocks of about
+``BLOCK``, and documents are scanned once a block, so nothing unbounded is broadcast.
 
 Edge cases: null and empty texts have no spans; tokens of more than
 ``MAX_TOKEN`` characters are not identifiers; repeated rows are read each, but
@@ -21,17 +22,20 @@ an instance counts once a pattern; positions are code points, ends exclusive.
 from __future__ import annotations
 
 import hashlib
-import math
 import re
+from collections.abc import Iterator, Mapping
 
+import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import col, drop, map_rows, map_whole, read, written
+from ._common import col, drop, map_batches, map_rows, map_whole, read, written
 
 KINDS = ("email", "ip", "card", "phone")
-MIN_CONFIDENCE, MIN_SEEDS, MAX_PATTERNS, ROUNDS, MAX_TOKEN = 0.8, 3, 20_000, 2, 100
+MIN_CONFIDENCE, MIN_SEEDS, ROUNDS, MAX_TOKEN = 0.8, 3, 2, 100
+#: Patterns of a broadcast (9 bytes each).
+BLOCK = 1 << 21
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+")
@@ -144,12 +148,65 @@ def edges(documents: DataFrame, text: str = "text") -> DataFrame:
     return map_rows(documents, [col(text)], make, "pattern string, instance long, kind string").distinct()
 
 
-def bootstrap(documents: DataFrame, text: str = "text") -> dict[str, str]:
-    """Trusted patterns and their kinds, MAX_PATTERNS at most."""
+def _hash(pattern: str) -> int:
+    return xxhash.xxh3_64_intdigest(pattern) >> 1
+
+
+class Trusted(Mapping):
+    """Trusted patterns and their kinds in a written table of any size."""
+
+    def __init__(self, table: DataFrame):
+        self.table = table
+
+    def __getitem__(self, pattern: str) -> str:
+        r = self.table.where(F.col("pattern") == F.lit(pattern)).first()
+        if r is None:
+            raise KeyError(pattern)
+        return r["kind"]
+
+    def __iter__(self) -> Iterator[str]:
+        return (r["pattern"] for r in self.table.toLocalIterator())
+
+    def __len__(self) -> int:
+        return self.table.count()
+
+
+def _blocks(trusted: Mapping[str, str], most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(sorted hashes, numbers of kinds from 1) of about ``most`` patterns, streamed to the driver a block at a time; one block at least."""
+    def make():
+        def f(names, kinds):
+            return [[np.array([_hash(p) for p in names], np.int64).tobytes()], [bytes(KINDS.index(k) + 1 for k in kinds)]]
+
+        return f
+
+    def parts():
+        if isinstance(trusted, Trusted):
+            rows = map_rows(trusted.table, [F.col("pattern"), F.col("kind")], make, "hashes binary, kinds binary", min(most, 1 << 14))
+            yield from ((r["hashes"], r["kinds"]) for r in rows.toLocalIterator())
+        elif trusted:
+            yield tuple(x[0] for x in make()(list(trusted), list(trusted.values())))
+
+    def block():
+        h, k = np.frombuffer(b"".join(x for x, _ in held), np.int64), np.frombuffer(b"".join(x for _, x in held), np.uint8)
+        order = np.argsort(h)
+        return h[order], k[order]
+
+    held, size, some = [], 0, False
+    for part in parts():
+        held.append(part)
+        size += len(part[1])
+        if size >= most:
+            yield block()
+            held, size, some = [], 0, True
+    if held or not some:
+        yield block()
+
+
+def bootstrap(documents: DataFrame, text: str = "text") -> Trusted:
+    """All trusted patterns and their kinds."""
     graph = written(edges(documents, text), "pii-graph")
     seeds, unknown = graph.where("kind is not null"), graph.where("kind is null")
     total = graph.groupBy("pattern").agg(F.count("*").alias("n"))
-    least = max(MIN_SEEDS, math.ceil(seeds.count() / MAX_PATTERNS))
     support = seeds.groupBy("pattern", "kind").agg(F.count("*").alias("seeds"))
     found = None
     for _ in range(ROUNDS):
@@ -158,7 +215,7 @@ def bootstrap(documents: DataFrame, text: str = "text") -> dict[str, str]:
             more = unknown.select("pattern", "instance").join(found, "instance").groupBy("pattern", "kind").agg(F.sum("confidence").alias("mass"))
             mass = mass.unionByName(more).groupBy("pattern", "kind").agg(F.sum("mass").alias("mass"))
         scored = mass.join(total, "pattern").join(support, ["pattern", "kind"])
-        trusted = scored.withColumn("confidence", F.col("mass") / F.col("n")).where((F.col("confidence") >= MIN_CONFIDENCE) & (F.col("seeds") >= least))
+        trusted = scored.withColumn("confidence", F.col("mass") / F.col("n")).where((F.col("confidence") >= MIN_CONFIDENCE) & (F.col("seeds") >= MIN_SEEDS))
         trusted = written(trusted.select("pattern", "kind", "confidence"), "pii-patterns")
         if found is not None:
             drop(found_at)
@@ -166,52 +223,101 @@ def bootstrap(documents: DataFrame, text: str = "text") -> dict[str, str]:
         found_at = written(unknown.select("pattern", "instance").join(trusted, "pattern").groupBy("instance", "kind").agg((1 - miss).alias("confidence")), "pii-instances")
         found = found_at
     best = Window.partitionBy("pattern").orderBy(F.desc("confidence"), "kind")
-    rows = trusted.withColumn("r", F.row_number().over(best)).where("r = 1").select("pattern", "kind").collect()  # MAX_PATTERNS at most
+    kept = written(trusted.withColumn("r", F.row_number().over(best)).where("r = 1").select("pattern", "kind"), "pii-trusted")
     drop(graph, trusted, found_at)
-    return {r["pattern"]: r["kind"] for r in rows}
+    return Trusted(kept)
 
 
-def all_spans(text: str | None, trusted: dict[str, str]) -> tuple[list, list]:
-    """(base spans, added spans), each (kind number, start, end) in order."""
+def candidates(text: str | None) -> tuple[list, list]:
+    """(base spans, [(start, end, patterns, the most telling one first)] of the unknown tokens)."""
     base = base_spans(text)
-    added = []
-    if text and trusted and _DIGIT.search(text):
-        for s, e in unknown_tokens(text, base):
-            kind = next((trusted[p] for p in reversed(patterns(text, s, e)) if p in trusted), None)
-            if kind:
-                added.append((KINDS.index(kind), s, e))
-    return base, sorted(added)
+    if not text or not _DIGIT.search(text):
+        return base, []
+    return base, [(s, e, patterns(text, s, e)[::-1]) for s, e in unknown_tokens(text, base)]
+
+
+def _added(unknown: list, marks: bytes) -> list[tuple[int, int, int]]:
+    """Spans of the unknown tokens with a trusted pattern; ``marks`` has the number of the kind from 1, or 0, of every pattern in order."""
+    out, at = [], 0
+    for s, e, names in unknown:
+        if kind := next(filter(None, marks[at : at + len(names)]), 0):
+            out.append((kind - 1, s, e))
+        at += len(names)
+    return sorted(out)
+
+
+def all_spans(text: str | None, trusted: Mapping[str, str]) -> tuple[list, list]:
+    """(base spans, added spans), each (kind number, start, end) in order."""
+    base, unknown = candidates(text)
+    return base, _added(unknown, bytes(KINDS.index(k) + 1 if (k := trusted.get(p)) else 0 for _, _, names in unknown for p in names))
+
+
+def _look_up(block: tuple[np.ndarray, np.ndarray], found: list, marks: list) -> list[bytes]:
+    """Marks of each text's patterns: those of the blocks before, and this block's."""
+    counts = [sum(len(names) for _, _, names in unknown) for _, unknown in found]
+    h = np.fromiter((_hash(p) for _, unknown in found for _, _, names in unknown for p in names), np.int64, sum(counts))
+    hashes, kinds = block
+    out = np.zeros(len(h), np.uint8)
+    if len(hashes):
+        at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+        out = np.where(hashes[at] == h, kinds[at], 0).astype(np.uint8)
+    before = b"".join(m if m is not None else bytes(n) for m, n in zip(marks, counts))
+    flat = (out | np.frombuffer(before, np.uint8)).tobytes()
+    ends = np.cumsum([0, *counts]).tolist()
+    return [flat[a:b] for a, b in zip(ends, ends[1:])]
+
+
+def _marked(documents: DataFrame, trusted: Mapping[str, str], at: int, most: int):
+    """documents with a last column of marks by all blocks but the last one, and that one as a broadcast; at: place of the text."""
+    import pyarrow as pa
+
+    sc = documents.sparkSession.sparkContext
+    out = documents.toDF(*[f"c{i}" for i in range(len(documents.columns))]).withColumn("marks", F.lit(None).cast("binary"))
+    shared = None
+    for block in _blocks(trusted, most):
+        if shared is not None:
+
+            def run(batches, shared=shared):
+                for b in (whole.slice(k, 512) for whole in batches for k in range(0, whole.num_rows, 512)):
+                    found = [candidates(t) for t in b.column(at).to_pylist()]
+                    new = _look_up(shared.value, found, b.column(b.num_columns - 1).to_pylist())
+                    yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(new, b.schema.field(b.num_columns - 1).type)], schema=b.schema)
+
+            out = map_whole(out, run)
+        shared = sc.broadcast(block)
+    return out, shared
 
 
 def _said(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for k, s, e in spans)
 
 
-def extract(documents: DataFrame, trusted: dict[str, str], text: str = "text", id_col: str = "doc_id") -> DataFrame:
+def extract(documents: DataFrame, trusted: Mapping[str, str], text: str = "text", id_col: str = "doc_id", most: int = BLOCK) -> DataFrame:
     """id, counts of the base kinds, digest of the base spans, all spans and the number added."""
-    shared = documents.sparkSession.sparkContext.broadcast(trusted)
+    rows, shared = _marked(documents.select(col(id_col).cast("long"), col(text)), trusted, 1, most)
 
     def make():
         known = shared.value
 
-        def f(ids, texts):
-            rows = []
-            for i, t in zip(ids, texts):
-                base, added = all_spans(t, known)
+        def f(ids, texts, marks):
+            rows, found = [], [candidates(t) for t in texts]
+            for i, (base, unknown), m in zip(ids, found, _look_up(known, found, marks)):
+                added = _added(unknown, m)
                 n = [sum(k == j for k, _, _ in base) for j in range(4)]
                 rows.append((i, *n, hashlib.sha256(_said(base).encode()).hexdigest(), _said(sorted(base + added)), len(added)))
             return list(zip(*rows))
 
         return f
 
-    return map_rows(documents, [col(id_col).cast("long"), col(text)], make, "id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long").withColumnRenamed("id", id_col)
+    return map_rows(rows, [col(c) for c in rows.columns], make, "id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long").withColumnRenamed("id", id_col)
 
 
-def redacted(text: str | None, trusted: dict[str, str]) -> str | None:
+def redacted(text: str | None, trusted: Mapping[str, str]) -> str | None:
     """Spans become [KIND]; overlapping spans become one under the first one's kind."""
-    if not text:
-        return text
-    base, added = all_spans(text, trusted)
+    return _without(text, *all_spans(text, trusted)) if text else text
+
+
+def _without(text: str | None, base: list, added: list) -> str | None:
     if not base and not added:
         return text
     out, done = [], 0
@@ -222,25 +328,29 @@ def redacted(text: str | None, trusted: dict[str, str]) -> str | None:
     return "".join([*out, text[done:]])
 
 
-def redact(documents: DataFrame, trusted: dict[str, str], text: str = "text", length: str = "n_chars") -> DataFrame:
+def redact(documents: DataFrame, trusted: Mapping[str, str], text: str = "text", length: str = "n_chars", most: int = BLOCK) -> DataFrame:
     """All rows and columns, with redacted texts; an integer column ``length`` follows the new text. No shuffle."""
-    shared = documents.sparkSession.sparkContext.broadcast(trusted)
     names = documents.columns
     at, n_at = names.index(text), names.index(length) if length in names else None
+    rows, shared = _marked(documents, trusted, at, most)
+    plain = rows.drop("marks").schema
 
     def run(batches):
         import pyarrow as pa
 
         known = shared.value
         for b in (whole.slice(k, 512) for whole in batches for k in range(0, whole.num_rows, 512)):
-            new = [redacted(t, known) for t in b.column(at).to_pylist()]
-            columns = list(b.columns)
+            texts = b.column(at).to_pylist()
+            found = [candidates(t) for t in texts]
+            marks = _look_up(known, found, b.column(b.num_columns - 1).to_pylist())
+            new = [_without(t, base, _added(unknown, m)) for t, (base, unknown), m in zip(texts, found, marks)]
+            columns = list(b.columns[:-1])
             columns[at] = pa.array(new, b.schema.field(at).type)
             if n_at is not None:
                 columns[n_at] = pa.array([None if t is None else len(t) for t in new], b.schema.field(n_at).type)
-            yield pa.RecordBatch.from_arrays(columns, schema=b.schema)
+            yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(list(b.schema)[:-1]))
 
-    return map_whole(documents, run)
+    return map_batches(rows, run, plain).toDF(*names)
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

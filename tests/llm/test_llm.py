@@ -272,6 +272,22 @@ def test_pii(spark, odd, none):
     assert "[EMAIL]" in pii.redacted(rows[3][1], trusted)
 
 
+def test_pii_patterns_need_the_same_seeds_at_every_size(spark):
+    """Unrelated seeds (60,002 edges and more) take no pattern away; blocks of patterns give what one block gives."""
+    rows = [(i, f"{prose(6, i)} zulu line +1 555 0{i:03d}22 stop") for i in range(3)]
+    rows += [(100 + i, f"w{i} v{i} a{i}@x{i}.org u{i} {prose(3, i)}") for i in range(25_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    trusted = pii.bootstrap(docs)
+    assert trusted.get("l2 zulu line") == "phone" and trusted.get("l1 line") == "phone" and len(trusted) < 20
+    some = spark.createDataFrame([(10, "zulu line 5550-99x stop"), (11, None), (None, "zulu line 5550-98x stop")], docs.schema)
+    got = {r["doc_id"]: r["spans"] for r in pii.extract(some, trusted).collect()}
+    assert got[10] == got[None] == "phone:10:18" and got[11] == ""
+    known = {p: trusted[p] for p in trusted}
+    for t in (trusted, known):
+        assert {r["doc_id"]: r["spans"] for r in pii.extract(some, t, most=1).collect()} == got
+        assert {r["doc_id"]: r["text"] for r in pii.redact(some, t, most=1).collect()}[10] == "zulu line [PHONE] stop"
+
+
 def test_maxent_counts_and_base(spark):
     texts = [(i, prose(30 + i % 50, i % 90)) for i in range(200)] + [(200, None), (201, ""), (None, "q q"), (3, prose(33, 3)), (3, prose(33, 3))]
     docs = spark.createDataFrame(texts, "doc_id long, text string")
