@@ -8,9 +8,8 @@ the previous token, the token before it (skip) and the pair of both; their weigh
 start at zero on top of unigram biases.
 
 Training is distributed gradient descent: in each of ``ROUNDS`` rounds every task
-starts from the shared weights, runs Adagrad steps over its training texts (one
-position in ``STRIDE``, shifted from round to round and text to text, at every input size) and
-returns its weight change; changes are averaged by tokens, summed by blocks of
+starts from the shared weights, runs Adagrad steps over every position of its
+training texts and returns its weight change; changes are averaged by tokens, summed by blocks of
 rows across the cluster. Scoring works on numpy batches.
 
 Counts are exact over all training tokens. Tokens with a share of at least
@@ -37,7 +36,7 @@ from .words import word_hashes
 
 WORDS, CLASSES, HEAD = 1024, 32, 1 << 22
 BUCKETS, WORD_ROWS = 1 << 13, 1 << 13
-ROUNDS, STRIDE, RATE = 2, 8, 0.1
+ROUNDS, RATE = 2, 0.1
 #: Tokens of a numpy batch.
 BATCH = 1 << 14
 PER = WORDS // CLASSES
@@ -194,10 +193,10 @@ def _scatter(w: np.ndarray, acc: np.ndarray, rows: np.ndarray, g: np.ndarray, ra
 ROWS = 512
 
 
-def gradient_round(documents: DataFrame, shared, number: int, text: str, id_col: str) -> DataFrame:
+def gradient_round(documents: DataFrame, shared, text: str, id_col: str) -> DataFrame:
     """(table, block, tokens, change as float32 bytes), summed over the cluster and weighted by tokens."""
     def make():
-        model, start = shared.value
+        model = shared.value
         mine = Model(model.space)
         mine.wc, mine.ww = model.wc.copy(), model.ww.copy()
         ac, aw = np.zeros_like(mine.wc), np.zeros_like(mine.ww)
@@ -218,9 +217,8 @@ def gradient_round(documents: DataFrame, shared, number: int, text: str, id_col:
                 h, ends = tokens(keep)
                 _, sym, ctx = model.space.lookup(h)
                 rows, codes = features(ctx, ends)
-                at = np.arange((number * STRIDE // ROUNDS + len(h)) % STRIDE, len(h), STRIDE)
-                held.append((rows[at], codes[at], sym[at]))
-                seen[0] += len(at)
+                held.append((rows, codes, sym))
+                seen[0] += len(h)
                 if seen[0] >= 4 * BATCH:
                     train()
             return None
@@ -268,9 +266,9 @@ def train(documents: DataFrame, space: Space, text: str, id_col: str) -> Model:
     """The model's tables have a fixed size; only they come to the driver and go back."""
     sc = documents.sparkSession.sparkContext
     model = Model(space)
-    for number in range(ROUNDS):
-        shared = sc.broadcast((model, number))
-        got = gradient_round(documents, shared, number, text, id_col).collect()
+    for _ in range(ROUNDS):
+        shared = sc.broadcast(model)
+        got = gradient_round(documents, shared, text, id_col).collect()
         tokens = max(1, next((r["tokens"] for r in got if r["table"] == "n"), 1))
         new = Model(space)
         new.wc, new.ww = model.wc.copy(), model.ww.copy()

@@ -307,6 +307,19 @@ def test_maxent_counts_and_base(spark):
     assert maxent.language_model_scores(docs.limit(0)).count() == 0
 
 
+def test_maxent_learns_from_every_position(spark):
+    rows = [(i, prose(40, i)) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    space = maxent.prepare(maxent.token_counts(docs, "text", "doc_id"))
+    texts = [t for i, t in rows if not maxent.held_out(i)]
+    h, ends = maxent.tokens(texts)
+    _, sym, ctx = space.lookup(h)
+    contexts, codes = maxent.features(ctx, ends)
+    model = maxent.train(docs, space, "text", "doc_id")
+    assert model.wc[contexts.ravel()].any(axis=1).all()
+    assert model.ww[maxent.word_rows(codes, sym // maxent.PER).ravel()].any(axis=1).all()
+
+
 def test_maxent_is_a_distribution():
     r = np.random.default_rng(0)
     h = r.integers(0, 2**62, 3000)
