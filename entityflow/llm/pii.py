@@ -2,20 +2,23 @@
 
 Base rules find e-mail and IP addresses, card and phone numbers. Those seeds
 induce lexical patterns (the word before, the two words before, the words on
-both sides); other identifier-like tokens (three digits or more) are the
-unknown instances. On the graph of patterns and distinct instances Spark
-iterates: a pattern's confidence for a kind is the confidence mass of that
-kind's instances over all its instances, an unknown instance's is 1 minus the
-product of (1 - confidence) over its trusted patterns. Patterns of confidence
-``MIN_CONFIDENCE`` and enough distinct seeds mark unknown tokens as spans of
-their kind. Base spans are never removed.
-
-A trusted pattern needs MIN_SEEDS seeds at every input size. All trusted patterns
+both sides, the characters a span is glued to); everything else that has a
+kind's shape is an unknown instance: tokens of three digits or more and their
+parts, numbers in groups, addresses with @ or a written-out at, IPv6. On the
+graph of patterns and distinct instances Spark iterates until nothing changes:
+a pattern's confidence for a kind is the confidence mass of that kind's
+instances over all its seeds and the unknown instances that can be of the kind,
+an unknown instance's is 1 minus the product of (1 - confidence) over its
+trusted patterns. Patterns of confidence ``MIN_CONFIDENCE`` and MIN_SEEDS
+distinct seeds or discovered instances are trusted, and mark unknown instances
+as spans of their kind; of nested ones the outer stays. Base spans are never removed.
+
+A trusted pattern needs MIN_SEEDS at every input size. All trusted patterns
 stay in a written table; they go to the executors as hashes in blocks of about
 ``BLOCK``, and documents are scanned once a block, so nothing unbounded is broadcast.
 
-Edge cases: null and empty texts have no spans; tokens of more than
-``MAX_TOKEN`` characters are not identifiers; repeated rows are read each, but
+Edge cases: null and empty texts have no spans; of tokens of ``MAX_TOKEN``
+characters and more only the parts are instances; repeated rows are read each, but
 an instance counts once a pattern; positions are code points, ends exclusive.
 """
 
@@ -33,7 +36,7 @@ from pyspark.sql import functions as F
 from ._common import col, drop, map_batches, map_rows, map_whole, read, written
 
 KINDS = ("email", "ip", "card", "phone")
-MIN_CONFIDENCE, MIN_SEEDS, ROUNDS, MAX_TOKEN = 0.8, 3, 2, 100
+MIN_CONFIDENCE, MIN_SEEDS, MAX_TOKEN = 0.8, 3, 100
 #: Patterns of a broadcast (9 bytes each).
 BLOCK = 1 << 21
 
@@ -43,6 +46,12 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+_AT = re.compile(r"[@\uff20]|\s?[(\[{<]\s?(?:at|@)\s?[)\]}>]\s?|\sat\s", re.I)
+_HOST = re.compile(r"[A-Za-z0-9-]++(?:(?:\.|\s?[(\[{<]\s?(?:dot|\.)\s?[)\]}>]\s?|\sdot\s)[A-Za-z0-9-]+)*", re.I)
+_IP6 = re.compile(r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![0-9A-Za-z:])")
+_GROUPS = re.compile(r"(?<![0-9A-Za-z])\(?[0-9]++(?:[ ().-]{1,2}[0-9]++)+")
+_PARTS = re.compile(r"(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}|[A-Za-z0-9._%+()-]+")
+_NUMBERS = re.compile(r"\+?\(?[0-9][0-9().-]*")
 _DIGIT = re.compile("[0-9]")
 _NOT_DIGIT = re.compile("[^0-9]")
 
@@ -90,30 +99,71 @@ def base_spans(text: str | None) -> list[tuple[int, int, int]]:
     return out
 
 
-def unknown_tokens(text: str, spans: list[tuple[int, int, int]]):
-    """(start, end) of identifier-like tokens that touch no base span."""
-    taken = sorted((s, e) for _, s, e in spans)
-    k, pos = 0, 0
+def _addresses(text: str) -> Iterator[tuple[int, int]]:
+    """Around each @ or written-out at: the local characters before it and the host behind it; a bare word at needs a dot in the host."""
+    for m in _AT.finditer(text):
+        host = _HOST.match(text, m.end())
+        if host is None or m[0].strip().lower() == "at" and not re.search(r"\.|\sdot\s", host[0], re.I):
+            continue
+        start = m.start()
+        while start > 0 and text[start - 1] in _LOCAL and m.start() - start < MAX_TOKEN:
+            start -= 1
+        if start < m.start():
+            yield start, host.end()
+
+
+def _trimmed(text: str, start: int, end: int) -> tuple[int, int]:
+    token = text[start:end]
+    start += len(token) - len(token.lstrip("\"'([{<"))
+    return start, start + len(token.lstrip("\"'([{<").rstrip("\"')]}>.,;:!?"))
+
+
+def _tokens(text: str) -> Iterator[tuple[int, int]]:
+    """Tokens with a digit, and their parts between characters that no identifier has; tokens of MAX_TOKEN characters and more as parts only."""
+    pos = 0
     while m := _DIGIT.search(text, pos):
-        at = m.start()
-        before = text[max(pos, at - MAX_TOKEN) : at]
-        start = at - len(before) + max((i + 1 for i, c in enumerate(before) if c.isspace()), default=0)
-        end = at + 1
-        stop = min(len(text), at + MAX_TOKEN)
-        while end < stop and not text[end].isspace():
+        start, end = m.start(), m.end()
+        while start > pos and not text[start - 1].isspace():
+            start -= 1
+        while end < len(text) and not text[end].isspace():
             end += 1
         pos = end
-        if end - start >= MAX_TOKEN:
-            while pos < len(text) and not text[pos].isspace():
-                pos += 1
-            continue
-        token = text[start:end]
-        start += len(token) - len(token.lstrip("\"'([{<"))
-        end = start + len(token.lstrip("\"'([{<").rstrip("\"')]}>.,;:!?"))
-        while k < len(taken) and taken[k][1] <= start:
+        if end - start < MAX_TOKEN:
+            yield _trimmed(text, start, end)
+        for part in _PARTS.finditer(text, start, end):
+            if part.end() - part.start() < MAX_TOKEN:
+                yield _trimmed(text, part.start(), part.end())
+            else:
+                yield from (_trimmed(text, n.start(), n.end()) for n in _NUMBERS.finditer(text, part.start(), part.end()) if n.end() - n.start() < MAX_TOKEN)
+
+
+def _digits(text: str) -> int:
+    return sum(c.isdigit() for c in text)
+
+
+def unknown_tokens(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """(start, end) of what has a kind's shape and touches no base span; of those with the same start the longest."""
+    found = list(_addresses(text))
+    if _DIGIT.search(text):
+        found += [(s, e) for s, e in _tokens(text) if e - s >= 3 and _digits(text[s:e]) >= 3]
+        found += [(m.start() + (m[0][0] == "(" and ")" not in m[0]), m.end()) for m in _GROUPS.finditer(text) if 7 <= _digits(m[0]) <= 19]
+    if "::" in text or text.count(":") >= 7:
+        found += [m.span() for m in _IP6.finditer(text) if len(m[0].strip(":")) > 0 and ("::" in m[0] or m[0].count(":") == 7)]
+    taken = sorted((s, e) for _, s, e in spans)
+    longest, k = {}, 0
+    for s, e in sorted(found):
+        while k < len(taken) and taken[k][1] <= s:
             k += 1
-        if end > start and not any(s < end and start < e for s, e in taken[k : k + 4]) and sum(c.isdigit() for c in text[start:end]) >= 3:
-            yield start, end
+        if not any(a < e and s < b for a, b in taken[k : k + 4]):
+            longest[s] = e
+    return list(longest.items())
+
+
+def _can_be(token: str) -> int:
+    """Bits of the kinds whose shape the token has."""
+    if _digits(token) >= 3:
+        return 15
+    return 1 if _AT.search(token) else 2
 
 
 def patterns(text: str, start: int, end: int) -> list[str]:
@@ -121,6 +171,8 @@ def patterns(text: str, start: int, end: int) -> list[str]:
     left = [w.lower().strip("\"'([{<>}]).,;!?") for w in text[max(0, start - 80) : start].split()[-2:]]
     right = [w.lower().strip("\"'([{<>}]).,;!?") for w in text[end : end + 60].split()[:1]]
     out = []
+    if start and not text[start - 1].isspace():
+        out += [f"g3 {text[max(0, start - 3) : start].lower()}", f"g6 {text[max(0, start - 6) : start].lower()}"]
     if left and left[-1]:
         out.append(f"l1 {left[-1]}")
         if right and right[0]:
@@ -131,21 +183,22 @@ def patterns(text: str, start: int, end: int) -> list[str]:
 
 
 def edges(documents: DataFrame, text: str = "text") -> DataFrame:
-    """Distinct (pattern, instance, kind) of the corpus; kind is null for unknown instances."""
+    """Distinct (pattern, instance, kind, can) of the corpus; kind is null for unknown instances, can has the bits of the kinds they can be."""
     def make():
         def f(texts):
             found = set()
             for t in texts:
-                if t and ("@" in t or _DIGIT.search(t)):
+                if t:
                     spans = base_spans(t)
                     for k, s, e in [*spans, *((None, s, e) for s, e in unknown_tokens(t, spans))]:
                         i = xxhash.xxh3_64_intdigest(t[s:e].lower()) >> 1
-                        found.update((p, i, None if k is None else KINDS[k]) for p in patterns(t, s, e))
+                        can = _can_be(t[s:e]) if k is None else 15
+                        found.update((p, i, None if k is None else KINDS[k], can) for p in patterns(t, s, e))
             return list(zip(*found)) if found else None
 
         return f
 
-    return map_rows(documents, [col(text)], make, "pattern string, instance long, kind string").distinct()
+    return map_rows(documents, [col(text)], make, "pattern string, instance long, kind string, can int").distinct()
 
 
 def _hash(pattern: str) -> int:
@@ -206,42 +259,53 @@ def bootstrap(documents: DataFrame, text: str = "text") -> Trusted:
     """All trusted patterns and their kinds."""
     graph = written(edges(documents, text), "pii-graph")
     seeds, unknown = graph.where("kind is not null"), graph.where("kind is null")
-    total = graph.groupBy("pattern").agg(F.count("*").alias("n"))
-    support = seeds.groupBy("pattern", "kind").agg(F.count("*").alias("seeds"))
-    found = None
-    for _ in range(ROUNDS):
-        mass = support.select("pattern", "kind", F.col("seeds").cast("double").alias("mass"))
+    bit = {k: 1 << i for i, k in enumerate(KINDS)}
+    of_kind = lambda values: F.coalesce(*[F.when(F.col("kind") == k, v) for k, v in values.items()])
+    total = written(graph.groupBy("pattern").agg(*[F.sum((F.col("can").bitwiseAND(b) > 0).cast("long")).alias(k) for k, b in bit.items()]), "pii-totals")
+    support = written(seeds.groupBy("pattern", "kind").agg(F.count("*").cast("double").alias("mass"), F.count("*").alias("seeds")), "pii-seeds")
+    trusted = found = None
+    before = (-1, -1, -1.0)
+    while True:
+        mass = support
         if found is not None:  # unknown instances that trusted patterns of the last round hold
-            more = unknown.select("pattern", "instance").join(found, "instance").groupBy("pattern", "kind").agg(F.sum("confidence").alias("mass"))
-            mass = mass.unionByName(more).groupBy("pattern", "kind").agg(F.sum("mass").alias("mass"))
-        scored = mass.join(total, "pattern").join(support, ["pattern", "kind"])
-        trusted = scored.withColumn("confidence", F.col("mass") / F.col("n")).where((F.col("confidence") >= MIN_CONFIDENCE) & (F.col("seeds") >= MIN_SEEDS))
-        trusted = written(trusted.select("pattern", "kind", "confidence"), "pii-patterns")
-        if found is not None:
-            drop(found_at)
+            more = unknown.select("pattern", "instance").join(found, "instance").groupBy("pattern", "kind").agg(F.sum("confidence").alias("mass"), F.sum((F.col("confidence") >= MIN_CONFIDENCE).cast("long")).alias("seeds"))
+            mass = mass.unionByName(more).groupBy("pattern", "kind").agg(F.sum("mass").alias("mass"), F.sum("seeds").alias("seeds"))
+        scored = mass.where(F.col("seeds") >= MIN_SEEDS).join(total, "pattern").withColumn("confidence", F.col("mass") / of_kind({k: F.col(k) for k in KINDS}))
+        new = written(scored.where(F.col("confidence") >= MIN_CONFIDENCE).select("pattern", "kind", "confidence"), "pii-patterns")
         miss = F.exp(F.sum(F.log1p(-F.least(F.col("confidence"), F.lit(0.999999)))))
-        found_at = written(unknown.select("pattern", "instance").join(trusted, "pattern").groupBy("instance", "kind").agg((1 - miss).alias("confidence")), "pii-instances")
-        found = found_at
+        held = unknown.select("pattern", "instance", "can").join(new, "pattern").where(F.col("can").bitwiseAND(of_kind({k: F.lit(b) for k, b in bit.items()})) > 0)
+        new_found = written(held.groupBy("instance", "kind").agg((1 - miss).alias("confidence")), "pii-instances")
+        if found is not None:
+            drop(trusted, found)
+        trusted, found = new, new_found
+        n, x = trusted.agg(F.count("*"), F.coalesce(F.sum("confidence"), F.lit(0.0))).first()
+        now = (n, found.count(), x)
+        # Both tables and all confidences only grow, and are bounded, so this ends.
+        if now[:2] == before[:2] and x - before[2] <= 1e-6:
+            break
+        before = now
     best = Window.partitionBy("pattern").orderBy(F.desc("confidence"), "kind")
     kept = written(trusted.withColumn("r", F.row_number().over(best)).where("r = 1").select("pattern", "kind"), "pii-trusted")
-    drop(graph, trusted, found_at)
+    drop(graph, total, support, trusted, found)
     return Trusted(kept)
 
 
 def candidates(text: str | None) -> tuple[list, list]:
-    """(base spans, [(start, end, patterns, the most telling one first)] of the unknown tokens)."""
+    """(base spans, [(start, end, kinds it can be, patterns, the most telling one first)] of the unknown tokens)."""
     base = base_spans(text)
-    if not text or not _DIGIT.search(text):
+    if not text:
         return base, []
-    return base, [(s, e, patterns(text, s, e)[::-1]) for s, e in unknown_tokens(text, base)]
+    return base, [(s, e, _can_be(text[s:e]), patterns(text, s, e)[::-1]) for s, e in unknown_tokens(text, base)]
 
 
 def _added(unknown: list, marks: bytes) -> list[tuple[int, int, int]]:
     """Spans of the unknown tokens with a trusted pattern; ``marks`` has the number of the kind from 1, or 0, of every pattern in order."""
-    out, at = [], 0
-    for s, e, names in unknown:
-        if kind := next(filter(None, marks[at : at + len(names)]), 0):
+    out, at, done = [], 0, 0
+    for s, e, can, names in unknown:  # by start
+        kind = next((m for m in marks[at : at + len(names)] if m and can >> m - 1 & 1), 0)
+        if kind and e > done:
             out.append((kind - 1, s, e))
+            done = e
         at += len(names)
     return sorted(out)
 
@@ -249,13 +313,13 @@ def _added(unknown: list, marks: bytes) -> list[tuple[int, int, int]]:
 def all_spans(text: str | None, trusted: Mapping[str, str]) -> tuple[list, list]:
     """(base spans, added spans), each (kind number, start, end) in order."""
     base, unknown = candidates(text)
-    return base, _added(unknown, bytes(KINDS.index(k) + 1 if (k := trusted.get(p)) else 0 for _, _, names in unknown for p in names))
+    return base, _added(unknown, bytes(KINDS.index(k) + 1 if (k := trusted.get(p)) else 0 for *_, names in unknown for p in names))
 
 
 def _look_up(block: tuple[np.ndarray, np.ndarray], found: list, marks: list) -> list[bytes]:
     """Marks of each text's patterns: those of the blocks before, and this block's."""
-    counts = [sum(len(names) for _, _, names in unknown) for _, unknown in found]
-    h = np.fromiter((_hash(p) for _, unknown in found for _, _, names in unknown for p in names), np.int64, sum(counts))
+    counts = [sum(len(names) for *_, names in unknown) for _, unknown in found]
+    h = np.fromiter((_hash(p) for _, unknown in found for *_, names in unknown for p in names), np.int64, sum(counts))
     hashes, kinds = block
     out = np.zeros(len(h), np.uint8)
     if len(hashes):

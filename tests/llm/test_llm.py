@@ -288,6 +288,31 @@ def test_pii_patterns_need_the_same_seeds_at_every_size(spark):
         assert {r["doc_id"]: r["text"] for r in pii.redact(some, t, most=1).collect()}[10] == "zulu line [PHONE] stop"
 
 
+def test_pii_finds_what_has_a_shape(spark):
+    """Addresses without digits or @, numbers inside long unspaced runs and in groups, and contexts that only discovered instances support."""
+    def cand(t):
+        return {t[s:e] for s, e in pii.unknown_tokens(t, pii.base_spans(t))}
+
+    assert "john@localhost" in cand("mail john@localhost now") and "jane(at)example.com" in cand("or jane(at)example.com.")
+    assert "jane at example dot com" in cand("or jane at example dot com") and not cand("look at this") and "fe80::a" in cand("host fe80::a up")
+    run = "x," * 80 + "id=5550123;" + "y" * 120
+    assert "5550123" in cand(run) and "12 34 56 78" in cand("call 12 34 56 78 today")
+    assert cand("电话" * 60 + "5550199" + "。" * 9) == {"5550199"}
+
+    rows = [(i, f"{prose(4, i)} write kilo a{i}@x{i}.org stop") for i in range(30)]
+    rows += [(100 + i, f"{prose(4, i)} write kilo {n}@localhost stop") for i, n in enumerate(("ann", "bob", "cid"))]
+    rows += [(200 + i, f"{prose(4, i)} under lima {n}@localhost end") for i, n in enumerate(("ann", "bob", "cid"))]
+    rows += [(300 + i, "联" * 90 + f"号码:+1 555 0{i:03d}22 止") for i in range(30)] + [(400, "络" * 120 + "号码:5550199。" + "络" * 120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    trusted = pii.bootstrap(docs)
+    assert trusted.get("l2 write kilo") == "email" and trusted.get("l2 under lima") == "email"
+    got = {r["doc_id"]: r for r in pii.extract(docs, trusted).collect()}
+    for i, n in ((101, "bob@localhost"), (201, "bob@localhost")):
+        at = rows[[r[0] for r in rows].index(i)][1].index(n)
+        assert got[i]["spans"] == f"email:{at}:{at + len(n)}" and got[i]["n_email"] == 0
+    assert got[400]["spans"] == "phone:123:130"
+
+
 def test_maxent_counts_and_base(spark):
     texts = [(i, prose(30 + i % 50, i % 90)) for i in range(200)] + [(200, None), (201, ""), (None, "q q"), (3, prose(33, 3)), (3, prose(33, 3))]
     docs = spark.createDataFrame(texts, "doc_id long, text string")
