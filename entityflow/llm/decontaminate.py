@@ -4,9 +4,10 @@ A seed mask looks at some of the words of a window and ignores the others, so a
 window still matches after a substitution at an ignored place. Hashes of the
 benchmark's masked windows are the index; every document's windows are hashed
 with the same masks and looked up; each hit names a benchmark item and a
-diagonal, along which document and item are compared word by word. The best
-run of that comparison (a match counts 1, a mismatch -2) is the overlap; it is
-contamination when it matches at least ``min(MIN_WORDS, 80 % of the item)`` words.
+diagonal, along which document and item are compared word by word. A match
+counts 1, a mismatch -2; runs are the maximal scoring segments of that comparison
+(no part of the ends of one scores 0 or less). The overlap is the best run of those that match at least
+``min(MIN_WORDS, 80 % of the item)`` words, which makes it contamination.
 
 Words are ASCII-lower-cased and lose punctuation at their ends. Items shorter
 than the seed span are looked up as whole windows of their own length.
@@ -92,19 +93,50 @@ class Index:
                         if got[2] > best.get(k, (0, 0, 0))[2]:
                             best[k] = got
         for k, (start, length, matched) in best.items():
-            if matched >= min(MIN_WORDS, -(-8 * len(self.items[k][1]) // 10)):
+            if matched >= _need(self.items[k][1]):
                 yield k, start, length, matched
 
 
+def _need(item: np.ndarray) -> int:
+    return min(MIN_WORDS, -(-8 * len(item) // 10))
+
+
+def _runs(same: np.ndarray) -> list[tuple[int, int, int]]:
+    """(score, start, end) of all maximal scoring segments (Ruzzo and Tompa), over stretches of equal outcome."""
+    edges = [0, *(np.flatnonzero(same[1:] != same[:-1]) + 1).tolist(), len(same)]
+    out: list[tuple[int, int, int, int]] = []  # score before, score behind, start, end
+    score = 0
+    for a, b in zip(edges, edges[1:]):
+        if not same[a]:
+            score -= 2 * (b - a)
+            continue
+        low, score = score, score + b - a
+        while True:
+            j = next((j for j in range(len(out) - 1, -1, -1) if out[j][0] < low), -1)
+            if j < 0 or out[j][1] >= score:
+                break
+            low, _, a, _ = out[j]
+            del out[j:]
+        out.append((low, score, a, b))
+    return [(high - low, a, b) for low, high, a, b in out]
+
+
 def _run(words: np.ndarray, item: np.ndarray, d: int) -> tuple[int, int, int]:
-    """Best run along a diagonal: first document word, length, matched words."""
+    """Best run along a diagonal, of those with enough matched words if there are any: first document word, length, matched words."""
     lo, hi = max(0, -d), min(len(item), len(words) - d)
     same = words[lo + d : hi + d] == item[lo:hi]
     total = np.concatenate([[0], np.cumsum(np.where(same, 1, -2))])
     low = np.minimum.accumulate(total)
     end = int(np.argmax(total - low))
     start = int(np.flatnonzero(total[: end + 1] == low[end])[-1])
-    return lo + d + start, end - start, int(same[start:end].sum())
+    matched, need = int(same[start:end].sum()), _need(item)
+    if matched < need <= int(same.sum()):  # a run of a lower score can still have enough
+        enough = [(s, -a, b) for s, a, b in _runs(same) if int(same[a:b].sum()) >= need]
+        if enough:
+            _, start, end = max(enough)
+            start = -start
+            matched = int(same[start:end].sum())
+    return lo + d + start, end - start, matched
 
 
 def _blocks(benchmark: DataFrame, item: str, text: str, most: int) -> Iterator[list]:

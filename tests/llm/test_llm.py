@@ -208,6 +208,21 @@ def test_decontaminate(spark, odd, none):
     assert decontaminate.clean_documents(odd, bench).count() == 9
 
 
+def test_decontaminate_sees_every_run_of_a_diagonal():
+    item = [f"w{i}" for i in range(30)]
+    doc = [*item[:11], *(f"x{i}" for i in range(6)), *item[17:]]
+    doc[23] = "y"
+    h = words.word_hashes([" ".join(doc)], strip=True)[0]
+    assert list(decontaminate.Index([(1, " ".join(item))]).overlaps(h)) == [(0, 17, 13, 12)]
+    r = random.Random(3)
+    for _ in range(300):  # every segment whose prefixes and suffixes all score more than 0 lies in one of the runs
+        same = np.array([r.random() < 0.7 for _ in range(r.randint(1, 25))])
+        x, runs = np.where(same, 1, -2), decontaminate._runs(same)
+        for a, b in itertools.combinations(range(len(x) + 1), 2):
+            if (np.cumsum(x[a:b]) > 0).all() and (np.cumsum(x[a:b][::-1]) > 0).all():
+                assert any(s <= a and b <= e for _, s, e in runs)
+
+
 def test_toxicity(spark, odd, none):
     r = random.Random(5)
     bad = ["vileword", "nastything", "awfulness"]
