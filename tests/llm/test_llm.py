@@ -246,6 +246,12 @@ def test_toxicity(spark, odd, none):
     assert not any(x["toxic"] for x in toxicity.score(docs, toxicity.train(docs, labels.limit(0))).collect())
 
 
+def test_toxicity_fits_on_the_whole_sample():
+    import inspect
+
+    assert inspect.signature(toxicity.train).parameters["fit_rows"].default == toxicity.FIT_ROWS == 16_384
+
+
 SLOW = {
     0: r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", 1: r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", 2: r"[0-9]([\x20-]?[0-9])+", 3: r"\+[0-9][\x20().0-9-]+[0-9]",
 }
