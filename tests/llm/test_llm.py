@@ -129,6 +129,36 @@ def test_tiff_rows(spark):
     assert collections.Counter(r["doc_id"] for r in got) == {1: 2, 2: 1, 5: 1} and [r["error"] is None for r in got] == [True, True, False, False] and loop
 
 
+def test_tiff_few_bits_failing_pages_and_lzw(spark, tmp_path):
+    import struct
+
+    def page(at, bits, comp, raw, more):
+        """An uncompressed strip of 5 x 2 grey samples and its directory behind it."""
+        tags = [(256, 5), (257, 2), (258, bits), (259, comp), (262, 1), (273, at), (277, 1), (278, 2), (279, len(raw)), (284, 1)]
+        body = raw + b"\0" * (len(raw) % 2)
+        directory = struct.pack("<H", len(tags)) + b"".join(struct.pack("<HHII", t, 4, 1, v) for t, v in tags)
+        return body + directory + struct.pack("<I", at + len(body) + len(directory) + 4 + more if more >= 0 else 0)
+
+    want = {1: [1, 0, 1, 1, 0, 0, 1, 1, 0, 1], 2: [3, 0, 1, 2, 0, 1, 1, 3, 2, 2], 4: [15, 0, 7, 9, 1, 2, 3, 4, 5, 6]}
+    packed = {b: b"".join(np.packbits(np.array([[x >> k & 1 for k in range(b)[::-1]] for x in v[5 * r : 5 * r + 5]], np.uint8).ravel()).tobytes() for r in (0, 1)) for b, v in want.items()}
+    raws = [(1, 1, packed[1]), (2, 1, packed[2]), (3, 1, b"xx"), (1, tiff.PACKBITS, tiff.pack_bits(packed[1])), (4, 1, packed[4])]
+    out = struct.pack("<2sHI", b"II", 42, 8 + len(raws[0][2]))
+    for k, (bits, comp, raw) in enumerate(raws):
+        after = len(raws[k + 1][2]) + len(raws[k + 1][2]) % 2 if k + 1 < len(raws) else -1
+        out += page(len(out), bits, comp, raw, after)
+    rows = tiff.decode_pages(spark.createDataFrame([(1, bytearray(out))], "doc_id long, media binary")).collect()
+    assert [r["page"] for r in rows] == [0, 1, 2, 3, 4] and [r["error"] is None for r in rows] == [True, True, False, True, True]
+    assert [list(r["data"]) for r in rows if r["data"] is not None] == [want[1], want[2], want[1], want[4]]
+
+    docs = [(i, prose(i % 40, i)) for i in range(80)] + [(None, "q"), (3, prose(3, 3)), (90, None), (91, prose(40_000, 1) * 3)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = tiff.op10_tiff_media(spark, str(tmp_path)).collect()
+    full = lambda t: (raw := (t or "").encode()) + b" " * (-len(raw) % 192 if raw else 192)
+    assert collections.Counter((r["doc_id"], r["payload_sha256"], r["tail_crc32"]) for r in got) == collections.Counter((i, hashlib.sha256(full(t)).hexdigest(), zlib.crc32(full(t)[-16:])) for i, t in docs)
+    assert {("codec=5" in r["feature"], "tiled=1" in r["feature"]) for r in got} == set(itertools.product((True, False), repeat=2))
+    assert any("pages=2;" in r["feature"] for r in got)
+
+
 def links(sets, t):
     """Brute-force components."""
     par = list(range(len(sets)))
