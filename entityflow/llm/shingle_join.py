@@ -364,7 +364,7 @@ def components(documents: DataFrame, k: int = 3, t: int = 90, text: str = "text"
 
 def _with_partner(post: DataFrame, t: int) -> DataFrame:
     """Postings whose key another class of a possible size holds: sizes fall in buckets of ratio t / 100, so a partner is in the same or the next bucket."""
-    width = math.log(100 / t) * 0.999999 if t < 100 else 1e-9
+    width = math.log(100 / t) * 1.000001 if t < 100 else 1e-9
     sized = post.withColumn("bucket", F.floor(F.log(F.col("n").cast("double")) / F.lit(width)).cast("long"))
     held = sized.groupBy("key", "bucket").agg(F.count("*").alias("c"))
     near = held.select("key", F.explode(F.array(F.col("bucket") - 1, F.col("bucket"), F.col("bucket") + 1)).alias("bucket"), "c").groupBy("key", "bucket").agg(F.sum("c").alias("c"))

@@ -198,6 +198,12 @@ def test_shingle_join(spark, k, t):
     assert got == {i: (len(s), c) for i, (s, c) in enumerate(zip(sets, links(sets, t)))}
 
 
+def test_sizes_at_exactly_the_ratio_are_partners(spark):
+    for t, n, m in ((80, 1_991_336, 2_489_170), (90, 10_020_492, 11_133_880)):
+        post = spark.createDataFrame([("k", 1, n), ("k", 2, m), ("k", 3, 5)], "key string, id long, n long")
+        assert n * 100 == m * t and {r["id"] for r in shingle_join._with_partner(post, t).collect()} == {1, 2}
+
+
 def test_shingle_join_edges(odd, none):
     got = shingle_join.components(odd).collect()
     by = collections.defaultdict(set)
