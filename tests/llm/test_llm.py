@@ -196,6 +196,30 @@ def test_shingle_join(spark, k, t):
 
     sets = [shingles(x) for x in texts]
     assert got == {i: (len(s), c) for i, (s, c) in enumerate(zip(sets, links(sets, t)))}
+    pairs = {(a, b): len(sets[a] & sets[b]) for a, b in itertools.combinations(range(len(sets)), 2) if sets[a] and 100 * len(sets[a] & sets[b]) >= t * len(sets[a] | sets[b])}
+    first = {i: min(j for j, s in enumerate(sets) if s == sets[i]) for i in range(len(sets)) if sets[i]}
+    made, member = shingle_join.links(df, k, t)
+    assert {(x["a"], x["b"]): (x["shared"], x["n_a"], x["n_b"]) for x in made.collect()} == {p: (n, len(sets[p[0]]), len(sets[p[1]])) for p, n in pairs.items() if first[p[0]] != first[p[1]] and p == (first[p[0]], first[p[1]])}
+    assert {x["id"]: x["class"] for x in member.collect()} == first
+    ends = collections.Counter(i for p in pairs for i in p)
+    assert {x["id"]: (x["class"], x["links"]) for x in shingle_join.link_counts(df, k, t).collect()} == {i: (first.get(i), ends[i]) for i in range(len(sets))}
+
+
+def test_shingle_join_on_many_near_copies_and_hot_keys(spark, monkeypatch):
+    r = random.Random(8)
+    monkeypatch.setattr(shingle_join, "HOT", 20)
+    monkeypatch.setattr(shingle_join, "HOT_MEANS", 0)
+    base, passage = prose(150, 900).split(), prose(40, 901)
+    texts = []
+    for i in range(300):  # a group of near copies, some of which link only through others
+        w = list(base)
+        for _ in range(r.randint(0, 5)):
+            w[r.randrange(len(w))] = f"x{r.randrange(10_000)}"
+        texts.append(" ".join(w))
+    texts += [prose(r.randint(5, 200), 1000 + i) + " " + passage for i in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7, "doc_id")
+    sets = [{tuple(w[i : i + 3]) for i in range(max(1, len(w) - 2))} for w in (t.lower().split() for t in texts)]
+    assert {x["id"]: x["component"] for x in shingle_join.components(df).collect()} == dict(enumerate(links(sets, 90)))
 
 
 def test_sizes_at_exactly_the_ratio_are_partners(spark):
