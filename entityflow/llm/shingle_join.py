@@ -27,9 +27,8 @@ only make more candidates.
 
 Groups of many near copies would make the square of their size in pairs, though
 their members are one component after few of them. So links are sought in
-rounds: in a round each class meets one centre, the class that stands for its
-posting with the least seeded hash; pairs that verify join components; postings
-within one component are done. Rounds go on while they join a good part of what is
+rounds: in a round every posting meets its key's centre only, pairs that verify join
+components, and postings within one component are done. Rounds go on while they join a good part of what is
 open; then all remaining pairs of different components are verified. Only pairs inside
 one component stay unverified, so components are exact: no link between components
 is lost. ``links`` verifies all pairs of classes instead, without components.
@@ -59,7 +58,7 @@ from ._common import col, drop, map_batches, map_rows, read, written
 from .words import shingles, word_hashes
 
 #: Counters of the sketch that finds keys too frequent to gather in one task, and how far above the mean these are.
-SKETCH_BITS, HOT, HOT_MEANS = 18, 2000, 8
+SKETCH_BITS, PARTS, HOT, HOT_MEANS = 18, 16, 2000, 8
 #: Shingles that a task deals at once (with 65,535 sets at most), and of a bucket.
 FLUSH, BUCKET = 1 << 21, 1 << 21
 #: A round with centres is followed by another while it joins this share of the open classes; all rounds at most.
@@ -85,7 +84,7 @@ def classes(documents: DataFrame, k: int, text: str, id_col: str) -> DataFrame:
     number hold a task's counters of the sketch instead."""
     def make():
         total = np.zeros(1 << SKETCH_BITS, np.int64)
-        none = [None] * 6
+        none = [None] * 4
 
         def f(ids, texts):
             rows, found = [], []
@@ -98,10 +97,8 @@ def classes(documents: DataFrame, k: int, text: str, id_col: str) -> DataFrame:
             return list(zip(*rows)) if rows else None
 
         def end():
-            if not total.any():
-                return None
-            kind = np.uint16 if total.max() < TOP else np.int64
-            return [[x] for x in (*none[:4], 8 * (kind is np.int64), total.astype(kind).tobytes())]
+            rows = [(*none, part, _small(x)) for part, x in enumerate(total.reshape(PARTS, -1)) if x.any()]
+            return list(zip(*rows)) or None
 
         f.end = end
         return f
@@ -109,23 +106,31 @@ def classes(documents: DataFrame, k: int, text: str, id_col: str) -> DataFrame:
     return map_rows(documents, [col(id_col).cast("long"), col(text)], make, CLASSES)
 
 
+def _small(x: np.ndarray) -> bytes:
+    """Counters in two or eight bytes, whichever they need; the first byte says which."""
+    kind = "<u2" if x.max() < 1 << 16 else "<i8"
+    return kind[2].encode() + x.astype(kind).tobytes()
+
+
+def _add(batches):
+    """Sums of the tables of each part."""
+    total: dict[int, np.ndarray] = {}
+    for b in batches:
+        for part, raw in zip(*[c.to_pylist() for c in b.columns]):
+            x = np.frombuffer(raw, f"<{'u' if raw[:1] == b'2' else 'i'}{raw[:1].decode()}", offset=1).astype(np.int64)
+            total[part] = total[part] + x if part in total else x
+    if total:
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([_small(x) for x in total.values()], pa.binary())], names=["part", "counts"])
+
+
 def _hot(rows: DataFrame) -> tuple[np.ndarray, int]:
-    """Which counters of the sketch are hot, and the number of shingles of all rows. The tables are summed on the cluster."""
+    """Which counters of the sketch are hot, and the number of shingles of all rows. Parts of the table are summed on the cluster, in two levels."""
     schema = "part int, counts binary"
-
-    def add(batches):
-        total = np.zeros(1 << SKETCH_BITS, np.int64)
-        for b in batches:
-            for wide, raw in zip(*[c.to_pylist() for c in b.columns]):
-                total += np.frombuffer(raw, np.int64 if wide else np.uint16)
-        if total.any():
-            yield pa.RecordBatch.from_arrays([pa.array([8], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["part", "counts"])
-
-    parts = rows.where("part is not null").select("part", "counts")
-    few = map_batches(parts, add, schema).repartition(8)
-    total = np.zeros(1 << SKETCH_BITS, np.int64)
-    for r in map_batches(few, add, schema).collect():  # 8 tables of fixed size
-        total += np.frombuffer(r["counts"], np.int64)
+    salted = rows.where("part is not null").select("part", "counts").withColumn("salt", F.pmod(F.xxhash64("counts"), F.lit(16))).repartition("part", "salt").drop("salt")
+    total = np.zeros((PARTS, (1 << SKETCH_BITS) // PARTS), np.int64)
+    for r in map_batches(map_batches(salted, _add, schema).repartition("part"), _add, schema).toLocalIterator():  # a table of fixed size
+        total[r["part"]] = np.frombuffer(r["counts"], f"<{'u' if r['counts'][:1] == b'2' else 'i'}{r['counts'][:1].decode()}", offset=1)
+    total = total.ravel()
     return total > HOT + HOT_MEANS * total.sum() / len(total), int(total.sum())
 
 
@@ -374,12 +379,11 @@ def linked(pairs: DataFrame, sets: DataFrame, t: int) -> DataFrame:
 
 
 def _star_pairs(live: DataFrame, t: int, number: int) -> DataFrame:
-    """One pair a class at most: with the centre of the posting that has its least seeded hash."""
-    seed = F.lit(number)
-    length = F.expr(f"100 * least(x.n, y.n) >= {t} * greatest(x.n, y.n)")
-    centre = live.groupBy("key").agg(F.min_by(F.struct("id", "n", "comp"), F.xxhash64("id", seed)).alias("y")).select("key", "y.*")
-    mine = live.groupBy("id").agg(F.min_by(F.struct("key", "n", "comp"), F.xxhash64("key", seed)).alias("x")).select("id", "x.*")
-    met = mine.alias("x").join(centre.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") != F.col("y.comp")) & length)
+    """The pairs of each posting with its key's centre that pass the filters: as many as there are postings at most.
+    The first centre is the class with the fewest shingles before the key, the most like its fellows; later ones go by a seeded hash."""
+    by = F.struct("pos", F.xxhash64("id")) if number == 0 else F.xxhash64("id", F.lit(number))
+    centre = live.groupBy("key").agg(F.min_by(F.struct("id", "n", "pos", *MARKS, "comp"), by).alias("y")).select("key", "y.*")
+    met = live.alias("x").join(centre.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") != F.col("y.comp")) & _possible(t))
     return met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
