@@ -1,20 +1,29 @@
 """Language-model scores by a hashed maximum-entropy model.
 
-Targets are class-factored: P(w | h) = P(class | h) P(w | class, h). The ``WORDS`` most
-frequent training tokens are the model's words, in ``CLASSES`` classes by frequency;
-all other tokens are one further class, inside which a token has its smoothed
-training share. Both softmaxes are log-linear in hashed features of the history:
-the previous token, the token before it (skip) and the pair of both; their weights
-start at zero on top of unigram biases.
-
-Training is distributed gradient descent: in each of ``ROUNDS`` rounds every task
-starts from the shared weights, runs Adagrad steps over every position of its
-training texts and returns its weight change; changes are averaged by tokens, summed by blocks of
-rows across the cluster. Scoring works on numpy batches.
-
-Counts are exact over all training tokens. Tokens with a share of at least
-1 / ``HEAD`` are looked up in a broadcast table (at most HEAD of them exist at any
-size); all others are joined by hash.
+Targets are class-factored: P(w | h) = P(class | h) P(w | class). The ``WORDS`` most
+frequent training tokens are dealt into ``CLASSES`` classes by the company they keep (sums
+of random signs of the tokens before them, clustered); all other tokens are one
+further class. The class softmax is log-linear in hashed features of the history: the
+token before (n-gram), the token before that (skip) and the pair of their classes.
+Inside a class a token has its smoothed training share.
+
+Every observed pair (token before, token) is a sparse feature of its own, so what the
+model knows grows with the corpus: the first factor of the softmax chooses between
+pairs seen, with weight log n(before), and the class model, with weight log ``BACK``, and
+P(w | h) = (n(before, w) + BACK P_class(w | h)) / (n(before) + BACK), which sums to 1.
+
+Training is distributed: the first update takes the class weights from the observed
+counts of the pair feature; in each of ``ROUNDS`` rounds after it every training
+position adds its gradient (observed less expected class) to its three features, tasks
+return sums in whole numbers, and weights move by the scaled gradient. Sums do
+not depend on how the table is split, so neither do scores.
+
+Counts of tokens and pairs are exact over all training tokens. A task sends the distinct
+keys of about ``FLUSH`` tokens, packed, into buckets of the hash space (their number
+follows the input), a bucket sends back each key's total in the same order, and the
+texts' tokens meet the totals in a second shuffle, where sparse numpy batches are scored.
+
+``documents`` is a stored table: a task that is run again must see the same rows.
 
 Edge cases: a null text is empty and has its end token only; a null id counts as
 the text "" in the fold rule; repeated rows are scored each; without training
@@ -32,15 +41,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._common import col, map_batches, map_rows, read, written
-from .words import word_hashes
-
-WORDS, CLASSES, HEAD = 1024, 32, 1 << 22
-BUCKETS, WORD_ROWS = 1 << 13, 1 << 13
-ROUNDS, RATE = 2, 0.1
-#: Tokens of a numpy batch.
-BATCH = 1 << 14
-PER = WORDS // CLASSES
+from .words import mix, word_hashes
+
+WORDS, CLASSES, ROUNDS, RATE, BACK = 1 << 16, 32, 1, 0.6, 200
+#: Random signs a word is described by, three to a number; rows of a token feature.
+SIGNS, BUCKETS = 15, 1 << 13
+WIDTH = CLASSES + 1
+#: Rows of all features: token before, token before that, pair of classes (CLASSES: other tokens, CLASSES + 1: before the text).
+ROWS = 2 * BUCKETS + (CLASSES + 2) ** 2
+#: Tokens of a numpy batch, of a flush, keys of a bucket.
+BATCH, FLUSH, BUCKET = 1 << 15, 1 << 19, 1 << 21
+#: Expected counts are summed in units of 2^-15.
+UNIT = 1 << 15
 END = np.uint64(xxhash.xxh3_64_intdigest(b"\0end"))
+START = np.uint64(xxhash.xxh3_64_intdigest(b"\0start"))
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -77,271 +91,424 @@ def token_counts(documents: DataFrame, text: str, id_col: str) -> DataFrame:
     return parts.groupBy("h").agg(F.sum("c").alias("c"))
 
 
-class Space:
-    """Head counts, model words, biases: what the corpus fixes before training."""
-
-    def __init__(self, h: np.ndarray, c: np.ndarray, total: int, distinct: int):
-        h = h.view(np.uint64)
-        order = np.argsort(h)
-        self.h, self.c, self.total, self.distinct = h[order], c[order], total, distinct
-        self.z = total + 0.1 * (distinct + 1)
-        top = np.lexsort((self.h, -self.c))[:WORDS]
-        self.sym = np.full(len(self.h), -1, np.int32)
-        self.sym[top] = np.arange(len(top))  # number by frequency; class = number // PER
-        counts = np.zeros(WORDS)
-        counts[: len(top)] = self.c[top] + 0.1
-        self.rare_z = max(self.z - counts.sum(), 0.1)
-        by_class = counts.reshape(CLASSES, PER)
-        mass = np.append(by_class.sum(axis=1), self.rare_z) / self.z
-        with np.errstate(divide="ignore"):
-            self.class_bias = np.maximum(np.log(mass), -1e9).astype(np.float32)
-            self.word_bias = np.maximum(np.log(by_class / np.maximum(by_class.sum(axis=1, keepdims=True), 1e-300)), -1e9).astype(np.float32)
-
-    def lookup(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Head count (-1: not in the head), model word (-1: none) and history code of each token."""
-        if not len(self.h):
-            c, sym = np.full(len(h), -1), np.full(len(h), -1, np.int32)
-        else:
-            at = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
-            hit = self.h[at] == h
-            c, sym = np.where(hit, self.c[at], -1), np.where(hit, self.sym[at], -1)
-        return c, sym, np.where(sym >= 0, sym, WORDS + (h >> np.uint64(54)).astype(np.int64))
-
-
 def tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all tokens with an end behind each text, and where texts end."""
     rows = [np.append(h, END) for h in word_hashes(texts)]
     return np.concatenate(rows), np.cumsum([len(r) for r in rows])
 
 
-def features(ctx: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Class-table rows (tokens, 3) and history codes (tokens, 2); code 2 WORDS stands for before the text."""
-    n = len(ctx)
-    one, two = np.full(n, 2 * WORDS), np.full(n, 2 * WORDS)
-    one[1:], two[2:] = ctx[:-1], ctx[:-2]
+def before(x: np.ndarray, ends: np.ndarray, start) -> tuple[np.ndarray, np.ndarray]:
+    """Of each position what stands one and two places before it in its text, ``start`` before the text."""
+    one, two = np.empty_like(x), np.empty_like(x)
+    one[1:], two[2:] = x[:-1], x[:-2]
     starts = np.append(0, ends[:-1])
-    one[starts] = 2 * WORDS
-    two[starts] = 2 * WORDS
     second = starts[ends - starts > 1] + 1
-    two[second] = 2 * WORDS
-    pair = ((one * 4099 + two).astype(np.uint64) * _K1) >> np.uint64(64 - 16)
-    width = 2 * WORDS + 1
-    rows = np.stack([one, width + two, 2 * width + pair.astype(np.int64) % (BUCKETS - 2 * width)], axis=1)
-    return rows, np.stack([one, two], axis=1)
+    one[starts] = start
+    two[starts] = start
+    two[second] = start
+    return one, two
+
+
+class Words:
+    """Numbers of the model's words by hash: three tables by different bits, the next for words whose slot is taken."""
+
+    BITS = 18
+
+    def __init__(self, h: np.ndarray):
+        self.h = h
+        left, self.levels = np.arange(len(h)), []
+        for shift in (44, 24, 4):
+            slot = self._slot(h[left], shift)
+            table = np.full(1 << self.BITS, -1, np.int32)
+            table[slot[::-1]] = left[::-1]
+            more = np.zeros(1 << self.BITS, bool)
+            out = table[slot] != left
+            more[slot[out]] = True
+            self.levels.append((shift, table, more))
+            left = left[out]
+        self.rest = left
+
+    def _slot(self, h: np.ndarray, shift: int) -> np.ndarray:
+        return ((h >> np.uint64(shift)) & np.uint64((1 << self.BITS) - 1)).astype(np.int64)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Number of each token's word, -1 for others."""
+        out = np.full(len(h), -1, np.int32)
+        if not len(self.h):
+            return out
+        left = np.arange(len(h))
+        for shift, table, more in self.levels:
+            slot = self._slot(h[left], shift)
+            got = table[slot]
+            hit = (got >= 0) & (self.h[got] == h[left])
+            out[left[hit]] = got[hit]
+            left = left[~hit & more[slot]]
+            if not len(left):
+                return out
+        for i in self.rest.tolist():
+            out[left[h[left] == self.h[i]]] = i
+        return out
+
+
+class Model:
+    """Words, classes, biases and weights: what the corpus fixes. Tables of fixed size."""
+
+    def __init__(self, h: np.ndarray, c: np.ndarray, total: int, distinct: int):
+        self.words, self.c, self.total, self.distinct = Words(h), c, total, distinct
+        self.z = total + 0.1 * (distinct + 1)
+        self.w = np.zeros((ROWS, WIDTH), np.float32)
+        self.set_classes(np.zeros(len(h), np.int64))
 
+    def set_classes(self, of: np.ndarray) -> None:
+        self.class_of = np.append(of, CLASSES).astype(np.int64)  # number -1 is any other token
+        self.mass = np.bincount(of, weights=self.c + 0.1, minlength=WIDTH)
+        self.mass[CLASSES] = max(self.z - self.mass.sum(), 0.1)
+        with np.errstate(divide="ignore"):
+            self.bias = np.maximum(np.log(self.mass / self.z), -1e9).astype(np.float32)
+
+    def features(self, h: np.ndarray, number: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Classes of the tokens and the rows (3, tokens) of their histories."""
+        cls = self.class_of[number]
+        one, two = before((h >> np.uint64(51)).astype(np.int64), ends, int(START >> np.uint64(51)))
+        a, b = before(cls, ends, CLASSES + 1)
+        return cls, np.stack([one, BUCKETS + two, 2 * BUCKETS + a * (CLASSES + 2) + b])
+
+    def probabilities(self, rows: np.ndarray) -> np.ndarray:
+        """P(class | history), one row a position."""
+        x = self.w[rows[0]]
+        x += self.w[rows[1]]
+        x += self.w[rows[2]]
+        x += self.bias
+        x -= x.max(axis=1, keepdims=True)
+        np.exp(x, out=x)
+        x /= x.sum(axis=1, keepdims=True)
+        return x
+
+    def class_p(self, cls: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        out = np.empty(len(cls))
+        for k in range(0, len(cls), BATCH):
+            p = self.probabilities(rows[:, k : k + BATCH])
+            out[k : k + BATCH] = p[np.arange(len(p)), cls[k : k + BATCH]]
+        return out
 
-def word_rows(codes: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """Word-table rows of the previous and the skip token within a class."""
-    a = ((codes[:, 0] * CLASSES + classes).astype(np.uint64) * _K1) >> np.uint64(64 - 12)
-    b = ((codes[:, 1] * CLASSES + classes).astype(np.uint64) * _K2) >> np.uint64(64 - 12)
-    return np.stack([a.astype(np.int64), 4096 + b.astype(np.int64)], axis=1)
 
+# -- tables summed over the cluster, in whole numbers ------------------------------------
+SUMS = "block int, sums binary"
+_BLOCKS = 64
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
+def _packed(x: np.ndarray) -> bytes:
+    """Integers in the fewest bytes that hold them; the first byte says how many."""
+    most = max(int(x.max()), -int(x.min()) - 1)
+    n = next(n for n in (1, 2, 4, 8) if most < 1 << (8 * n - 1))
+    return bytes([n]) + x.astype(f"<i{n}").tobytes()
 
-class Model:
-    def __init__(self, space: Space):
-        self.space = space
-        self.wc = np.zeros((BUCKETS, CLASSES + 1), np.float32)
-        self.ww = np.zeros((WORD_ROWS, PER), np.float32)
-
-    def log_p(self, rows: np.ndarray, codes: np.ndarray, sym: np.ndarray) -> np.ndarray:
-        """Natural log of P(class) and, for model words, P(word | class)."""
-        out = np.empty(len(sym))
-        for k in range(0, len(sym), BATCH):
-            r, s = rows[k : k + BATCH], sym[k : k + BATCH]
-            cls = np.where(s >= 0, s // PER, CLASSES)
-            x = _log_softmax(self.space.class_bias + self.wc[r[:, 0]] + self.wc[r[:, 1]] + self.wc[r[:, 2]])
-            p = x[np.arange(len(s)), cls].astype(np.float64)
-            known = np.flatnonzero(s >= 0)
-            wr = word_rows(codes[k : k + BATCH][known], cls[known])
-            y = _log_softmax(self.space.word_bias[cls[known]] + self.ww[wr[:, 0]] + self.ww[wr[:, 1]])
-            p[known] += y[np.arange(len(known)), s[known] % PER]
-            out[k : k + BATCH] = p
-        return out
 
-    def step(self, rows: np.ndarray, codes: np.ndarray, sym: np.ndarray, ac: np.ndarray, aw: np.ndarray, rate: float) -> None:
-        """One Adagrad step on a batch of positions."""
-        n = len(sym)
-        cls = np.where(sym >= 0, sym // PER, CLASSES)
-        g = -np.exp(_log_softmax(self.space.class_bias + self.wc[rows[:, 0]] + self.wc[rows[:, 1]] + self.wc[rows[:, 2]]))
-        g[np.arange(n), cls] += 1
-        _scatter(self.wc, ac, rows.T.ravel(), np.concatenate([g, g, g]), rate)
-        known = np.flatnonzero(sym >= 0)
-        if len(known):
-            wr = word_rows(codes[known], cls[known])
-            g = -np.exp(_log_softmax(self.space.word_bias[cls[known]] + self.ww[wr[:, 0]] + self.ww[wr[:, 1]]))
-            g[np.arange(len(known)), sym[known] % PER] += 1
-            _scatter(self.ww, aw, wr.T.ravel(), np.concatenate([g, g]), rate)
-
-
-def _scatter(w: np.ndarray, acc: np.ndarray, rows: np.ndarray, g: np.ndarray, rate: float) -> None:
-    """Sum gradients by row, then w += rate g / sqrt(acc)."""
-    order = np.argsort(rows, kind="stable")
-    r = rows[order]
-    starts = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
-    g = np.add.reduceat(g[order], starts, axis=0)
-    at = r[starts]
-    acc[at] += g * g
-    w[at] += rate * g / np.sqrt(acc[at] + 1.0)
-
-
-#: Weight rows of a block that goes through the shuffle.
-ROWS = 512
-
-
-def gradient_round(documents: DataFrame, shared, text: str, id_col: str) -> DataFrame:
-    """(table, block, tokens, change as float32 bytes), summed over the cluster and weighted by tokens."""
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, f"<i{raw[0]}", offset=1).astype(np.int64)
+
+
+def _sum_blocks(batches):
+    total: dict[int, np.ndarray] = {}
+    for b in batches:
+        for k, raw in zip(*[c.to_pylist() for c in b.columns]):
+            x = _unpacked(raw)
+            total[k] = total[k] + x if k in total else x
+    if total:
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([_packed(x) for x in total.values()], pa.binary())], names=["block", "sums"])
+
+
+def summed(documents: DataFrame, shared, add, shape: tuple[int, int], text: str, id_col: str) -> np.ndarray:
+    """Sum over all training texts of what ``add(model, table, hashes, ends)`` adds to a table of integers."""
     def make():
         model = shared.value
-        mine = Model(model.space)
-        mine.wc, mine.ww = model.wc.copy(), model.ww.copy()
-        ac, aw = np.zeros_like(mine.wc), np.zeros_like(mine.ww)
-        held: list = []
-        seen = [0, 0]
-
-        def train():
-            rows, codes, sym = (np.concatenate(x) for x in zip(*held))
-            held.clear()
-            seen[0] = 0
-            for k in range(0, len(sym), BATCH):
-                mine.step(rows[k : k + BATCH], codes[k : k + BATCH], sym[k : k + BATCH], ac, aw, RATE)
-            seen[1] += len(sym)
+        table = np.zeros(shape, np.int64)
 
         def f(ids, texts):
-            keep = [t for i, t in zip(ids, texts) if not held_out(i)]
-            if keep:
-                h, ends = tokens(keep)
-                _, sym, ctx = model.space.lookup(h)
-                rows, codes = features(ctx, ends)
-                held.append((rows, codes, sym))
-                seen[0] += len(h)
-                if seen[0] >= 4 * BATCH:
-                    train()
+            if keep := [t for i, t in zip(ids, texts) if not held_out(i)]:
+                add(model, table, *tokens(keep))
             return None
 
         def end():
-            if held:
-                train()
-            if not seen[1]:
-                return None
-            out = []
-            for name, new, old in (("c", mine.wc, model.wc), ("w", mine.ww, model.ww)):
-                change = (new - old) * np.float32(seen[1])
-                out += [(name, k // ROWS, seen[1], change[k : k + ROWS].tobytes()) for k in range(0, len(change), ROWS) if change[k : k + ROWS].any()]
-            out.append(("n", 0, seen[1], b""))
-            return list(zip(*out))
+            blocks = np.array_split(table.ravel(), _BLOCKS)
+            return list(zip(*[(k, _packed(x)) for k, x in enumerate(blocks) if x.any()])) or None
 
         f.end = end
         return f
 
-    parts = map_rows(documents, [col(id_col).cast("string"), col(text)], make, CHANGES)
-    # Two levels, so the parts that meet in a task grow slower than the number of training tasks.
-    salted = parts.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(64))).repartition("table", "block", "salt").drop("salt")
-    return map_batches(map_batches(salted, _add, CHANGES).repartition("table", "block"), _add, CHANGES)
+    parts = map_rows(documents, [col(id_col).cast("string"), col(text)], make, SUMS)
+    # Two levels, so the parts that meet in a task grow slower than the number of tasks.
+    salted = parts.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(16))).repartition("block", "salt").drop("salt")
+    out = np.zeros(shape, np.int64)
+    blocks = np.array_split(out.reshape(-1), _BLOCKS)  # views
+    for r in map_batches(map_batches(salted, _sum_blocks, SUMS).repartition("block"), _sum_blocks, SUMS).toLocalIterator():
+        blocks[r["block"]] += _unpacked(r["sums"])
+    return out
+
+
+_LANE = np.array([1.0, 2.0**16, 2.0**32])
+#: Positions whose counts a lane of 16 bits holds.
+_LANE_MOST = (1 << 16) - 1
+
+
+def company(model: Model, table: np.ndarray, h: np.ndarray, ends: np.ndarray) -> None:
+    """Adds to each word's column how often each sign of the two tokens before it is set, and how many there were."""
+    number = model.words.find(h)
+    known = np.append(number, -1)
+    at = np.arange(len(h))
+    words = table.shape[1]
+    for near in before(at, ends, len(h)):
+        m = np.flatnonzero((number >= 0) & (known[near] >= 0))
+        for a in range(0, len(m), _LANE_MOST):
+            p = m[a : a + _LANE_MOST]
+            w, signs = number[p], mix(h[near[p]])
+            table[SIGNS] += np.bincount(w, minlength=words)
+            for k in range(0, SIGNS, 3):
+                lanes = sum(((signs >> np.uint64(k + j)) & np.uint64(1)) * _LANE[j] for j in range(3))
+                got = np.bincount(w, weights=lanes, minlength=words).astype(np.int64)
+                for j in range(3):
+                    table[k + j] += (got >> 16 * j) & 0xFFFF
+
+
+def classes_of(model: Model, table: np.ndarray) -> np.ndarray:
+    """Classes of the words: weighted k-means on the shares of signs, from the words that lie farthest apart."""
+    n, c = len(model.c), model.c.astype(float)
+    if not n:
+        return np.zeros(0, np.int64)
+    seen, signs = table[SIGNS, :n].astype(float), table[:SIGNS, :n].T
+    mean = signs.sum(axis=0) / max(seen.sum(), 1)
+    x = (signs + 10 * mean) / (seen + 10)[:, None] - mean
+    _, axes = np.linalg.eigh((x * c[:, None]).T @ x)
+    x = x @ axes[:, -8:]
+    centre = [x[0]]
+    far = ((x - x[0]) ** 2).sum(axis=1)
+    while len(centre) < min(CLASSES, n):
+        centre.append(x[int(np.argmax(far * c))])
+        far = np.minimum(far, ((x - centre[-1]) ** 2).sum(axis=1))
+    centre = np.array(centre)
+    for _ in range(20):
+        of = ((centre**2).sum(axis=1) - 2 * x @ centre.T).argmin(axis=1)
+        weight = np.bincount(of, weights=c, minlength=len(centre))
+        total = np.stack([np.bincount(of, weights=c * x[:, j], minlength=len(centre)) for j in range(x.shape[1])], axis=1)
+        centre = np.where(weight[:, None] > 0, total / np.maximum(weight, 1e-300)[:, None], centre)
+    return of
+
+
+def observed(model: Model, table: np.ndarray, h: np.ndarray, ends: np.ndarray) -> None:
+    cls, rows = model.features(h, model.words.find(h), ends)
+    for r in rows:
+        table += np.bincount(r * WIDTH + cls, minlength=table.size).reshape(table.shape)
+
+
+def expected(model: Model, table: np.ndarray, h: np.ndarray, ends: np.ndarray) -> None:
+    """Adds every position's class probabilities, in units, to its three features."""
+    _, rows = model.features(h, model.words.find(h), ends)
+    for k in range(0, rows.shape[1], BATCH):
+        batch = rows[:, k : k + BATCH]
+        p = np.rint(model.probabilities(batch) * UNIT).astype(np.int32)
+        for r in batch:
+            order = np.argsort(r.astype(np.uint16), kind="stable")
+            r = r[order]
+            starts = np.flatnonzero(np.append(True, r[1:] != r[:-1]))
+            table[r[starts]] += np.add.reduceat(p[order], starts, axis=0)
+
+
+def train(documents: DataFrame, model: Model, text: str, id_col: str) -> Model:
+    """Classes, first weights from observed counts, then gradient rounds. Only tables of fixed size come to the driver and go back."""
+    sc = documents.sparkSession.sparkContext
+
+    def over(add, shape):
+        shared = sc.broadcast(model)
+        out = summed(documents, shared, add, shape, text, id_col)
+        shared.unpersist()
+        return out
 
+    model.set_classes(classes_of(model, over(company, (SIGNS + 1, WORDS))))
+    seen = over(observed, (ROWS, WIDTH))
+    share = np.exp(model.bias.astype(float))
+    pair = seen[2 * BUCKETS :].astype(float)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        model.w[2 * BUCKETS :] = np.where(share > 0, np.log((pair + 20 * share) / (pair.sum(axis=1, keepdims=True) + 20) / share), 0)
+    for _ in range(ROUNDS):
+        e = over(expected, (ROWS, WIDTH)) / UNIT
+        model.w = model.w + (RATE * (seen - e) / (0.5 * (seen + e) + 4)).astype(np.float32)
+    return model
 
-CHANGES = "table string, block int, tokens long, change binary"
 
+def prepare(counts: DataFrame) -> Model:
+    total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    top = counts.orderBy(F.desc("c"), "h").limit(WORDS).toPandas()
+    return Model(top["h"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64), int(total), int(distinct))
 
-def _add(batches):
-    """Sum of the changes of each block in this partition: a stream that holds one array a block."""
-    total: dict = {}
-    for b in batches:
-        for t, k, n, raw in zip(*[c.to_pylist() for c in b.columns]):
-            x = np.frombuffer(raw, np.float32).astype(np.float64)
-            if (t, k) in total:
-                total[t, k][0] += n
-                total[t, k][1] += x
-            else:
-                total[t, k] = [n, x]
-    if total:
-        yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in total], pa.string()), pa.array([k for _, k in total], pa.int32()), pa.array([v[0] for v in total.values()], pa.int64()), pa.array([v[1].astype(np.float32).tobytes() for v in total.values()], pa.binary())], names=["table", "block", "tokens", "change"])
 
+# -- exact totals of all tokens and pairs -----------------------------------------------
+PACKED = "bucket int, flush long, data binary"
 
-def train(documents: DataFrame, space: Space, text: str, id_col: str) -> Model:
-    """The model's tables have a fixed size; only they come to the driver and go back."""
-    sc = documents.sparkSession.sparkContext
-    model = Model(space)
-    for _ in range(ROUNDS):
-        shared = sc.broadcast(model)
-        got = gradient_round(documents, shared, text, id_col).collect()
-        tokens = max(1, next((r["tokens"] for r in got if r["table"] == "n"), 1))
-        new = Model(space)
-        new.wc, new.ww = model.wc.copy(), model.ww.copy()
-        for r in got:
-            if r["table"] != "n":
-                w = new.wc if r["table"] == "c" else new.ww
-                x = np.frombuffer(r["change"], np.float32).reshape(-1, w.shape[1]) / tokens
-                w[r["block"] * ROWS : r["block"] * ROWS + len(x)] += x
-        model = new
-        shared.unpersist()
-    return model
 
+def pair_keys(h: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    one, _ = before(h, ends, START)
+    return mix(one * _K1 + h * _K2 + np.uint64(1))
 
-def prepare(counts: DataFrame) -> Space:
-    total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    head = counts.where(F.col("c") * HEAD >= total).toPandas()  # HEAD rows at most
-    return Space(head["h"].to_numpy(np.int64), head["c"].to_numpy(np.int64), int(total), int(distinct))
 
+def _counts(c: np.ndarray) -> bytes:
+    """A byte each; larger ones behind them in eight bytes."""
+    big = c[c >= 255].astype("<u8")
+    return np.minimum(c, 255).astype(np.uint8).tobytes() + big.tobytes()
 
-SCORED = "doc_id long, t long, h long, m long, base double, score double, n_tokens long, n_known long"
 
+def _read_counts(raw: bytes, n: int, at: int = 0) -> np.ndarray:
+    c = np.frombuffer(raw, np.uint8, n, at).astype(np.int64)
+    if at + n < len(raw):
+        c[c == 255] = np.frombuffer(raw, "<u8", offset=at + n).astype(np.int64)
+    return c
 
-def score(documents: DataFrame, counts: DataFrame, model: Model, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score per row."""
-    space = model.space
-    shared = documents.sparkSession.sparkContext.broadcast(model)
 
+class _Flushes:
+    """Texts gathered into flushes, alike in both passes; a flush is named by what it holds."""
+
+    def __init__(self, emit):
+        self.emit, self.ids, self.found, self.size = emit, [], [], 0
+
+    def __call__(self, ids, texts):
+        self.ids += ids
+        self.found += word_hashes(texts)
+        self.size += sum(map(len, self.found[-len(ids) :])) + len(ids)
+        return self.end() if self.size >= FLUSH else None
+
+    def end(self):
+        if not self.ids:
+            return None
+        h = np.concatenate([x for w in self.found for x in (w, (END,))]).astype(np.uint64)
+        ends = np.cumsum([len(w) + 1 for w in self.found])
+        name = xxhash.xxh3_64_intdigest(repr(self.ids).encode() + ends.tobytes() + h.tobytes()) >> 1
+        out = self.emit(name, self.ids, h, ends)
+        self.ids, self.found, self.size = [], [], 0
+        return out
+
+
+def _keys(documents: DataFrame, buckets: int, text: str, id_col: str) -> DataFrame:
+    """Distinct keys of a flush (the low seven bytes of each; the bucket has the high bits) and their training counts, by bucket."""
     def make():
-        known = shared.value
-        ln10, z, rare = np.log(10), np.log10(known.space.z), np.log10(known.space.rare_z)
+        def emit(flush, ids, h, ends):
+            learn = np.repeat([not held_out(i) for i in ids], np.diff(ends, prepend=0))
+            u, at = np.unique(np.concatenate([h, pair_keys(h, ends)]), return_inverse=True)
+            c = np.bincount(at[np.append(learn, learn)], minlength=len(u))
+            bucket = ((u >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+            cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])).tolist()
+            low = np.ascontiguousarray(u.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7])
+            return list(zip(*[(int(bucket[a]), flush, (b - a).to_bytes(4, "little") + low[a:b].tobytes() + _counts(c[a:b])) for a, b in zip(cuts, [*cuts[1:], len(u)])]))
 
-        def f(ids, texts):
-            h, ends = tokens(texts)
-            c, sym, ctx = known.space.lookup(h)
-            rows, codes = features(ctx, ends)
-            p = known.log_p(rows, codes, sym) / ln10
-            logc = np.where(c >= 0, np.log10(np.maximum(c, 0) + 0.1), 0.0)
-            starts = np.append(0, ends[:-1])
-            tail = np.flatnonzero(c < 0)
-            n, k = len(texts), len(tail)
-            of = np.append(np.arange(n), np.searchsorted(ends, tail, "right"))
-
-            def head(x, kind):  # one row a text, then one row a tail token
-                return pa.array(np.append(x, np.zeros(k, x.dtype)), kind)
-
-            add = lambda x: np.add.reduceat(x, starts)  # noqa: E731  every text has its end token
-            mark = pa.array([xxhash.xxh3_64_intdigest((t or "").encode()) >> 1 for t in texts], pa.int64())
-            joined = pa.array(np.append(np.zeros(n, np.int64), h[tail].view(np.int64)), pa.int64(), mask=np.arange(n + k) < n)
-            return [
-                pa.array(ids, pa.int64()).take(pa.array(of)), mark.take(pa.array(of)), joined, head(np.ones(n, np.int64), pa.int64()),
-                head(add(logc - z), pa.float64()), head(add(p + np.where(sym < 0, logc - rare, 0.0)), pa.float64()),
-                head(np.diff(ends, prepend=0), pa.int64()), head(add((c > 0).astype(np.int64)), pa.int64()),
-            ]
+        return _Flushes(emit)
 
-        return f
+    return map_rows(documents, [col(id_col).cast("long"), col(text)], make, PACKED)
+
+
+def _groups(batches, by: int):
+    """Rows of neighbouring batches that agree in column ``by``."""
+    at, held = None, []
+    for b in batches:
+        for row in zip(*[c.to_pylist() for c in b.columns]):
+            if row[by] != at:
+                if held:
+                    yield at, held
+                at, held = row[by], []
+            held.append(row)
+    if held:
+        yield at, held
+
+
+def _totals(batches):
+    """One bucket at a time: each flush's keys' totals, in its order."""
+    for bucket, rows in _groups(batches, 0):
+        sizes = [int.from_bytes(r[2][:4], "little") for r in rows]
+        key = np.zeros((sum(sizes), 8), np.uint8)
+        key[:, :7] = np.concatenate([np.frombuffer(r[2], np.uint8, 7 * n, 4).reshape(n, 7) for r, n in zip(rows, sizes)])
+        key = key.view("<u8").ravel()
+        c = np.concatenate([_read_counts(r[2], n, 4 + 7 * n) for r, n in zip(rows, sizes)])
+        order = np.argsort(key, kind="stable")
+        k = key[order]
+        starts = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
+        total = np.empty(len(k), np.int64)
+        total[order] = np.repeat(np.add.reduceat(c[order], starts), np.diff(np.append(starts, len(k))))
+        ends = np.cumsum(sizes).tolist()
+        yield pa.RecordBatch.from_arrays([pa.array([bucket] * len(rows), pa.int32()), pa.array([r[1] for r in rows], pa.int64()), pa.array([(b - a).to_bytes(4, "little") + _counts(total[a:b]) for a, b in zip([0, *ends], ends)], pa.binary())], names=["bucket", "flush", "data"])
+
+
+def _texts(documents: DataFrame, text: str, id_col: str) -> DataFrame:
+    """A flush's texts: ids, lengths, distinct token hashes and three bytes for each token."""
+    def make():
+        def emit(flush, ids, h, ends):
+            u, at = np.unique(h, return_inverse=True)
+            some = np.array([i is not None for i in ids], np.uint8)
+            head = np.array([len(ids), len(u)], np.int64).tobytes()
+            place = np.ascontiguousarray(at.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3]) if len(u) < 1 << 24 else at.astype("<u4").view(np.uint8).reshape(-1, 4)
+            return [[-1], [flush], [head + some.tobytes() + np.array([i or 0 for i in ids], np.int64).tobytes() + np.diff(ends, prepend=0).astype(np.int64).tobytes() + u.tobytes() + place.tobytes()]]
+
+        return _Flushes(emit)
+
+    return map_rows(documents, [col(id_col).cast("long"), col(text)], make, PACKED)
+
+
+SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+
+
+def _scores(model: Model, rows: list) -> list:
+    """Columns of SCORED of one flush: its texts and the totals of its keys from all buckets. Flushes that hold the same are one here, scored once each."""
+    every = [r[2] for r in rows if r[0] < 0]
+    raw, copies = every[0], len(every)
+    rows = list({r[0]: r for r in rows if r[0] >= 0}.values())
+    texts, words = np.frombuffer(raw, np.int64, 2).tolist()
+    some = np.frombuffer(raw, np.uint8, texts, 16).astype(bool)
+    at = 16 + texts
+    ids, size = np.frombuffer(raw, np.int64, texts, at), np.frombuffer(raw, np.int64, texts, at + 8 * texts)
+    u = np.frombuffer(raw, np.uint64, words, at + 16 * texts)
+    at += 16 * texts + 8 * words
+    n, ends = int(size.sum()), np.cumsum(size)
+    width = (len(raw) - at) // n
+    place = np.zeros((n, 4), np.uint8)
+    place[:, :width] = np.frombuffer(raw, np.uint8, n * width, at).reshape(n, width)
+    place = place.view("<u4").ravel()
+    h = u[place]
+    totals = np.concatenate([_read_counts(r[2], int.from_bytes(r[2][:4], "little"), 4) for r in sorted(rows, key=lambda r: r[0])])
+    _, key = np.unique(np.concatenate([h, pair_keys(h, ends)]), return_inverse=True)
+    c, pair = totals[key[:n]], totals[key[n:]]
+    number = model.words.find(u)[place]
+    cls, features = model.features(h, number, ends)
+    share = (c + 0.1) / model.mass[cls]
+    first, _ = before(np.arange(n), ends, n)
+    seen = np.append(c, totals[key[int(ends[0]) - 1]])[first]  # before the text: as often as ends
+    p = (pair + BACK * model.class_p(cls, features) * share) / (seen + BACK)
+    starts = ends - size
+    add = lambda x: np.add.reduceat(x, starts)  # noqa: E731  every text has its end token
+    null = ~some
+    out = [
+        pa.array(ids, pa.int64(), mask=null), pa.array([held_out(i if s else None) for i, s in zip(ids.tolist(), some.tolist())], pa.bool_()), pa.array(size, pa.int64()),
+        pa.array(add((c > 0).astype(np.int64)), pa.int64()), pa.array(np.full(texts, model.total), pa.int64()),
+        pa.array(add(np.log10((c + 0.1) / model.z)), pa.float64()), pa.array(add(np.log10(p)), pa.float64()),
+    ]
+    return [pa.concat_arrays([x] * copies) for x in out]
+
+
+def score(documents: DataFrame, model: Model, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score per row."""
+    spark = documents.sparkSession
+    shared = spark.sparkContext.broadcast(model)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-model.total // BUCKET))
+    keys = _keys(documents, max(64, parts), text, id_col).repartition(parts, "bucket").sortWithinPartitions("bucket")
+    both = map_batches(keys, _totals, PACKED).unionByName(_texts(documents, text, id_col))
+
+    def run(batches):
+        for _, rows in _groups(batches, 1):
+            yield pa.RecordBatch.from_arrays(_scores(shared.value, rows), names=[c.split()[0] for c in SCORED.split(", ")])
 
-    rows = written(map_rows(documents, [col(id_col).cast("long"), col(text)], make, SCORED), "lm-scores")
-    c = F.coalesce("c", F.lit(0))
-    found = rows.where("h is not null").select("doc_id", "t", "h").join(counts.select("h", "c"), "h", "left")
-    tail = found.groupBy("doc_id", "t").agg(F.lit(0).cast("long").alias("m"), F.sum(F.log10(c + F.lit(0.1))).alias("base"), F.sum((c > 0).cast("long")).alias("n_known"))
-    tail = tail.select("doc_id", "t", "m", "base", F.col("base").alias("score"), F.lit(0).cast("long").alias("n_tokens"), "n_known")
-    both = rows.where("h is null").drop("h").unionByName(tail)
-    one = both.groupBy("doc_id", "t").agg(*[F.sum(x).alias(x) for x in ("m", "base", "score", "n_tokens", "n_known")])
-    each = one.select("doc_id", *[(F.col(x) / F.col("m")).alias(x) for x in ("base", "score")], *[F.expr(f"{x} div m").alias(x) for x in ("n_tokens", "n_known")], F.explode(F.sequence(F.lit(1).cast("long"), F.col("m"))))  # equal rows share a key
-    out = (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 10) == 0
-    return each.select(F.col("doc_id").alias(id_col), out.alias("held_out"), "n_tokens", "n_known", F.lit(space.total).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score")
+    out = map_batches(both.repartition(parts, "flush").sortWithinPartitions("flush"), run, SCORED, __name__)
+    return out.withColumnRenamed("doc_id", id_col) if id_col != "doc_id" else out
 
 
 def language_model_scores(documents: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """Counts, training and scores of a table."""
     counts = written(token_counts(documents, text, id_col), "lm-counts")
-    model = train(documents, prepare(counts), text, id_col)
-    return score(documents, counts, model, text, id_col)
+    return score(documents, train(documents, prepare(counts), text, id_col), text, id_col)
 
 
 def op5_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:

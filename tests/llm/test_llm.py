@@ -413,33 +413,62 @@ def test_maxent_counts_and_base(spark):
     assert maxent.language_model_scores(docs.limit(0)).count() == 0
 
 
-def test_maxent_learns_from_every_position(spark):
-    rows = [(i, prose(40, i)) for i in range(40)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
-    space = maxent.prepare(maxent.token_counts(docs, "text", "doc_id"))
-    texts = [t for i, t in rows if not maxent.held_out(i)]
-    h, ends = maxent.tokens(texts)
-    _, sym, ctx = space.lookup(h)
-    contexts, codes = maxent.features(ctx, ends)
-    model = maxent.train(docs, space, "text", "doc_id")
-    assert model.wc[contexts.ravel()].any(axis=1).all()
-    assert model.ww[maxent.word_rows(codes, sym // maxent.PER).ravel()].any(axis=1).all()
-
-
-def test_maxent_is_a_distribution():
-    r = np.random.default_rng(0)
-    h = r.integers(0, 2**62, 3000)
-    c = np.sort(r.integers(1, 500, 3000))[::-1].copy()
-    space = maxent.Space(h, c, int(c.sum()), 3000)
-    m = maxent.Model(space)
-    m.wc[:] = r.normal(0, 0.3, m.wc.shape)
-    m.ww[:] = r.normal(0, 0.3, m.ww.shape)
-    rows, codes = maxent.features(np.array([5, 2000, 17]), np.array([3]))
-    every = np.append(np.arange(maxent.WORDS), -1)
-    p = np.exp(m.log_p(np.repeat(rows[2:], len(every), 0), np.repeat(codes[2:], len(every), 0), every))
-    assert abs(p.sum() - 1) < 1e-4
-    rest = (np.sort(c)[::-1][maxent.WORDS :] + 0.1).sum() + 0.1
-    assert abs(rest - space.rare_z) < 1e-6
+def test_maxent_scores_equal_brute_force(spark, odd, monkeypatch):
+    """Every position trains; scores equal the plain formula, sum to 1 over all words and do not depend on partitions."""
+    monkeypatch.setattr(maxent, "WORDS", 60)
+    monkeypatch.setattr(maxent, "FLUSH", 700)
+    rows = [(i, prose(60, i % 17) + f" only{i}") for i in range(80)] + [(200, None), (201, ""), (202, "x" * 9000), (None, "w1 w2"), (3, "w1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = maxent.train(docs, maxent.prepare(maxent.token_counts(docs, "text", "doc_id")), "text", "doc_id")
+    learn = [t for i, t in rows if not maxent.held_out(i)]
+    h, ends = maxent.tokens(learn)
+    cls, feature = model.features(h, model.words.find(h), ends)
+    assert model.w[feature.ravel()].any(axis=1).all()
+    first = model.w.copy()
+    table = np.zeros((2, maxent.ROWS, maxent.WIDTH), np.int64)
+    maxent.observed(model, table[0], h, ends)
+    maxent.expected(model, table[1], h, ends)
+    for r in feature:  # one position after the other
+        for x, c in zip(r, cls):
+            table[0, x, c] -= 1
+        for x, q in zip(r, model.probabilities(feature)):
+            table[1, x] -= np.rint(q * maxent.UNIT).astype(np.int64)
+    assert not table[0].any() and abs(table[1]).max() <= len(h) and (first == model.w).all()
+
+    words = lambda t: [*(t or "").lower().split(), None]
+    c, pair, near = collections.Counter(), collections.Counter(), collections.Counter()
+    for t in learn:
+        w = words(t)
+        c.update(w)
+        pair.update(zip([True, *w], w))
+        near.update([True, *w[:-1]])
+    code = lambda w: maxent.END if w is None else maxent.START if w is True else words_hash(w)
+    words_hash = lambda w: maxent.word_hashes([w])[0][0]
+    number = collections.defaultdict(lambda: -1, {w: int(model.words.find(np.array([code(w)], np.uint64))[0]) for w in c})
+    kind = lambda w: maxent.CLASSES + 1 if w is True else int(model.class_of[number[w]])
+
+    def p(w, one, two):
+        at = [int(code(one)) >> 51, maxent.BUCKETS + (int(code(two)) >> 51), 2 * maxent.BUCKETS + kind(one) * (maxent.CLASSES + 2) + kind(two)]
+        x = np.exp(model.bias + model.w[at].sum(axis=0, dtype=np.float64))
+        own = x[kind(w)] / x.sum() * (c[w] + 0.1) / model.mass[kind(w)]
+        return (pair[one, w] + maxent.BACK * own) / (near[one] + maxent.BACK)
+
+    want = {}
+    for i, t in rows:
+        w = words(t)
+        want.setdefault(i, []).append(sum(np.log10(p(x, a, b)) for x, a, b in zip(w, [True, *w], [True, True, *w])))
+    made = [maxent.score(docs.repartition(n, "text"), model).collect() for n in (1, 5)]
+    for got in made:
+        back = {}
+        for r in got:
+            back.setdefault(r["doc_id"], []).append(r["score"])
+        assert set(back) == set(want) and all(np.allclose(sorted(back[i]), sorted(want[i]), rtol=1e-5) for i in want)
+    again = maxent.train(docs.repartition(7, "text"), maxent.prepare(maxent.token_counts(docs, "text", "doc_id")), "text", "doc_id")
+    assert (again.w == model.w).all()
+    for one, two in ((True, True), ("w1", True), ("only5", "w3"), (None, "w1")):
+        assert abs(sum(p(w, one, two) for w in [*c, "never"]) - 1) < 1e-4
+    got = maxent.language_model_scores(odd).collect()
+    assert len(got) == odd.count() and all(r["score"] <= 0 for r in got)
 
 
 def test_chat_layouts(spark):
