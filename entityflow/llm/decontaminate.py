@@ -9,12 +9,16 @@ counts 1, a mismatch -2; runs are the maximal scoring segments of that compariso
 (no part of the ends of one scores 0 or less). The overlap is the best run of those that match at least
 ``min(MIN_WORDS, 80 % of the item)`` words, which makes it contamination.
 
-Words are ASCII-lower-cased and lose punctuation at their ends. Items shorter
-than the seed span are looked up as whole windows of their own length.
+Words are ASCII-lower-cased and lose punctuation at their ends. Items of up to ``SHORT``
+words have masks over their whole length whose ignored places cover every set
+of as many places as the item may lack, so none of their overlaps is missed; documents are
+padded for windows that reach over their ends. Longer items are found by the seeds
+(measured recall: see the tests).
 
 The index is a stated query set: it goes to the executors in blocks of at most
-``INDEX_WORDS`` benchmark words (8 bytes a hash and mask), and documents are
-scanned once a block, so nothing unbounded is broadcast.
+``INDEX_WORDS`` benchmark words (8 bytes a hash and mask). Documents are scanned once a
+block, one block after the other: a block's result is written and its broadcast
+dropped before the next, so one block is broadcast at a time.
 
 Edge cases: null and empty texts and items match nothing; repeated items or
 rows give a row each; a null doc_id stays null; empty tables give no rows.
@@ -23,17 +27,21 @@ rows give a row each; a null doc_id stays null; empty tables give no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
+from itertools import combinations
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-from ._common import CACHES, col, map_rows, map_whole, read
+from ._common import CACHES, col, drop, map_rows, map_whole, read, written
 from .words import WEIGHTS, mix, word_hashes
 
 #: Care positions (1) of the seeds; weight 7 in spans of 10 and 11 words.
 MASKS = ("1110110101", "1101010111", "11010011101")
-MIN_WORDS = 12
+MIN_WORDS, SHORT = 12, 11
 INDEX_WORDS = 2_000_000
+#: Pairs of a document's place and an index posting that are held at once.
+PAIRS = 1 << 20
 _FILTER_BITS = 22
 
 
@@ -49,49 +57,75 @@ def masked(words: np.ndarray, mask: str) -> np.ndarray:
     return mix(h)
 
 
+def _lacks(n: int) -> int:
+    """Words that may differ in an item of n words."""
+    return n - min(MIN_WORDS, -(-8 * n // 10))
+
+
+@cache
+def short_masks(n: int) -> tuple[str, ...]:
+    """Masks of length n: for any ``_lacks(n)`` places one of them ignores all those. Greedy covering, three to six places of care."""
+    lack = _lacks(n)
+    ignored = n - max(3, min(6, n - 2 * lack)) if lack else 0
+    left, out = set(combinations(range(n), lack)), []
+    sets = list(combinations(range(n), ignored))
+    while left:
+        best = max(sets, key=lambda s: sum(c in left for c in combinations(s, lack)))
+        left -= set(combinations(best, lack))
+        out.append("".join("0" if i in best else "1" for i in range(n)))
+    return tuple(out)
+
+
 class Index:
     """Benchmark words and, per mask, sorted window hashes with their item and place."""
 
     def __init__(self, items: list[tuple[int | None, str | None]]):
         self.items = list(zip([i for i, _ in items], word_hashes([t for _, t in items], strip=True)))
-        spans = min(map(len, MASKS))
-        short = sorted({len(w) for _, w in self.items if 0 < len(w) < max(map(len, MASKS))})
-        self.masks = [*MASKS, *("1" * n for n in short if n < spans or n < max(map(len, MASKS)))]
+        short = sorted({len(w) for _, w in self.items if 0 < len(w) <= SHORT})
         self.tables = []
         self.filter = np.zeros(1 << _FILTER_BITS, bool)
-        for m in self.masks:
-            whole = m.count("0") == 0
+        for m, whole in [*((m, False) for m in MASKS), *((m, True) for n in short for m in short_masks(n))]:
             hs, ks, ps = [], [], []
             for k, (_, w) in enumerate(self.items):
-                if whole != (len(w) == len(m)) and whole:
+                if whole and len(w) != len(m):
                     continue
                 h = masked(w, m)
                 hs.append(h)
                 ks.append(np.full(len(h), k))
                 ps.append(np.arange(len(h)))
             h = np.concatenate(hs) if hs else np.zeros(0, np.uint64)
-            order = np.argsort(h, kind="stable")
-            self.tables.append((h[order], np.concatenate(ks)[order] if ks else order, np.concatenate(ps)[order] if ps else order))
-            self.filter[h >> np.uint64(64 - _FILTER_BITS)] = True
+            if len(h):
+                order = np.argsort(h, kind="stable")
+                self.tables.append((m, _lacks(len(m)) if whole else 0, h[order], np.concatenate(ks)[order], np.concatenate(ps)[order]))
+                self.filter[h >> np.uint64(64 - _FILTER_BITS)] = True
+
+    def _diagonals(self, words: np.ndarray) -> Iterator[np.ndarray]:
+        """Codes item * 2^32 + diagonal + 2^31 of all hits."""
+        for m, pad, table, ks, ps in self.tables:
+            h = masked(np.pad(words, pad) if pad else words, m)
+            at = np.flatnonzero(self.filter[h >> np.uint64(64 - _FILTER_BITS)])
+            if not len(at):
+                continue
+            lo, hi = np.searchsorted(table, h[at], "left"), np.searchsorted(table, h[at], "right")
+            hit = np.flatnonzero(hi > lo)
+            at, lo, n = at[hit] - pad, lo[hit], (hi - lo)[hit]
+            ends = np.cumsum(n)
+            a = 0
+            while a < len(at):
+                b = max(a + 1, int(np.searchsorted(ends, ends[a] - n[a] + PAIRS, "right")))
+                to = np.repeat(lo[a:b] - (ends[a:b] - n[a:b]), n[a:b]) + np.arange(ends[a] - n[a], ends[b - 1])
+                yield np.unique((ks[to] << 32) + (np.repeat(at[a:b], n[a:b]) - ps[to] + (1 << 31)))
+                a = b
 
     def overlaps(self, words: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
         """(item index, first document word, words, matched words) of the best overlap with each item that is hit."""
-        seen: set[tuple[int, int]] = set()
+        found = list(self._diagonals(words)) if len(words) else []
         best: dict[int, tuple[int, int, int]] = {}
-        for m, (table, ks, ps) in zip(self.masks, self.tables):
-            h = masked(words, m)
-            at = np.flatnonzero(self.filter[h >> np.uint64(64 - _FILTER_BITS)]) if len(table) else ()
-            if not len(at):
-                continue
-            lo, hi = np.searchsorted(table, h[at], "left"), np.searchsorted(table, h[at], "right")
-            for p, a, b in zip(at.tolist(), lo.tolist(), hi.tolist()):
-                for j in range(a, b):
-                    k, d = int(ks[j]), p - int(ps[j])
-                    if (k, d) not in seen:
-                        seen.add((k, d))
-                        got = _run(words, self.items[k][1], d)
-                        if got[2] > best.get(k, (0, 0, 0))[2]:
-                            best[k] = got
+        for code in np.unique(np.concatenate(found)).tolist() if found else ():
+            k, d = code >> 32, (code & 0xFFFFFFFF) - (1 << 31)
+            got = _run(words, self.items[k][1], d)
+            if got[2] > best.get(k, (0, 0, 0))[2]:
+                best[k] = got
         for k, (start, length, matched) in best.items():
             if matched >= _need(self.items[k][1]):
                 yield k, start, length, matched
@@ -159,9 +193,13 @@ HITS = "doc_id long, item_id long, start_word long, n_words long, n_matched long
 def overlaps(documents: DataFrame, benchmark: DataFrame, text: str = "text", id_col: str = "doc_id", item: str = "item_id", item_text: str = "text", index_words: int = INDEX_WORDS) -> DataFrame:
     """One row per document row and benchmark item that it overlaps."""
     spark = documents.sparkSession
-    out = None
+    out = last = None
     for block in _blocks(benchmark, item, item_text, index_words):
-        shared = spark.sparkContext.broadcast(block)
+        if last is not None:  # there are several: each block's rows are written before the next is sent
+            done = written(part, "leaks")
+            last.destroy()
+            out = done if out is None else out.unionByName(done)
+        last = shared = spark.sparkContext.broadcast(block)
 
         def make(shared=shared):
             index = _index(shared)
@@ -173,8 +211,10 @@ def overlaps(documents: DataFrame, benchmark: DataFrame, text: str = "text", id_
             return f
 
         part = map_rows(documents, [col(id_col).cast("long"), col(text)], make, HITS)
+    if last is None:
+        out = spark.createDataFrame([], HITS)
+    else:
         out = part if out is None else out.unionByName(part)
-    out = spark.createDataFrame([], HITS) if out is None else out
     return out.withColumnRenamed("doc_id", id_col) if id_col != "doc_id" else out
 
 
@@ -185,19 +225,25 @@ def _index(shared) -> Index:
     """Built once a worker and block."""
     key = ("index", shared._path if hasattr(shared, "_path") else id(shared))
     if key not in _CACHE:
-        if len(_CACHE) > 4:
-            _CACHE.clear()
+        _CACHE.clear()
         _CACHE[key] = Index(shared.value)
     return _CACHE[key]
 
 
-def clean_documents(documents: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
+def clean_documents(documents: DataFrame, benchmark: DataFrame, text: str = "text", index_words: int = INDEX_WORDS) -> DataFrame:
     """The rows that overlap no benchmark item, with all their columns; one map pass a block, no shuffle."""
     spark = documents.sparkSession
-    out = documents
+    out, last, kept = documents, None, None
     at = documents.columns.index(text)
-    for block in _blocks(benchmark, "item_id", "text", INDEX_WORDS):
-        shared = spark.sparkContext.broadcast(block)
+    for block in _blocks(benchmark, "item_id", "text", index_words):
+        if last is not None:  # there are several: what the blocks before leave is written before the next is sent
+            before, names = kept, out.columns
+            kept = written(out.toDF(*[f"c{i}" for i in range(len(names))]), "clean")
+            out = kept.toDF(*names)
+            last.destroy()
+            if before is not None:
+                drop(before)
+        last = shared = spark.sparkContext.broadcast(block)
 
         def run(batches, shared=shared):
             import pyarrow as pa

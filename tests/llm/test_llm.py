@@ -283,6 +283,39 @@ def test_decontaminate_sees_every_run_of_a_diagonal():
                 assert any(s <= a and b <= e for _, s, e in runs)
 
 
+def test_decontaminate_recall():
+    """Overlaps that meet the rule along the item's true diagonal, with words replaced at random: all of short items, 0.95 of longer ones."""
+    r = random.Random(5)
+    for n in (4, 5, 6, 7, 8, 9, 10, 11, 12, 15, 20, 40):
+        for share in (0.1, 0.2):
+            items = [[f"i{r.randrange(5000)}" for _ in range(n)] for _ in range(150)]
+            index = decontaminate.Index([(i, " ".join(w)) for i, w in enumerate(items)])
+            want = got = 0
+            for i, w in enumerate(items):
+                text = [x if r.random() >= share else f"z{r.randrange(9**9)}" for x in w]
+                front, back = ([f"y{r.randrange(9**9)}" for _ in range(r.choice((0, 0, 1, 30)))] for _ in range(2))
+                h = words.word_hashes([" ".join([*front, *text, *back])], strip=True)[0]
+                if decontaminate._run(h, index.items[i][1], len(front))[2] >= decontaminate._need(index.items[i][1]):
+                    want += 1
+                    got += any(k == i for k, *_ in index.overlaps(h))
+            assert want >= 10 and got >= want * (1 if n <= decontaminate.SHORT else 0.95), (n, share, got, want)
+    assert all(any(all(m[i] == "0" for i in lost) for m in decontaminate.short_masks(n)) for n in range(1, 12) for lost in itertools.combinations(range(n), decontaminate._lacks(n)))
+
+
+def test_decontaminate_repeated_words_and_blocks(spark):
+    import time
+
+    index = decontaminate.Index([(1, "a " * 2000)])
+    h = words.word_hashes(["a " * 4000])[0]
+    began = time.perf_counter()
+    assert [(k, n, m) for k, _, n, m in index.overlaps(h)] == [(0, 2000, 2000)] and time.perf_counter() - began < 3
+    bench = spark.createDataFrame([(i, prose(20, 700 + i)) for i in range(6)] + [(9, None), (10, "")], "item_id long, text string")
+    docs = spark.createDataFrame([(i, prose(5, i) + " " + (prose(20, 700 + i) if i < 6 else "")) for i in range(9)], "doc_id long, text string")
+    one, many = (decontaminate.overlaps(docs, bench, index_words=n) for n in (10**6, 25))
+    assert sorted(one.collect()) == sorted(many.collect()) and {r["doc_id"] for r in one.collect()} == set(range(6))
+    assert {r["doc_id"] for r in decontaminate.clean_documents(docs, bench, index_words=25).collect()} == {6, 7, 8}
+
+
 def test_toxicity(spark, odd, none):
     r = random.Random(5)
     bad = ["vileword", "nastything", "awfulness"]
