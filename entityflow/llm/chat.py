@@ -1,20 +1,20 @@
 r"""Chat formatting by schema fingerprints, in DataFrame functions only.
 
-Records arrive as one struct column whose type is the union of all known
-layouts. A row's fingerprint is the hash of the nested field paths that are
-not null in it; it selects a declarative mapping (``LAYOUTS``) that turns the
-row into canonical turns ``array<struct<role, text>>``. ``render`` then writes
-the template as a list of segments, each with its loss flag, and ``parse``
-reads turns back from the formatted string.
+Records arrive as JSON or as one struct column. A row's fingerprint is the hash of the
+nested field paths that the row itself has, unknown ones included (top-level nulls
+are absent; elements of an array add their fields up); it selects a declarative
+mapping (``LAYOUTS``) that turns the row into canonical turns ``array<struct<role,
+text>>``. ``render`` then writes the template as a list of segments, each with its loss
+flag, and ``parse`` reads turns back from the formatted string.
 
 Template: ``<|role|>\n`` text ``<|end|>\n`` per turn. Inside roles and texts
-``\``, ``<`` and ``[`` become ``\s``, ``\l`` and ``\b``, so no control string
-(``<|end|>``, ``</s>``, ``[INST]`` ...) survives in a body and the change is
-reversible.
+``\``, ``<`` and ``[`` become ``\s``, ``\l`` and ``\b``, and inside roles ``|`` becomes
+``\p``, so no control string (``<|end|>``, ``</s>``, ``[INST]`` ...) survives in a body, no
+role ends early and the change is reversible.
 
 Edge cases: a null role or text is an empty string; a record whose
-fingerprint matches no layout gets null turns (and so null output) and keeps
-its fingerprint for inspection; an empty turn list formats as "". Turns with
+fingerprint matches no layout (an unknown key, a missing field, an empty array) gets null
+turns (and so null output) and keeps its fingerprint for inspection; an empty turn list formats as "". Turns with
 equal numbers are ordered by role, then text; a null conv_id is one
 conversation of its own.
 """
@@ -25,7 +25,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ._common import col, read
 
@@ -54,33 +53,38 @@ _ESCAPES = (("\\", "\\s"), ("<", "\\l"), ("[", "\\b"))
 END = "<|end|>\n"
 
 
-def escape(c: Column) -> Column:
-    return reduce(lambda x, e: F.replace(x, F.lit(e[0]), F.lit(e[1])), _ESCAPES, c)
+_ROLE_ESCAPES = (*_ESCAPES, ("|", "\\p"))
 
 
-def unescape(c: Column) -> Column:
-    return reduce(lambda x, e: F.replace(x, F.lit(e[1]), F.lit(e[0])), reversed(_ESCAPES), c)
+def escape(c: Column, pairs: tuple = _ESCAPES) -> Column:
+    return reduce(lambda x, e: F.replace(x, F.lit(e[0]), F.lit(e[1])), pairs, c)
 
 
-def _paths(kind: T.DataType, at: str, value: Column) -> list[tuple[str, Column]]:
-    """Leaf paths below a field and whether the row has them; elements of an array count as present with the array."""
-    if isinstance(kind, T.ArrayType):
-        inner = kind.elementType
-        names = [f"{at}[].{f.name}" for f in inner.fields] if isinstance(inner, T.StructType) else [f"{at}[]"]
-        return [(n, value.isNotNull()) for n in names]
-    if isinstance(kind, T.StructType):
-        return [p for f in kind.fields for p in _paths(f.dataType, f"{at}.{f.name}" if at else f.name, value[f.name])]
-    return [(at, value.isNotNull())]
+def unescape(c: Column, pairs: tuple = _ESCAPES) -> Column:
+    return reduce(lambda x, e: F.replace(x, F.lit(e[1]), F.lit(e[0])), reversed(pairs), c)
 
 
-def fingerprint(record: Column, kind: T.DataType) -> Column:
-    """Hash of the sorted nested field paths that are not null in the record."""
-    found = sorted(_paths(kind, "", record), key=lambda x: x[0])
-    return F.xxhash64(F.concat_ws("\n", *[F.when(there, F.lit(path)) for path, there in found]))
+def field_paths(value: Column) -> Column:
+    """The nested field paths of a variant as one text, such as ``messages[role,content]`` in the order of names; null for null."""
+    text = F.regexp_replace(F.schema_of_variant(value), r"ARRAY<OBJECT<", "[")
+    # a null inside an array's objects is a field without text; at the top it is no field
+    for _ in range(4):
+        text = F.regexp_replace(text, r"(\[[^\[\]<>]*): VOID", "$1")
+    text = F.regexp_replace(text, r"(?:^OBJECT<|, )[^\s:,<>\[\]]+: VOID(?=, |>$)", ",")
+    text = F.regexp_replace(text, r": (?:STRING|BIGINT|DOUBLE|FLOAT|BOOLEAN|DATE|TIMESTAMP|TIMESTAMP_NTZ|DECIMAL\([0-9, ]*\))(?=[,>])", "")
+    text = F.regexp_replace(F.regexp_replace(text, ">>", "]"), r"^OBJECT<|>$|: (?=\[)", "")
+    return F.regexp_replace(F.regexp_replace(text, r"(?:,\s*)+", ","), "^,|,$", "")
 
 
-def _key(paths: tuple[str, ...]) -> Column:
-    return F.xxhash64(F.lit("\n".join(sorted(paths))))
+def fingerprint(paths: Column) -> Column:
+    return F.xxhash64(paths)
+
+
+def _key(paths: tuple[str, ...]) -> str:
+    """A layout's paths in the form of ``field_paths``."""
+    arrays = {p.split("[].")[0] for p in paths if "[]." in p}
+    inner = {a: ",".join(sorted(p.split("[].")[1] for p in paths if p.startswith(a + "[]."))) for a in arrays}
+    return ",".join(sorted([*(p for p in paths if "[]." not in p), *(f"{a}[{x}]" for a, x in inner.items())]))
 
 
 def _mapped(record: Column, mapping: tuple) -> Column:
@@ -97,27 +101,30 @@ def _mapped(record: Column, mapping: tuple) -> Column:
     return F.array(*turns)
 
 
-def canonical_turns(df: DataFrame, record: str) -> DataFrame:
-    """Add ``fingerprint``, ``layout`` and ``turns`` for the struct column ``record`` (any subset of RECORD's fields; others count as unknown paths)."""
-    kind = df.schema[record].dataType
+def canonical_turns(df: DataFrame, record: str, paths: str | None = None) -> DataFrame:
+    """Add ``fingerprint``, ``layout`` and ``turns`` for the struct column ``record`` (any subset of RECORD's fields; others are unknown paths).
+    ``paths`` names a column with the rows' paths, where they come from JSON; else they are read from the struct."""
     r = col(record)
-    known = {p for p, _ in _paths(kind, "", r)}
-    mark = fingerprint(r, kind)
+    own = col(paths) if paths else field_paths(F.parse_json(F.to_json(r, {"ignoreNullFields": "false"})))
+    known = {f.name for f in df.schema[record].dataType.fields}
+    out = df.withColumn("_paths", own).withColumn("fingerprint", fingerprint(F.col("_paths")))
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
-    for name, (paths, mapping) in LAYOUTS.items():
-        if set(paths) <= known:
-            hit = mark == _key(paths)
+    for name, (wanted, mapping) in LAYOUTS.items():
+        if {p.split("[].")[0] for p in wanted} <= known:
+            hit = (F.col("fingerprint") == F.xxhash64(F.lit(_key(wanted)))) & r.isNotNull()
             layout = F.when(hit, F.lit(name)).otherwise(layout)
             got = _mapped(r, mapping)
             if name == "sharegpt_system":
                 got = F.concat(F.array(F.struct(F.lit("system").alias("role"), F.coalesce(r["system"], F.lit("")).alias("text"))), got)
             turns = F.when(hit, got.cast(TURNS)).otherwise(turns)
-    return df.withColumns({"fingerprint": mark, "layout": layout, "turns": turns})
+    return out.withColumns({"layout": layout, "turns": turns}).drop("_paths")
 
 
-def from_json(df: DataFrame, payload: str, to: str = "record") -> DataFrame:
-    """JSON lines of any layout into the union record; text that is not JSON gives a null record."""
-    return df.withColumn(to, F.from_json(col(payload), RECORD))
+def from_json(df: DataFrame, payload: str, to: str = "record", paths: str = "paths") -> DataFrame:
+    """JSON lines of any layout into the union record, and the paths that each has; text that is not a JSON object gives a null record and null paths."""
+    v = F.try_parse_json(col(payload))
+    plain = F.schema_of_variant(v).startswith("OBJECT<")
+    return df.withColumns({to: F.when(plain, F.from_json(col(payload), RECORD)), paths: F.when(plain, field_paths(v))})
 
 
 def render(df: DataFrame, turns: str = "turns", loss_role: str = "assistant") -> DataFrame:
@@ -125,7 +132,7 @@ def render(df: DataFrame, turns: str = "turns", loss_role: str = "assistant") ->
     def pieces(t: Column) -> Column:
         role, body = F.coalesce(t["role"], F.lit("")), F.coalesce(t["text"], F.lit(""))
         seg = lambda text, loss: F.struct(text.alias("text"), loss.alias("loss"))
-        return F.array(seg(F.concat(F.lit("<|"), escape(role), F.lit("|>\n")), F.lit(False)), seg(escape(body), role == loss_role), seg(F.lit(END), F.lit(False)))
+        return F.array(seg(F.concat(F.lit("<|"), escape(role, _ROLE_ESCAPES), F.lit("|>\n")), F.lit(False)), seg(escape(body), role == loss_role), seg(F.lit(END), F.lit(False)))
 
     out = df.withColumn("segments", F.flatten(F.transform(col(turns), pieces)))
     return out.withColumn("formatted", F.array_join(F.transform("segments", lambda s: s["text"]), ""))
@@ -134,7 +141,7 @@ def render(df: DataFrame, turns: str = "turns", loss_role: str = "assistant") ->
 def parse(formatted: Column) -> Column:
     """Canonical turns read back from the formatted string."""
     body = F.filter(F.split(formatted, r"<\|end\|>\n"), lambda p: p != "")
-    return F.transform(body, lambda p: F.struct(unescape(F.regexp_extract(p, r"(?s)^<\|(.*?)\|>\n", 1)).alias("role"), unescape(F.regexp_replace(p, r"(?s)^<\|.*?\|>\n", "")).alias("text")))
+    return F.transform(body, lambda p: F.struct(unescape(F.regexp_extract(p, r"(?s)^<\|(.*?)\|>\n", 1), _ROLE_ESCAPES).alias("role"), unescape(F.regexp_replace(p, r"(?s)^<\|.*?\|>\n", "")).alias("text")))
 
 
 def conversation_records(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
@@ -176,7 +183,7 @@ WITH r AS (
   UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
 ), e AS (
   SELECT *, role || chr(10) || text || chr(10) AS said,
-    11 + 1 + length(replace(replace(replace(role, '\', '\s'), '<', '\l'), '[', '\b')) + length(replace(replace(replace(text, '\', '\s'), '<', '\l'), '[', '\b')) + 1 AS chars
+    11 + 1 + length(replace(replace(replace(replace(role, '\', '\s'), '<', '\l'), '[', '\b'), '|', '\p')) + length(replace(replace(replace(text, '\', '\s'), '<', '\l'), '[', '\b')) + 1 AS chars
   FROM r
 )
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(said, '' ORDER BY turn, role, text)) AS turns_sha256,
