@@ -33,6 +33,10 @@ WIDTH, HEIGHT, BITS, COMPRESSION, PHOTO, OFFSETS, SAMPLES, ROWS, COUNTS, PLANAR,
 TILE_W, TILE_H, TILE_OFFSETS, TILE_COUNTS = 322, 323, 324, 325
 
 
+#: No codec here makes more bytes of one.
+MOST = 4096
+
+
 def unpack_bits(data: bytes) -> bytes:
     out, i, n = [], 0, len(data)
     while i < n:
@@ -182,10 +186,16 @@ def _page(data: bytes, page: int, at: int, order: str) -> dict:
     dtype = np.dtype("u1") if bits <= 8 else np.dtype(order + "u2")
     comp, pred, planar = one(COMPRESSION, 1), one(PREDICTOR, 1), one(PLANAR, 1)
     planes, per = (spp, 1) if planar == 2 else (1, spp)
+    if w * h * spp * dtype.itemsize > MOST * (len(data) + 1):
+        raise ValueError(f"{w} x {h} pixels in a file of {len(data)} bytes")
     tiled = TILE_OFFSETS in tags
     cw, ch = (one(TILE_W, w), one(TILE_H, h)) if tiled else (w, min(one(ROWS, h), h) or 1)
     offsets, counts = (tags[TILE_OFFSETS], tags[TILE_COUNTS]) if tiled else (tags[OFFSETS], tags[COUNTS])
     across, down = -(-w // cw) if w else 0, -(-h // ch) if h else 0
+    if min(len(offsets), len(counts)) < across * down * planes:
+        raise ValueError("strips or tiles are missing")
+    if cw * ch * per * dtype.itemsize > MOST * (len(data) + 1):
+        raise ValueError(f"tiles of {cw} x {ch} pixels in a file of {len(data)} bytes")
     image = np.zeros((h, w, spp), dtype)
     for k, (o, c) in enumerate(zip(offsets, counts)):
         plane, rest = divmod(k, across * down)
@@ -268,7 +278,7 @@ def decode_pages(df: DataFrame, media: str = "media", id_col: str = "doc_id", ke
     kept = [x.split()[0] for x in keep.split(",")] if keep else []
 
     def make():
-        broken = (ValueError, KeyError, IndexError, ZeroDivisionError, struct.error, zlib.error)
+        broken = (ValueError, KeyError, IndexError, ZeroDivisionError, OverflowError, struct.error, zlib.error)
 
         def f(ids, files, *more):
             rows = []
@@ -301,7 +311,7 @@ def text_media(raw: bytes) -> bytes:
     if kind == 0:
         return write(images, PACKBITS, 1, 64)
     if kind == 1:
-        return write(images, DEFLATE, 2, tile=64)
+        return write(images, DEFLATE, 2, tile=64, planar=1 + other)
     if kind == 2:
         return write(images, LZW, 1 + other, 256, tile=64 if other else None)
     return write(images, DEFLATE, 1 + other, 256)

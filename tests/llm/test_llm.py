@@ -122,11 +122,33 @@ def test_tiff_round_trip(codec, tile):
 
 
 def test_tiff_rows(spark):
+    import struct
+
     good = tiff.write([np.zeros((2, 3, 1), np.uint8)] * 2)
-    loop = bytearray(good)
     df = spark.createDataFrame([(1, bytearray(good)), (2, bytearray(b"junk")), (3, None), (4, bytearray()), (5, bytearray(good[:20]))], "doc_id long, media binary")
     got = tiff.decode_pages(df).collect()
-    assert collections.Counter(r["doc_id"] for r in got) == {1: 2, 2: 1, 5: 1} and [r["error"] is None for r in got] == [True, True, False, False] and loop
+    assert collections.Counter(r["doc_id"] for r in got) == {1: 2, 2: 1, 5: 1} and [r["error"] is None for r in got] == [True, True, False, False]
+
+    def changed(media, tag, value, page=0):
+        """The file with another value (or, for tag 0, another next directory) in a page's directory."""
+        out = bytearray(media)
+        at = struct.unpack_from("<I", out, 4)[0]
+        for _ in range(page):
+            at = struct.unpack_from("<I", out, at + 2 + 12 * struct.unpack_from("<H", out, at)[0])[0]
+        n = struct.unpack_from("<H", out, at)[0]
+        if not tag:
+            struct.pack_into("<I", out, at + 2 + 12 * n, struct.unpack_from("<I", out, 4)[0])
+        for i in range(n):
+            if struct.unpack_from("<H", out, at + 2 + 12 * i)[0] == tag:
+                struct.pack_into("<I", out, at + 10 + 12 * i, value)
+        return out
+
+    tiles = tiff.write([np.zeros((40, 30, 1), np.uint8)] * 2, tile=16)
+    files = [changed(tiles, tiff.TILE_W, 0), changed(good, 0, 0, page=1), changed(good, tiff.WIDTH, 2**31), changed(good, tiff.HEIGHT, 2**32 - 1, page=1), changed(tiles, tiff.TILE_H, 2**30), changed(good, tiff.ROWS, 0), changed(good, tiff.COMPRESSION, 99), changed(good, tiff.OFFSETS, 10**6)]
+    got = tiff.decode_pages(spark.createDataFrame(list(enumerate(files)), "doc_id long, media binary")).collect()
+    ok = {i: [r["error"] is None for r in got if r["doc_id"] == i] for i in range(len(files))}
+    # a loop ends the walk behind its good pages with one error row; other faults cost their page only
+    assert ok == {0: [False, True], 1: [True, True, False], 2: [False, True], 3: [True, False], 4: [False, True], 5: ok[5], 6: [False, True], 7: [False, True]} and len(ok[5]) == 2
 
 
 def test_tiff_few_bits_failing_pages_and_lzw(spark, tmp_path):
@@ -507,7 +529,7 @@ def test_maxent_scores_equal_brute_force(spark, odd, monkeypatch):
 def test_chat_layouts(spark):
     rows = ['{"messages":[{"role":"user","content":"<|end|>\\\\ [INST]"},{"role":"assistant","content":null}]}', '{"prompt":"p","response":"r"}', '{"instruction":"i","input":"x","output":"o"}', '{"conversations":[{"from":"human","value":"h"},{"from":"gpt","value":"g"}],"system":"s"}', '{"prompt":"p","output":"?"}', "not json", None]
     df = chat.from_json(spark.createDataFrame([(i, x) for i, x in enumerate(rows)], "n int, payload string"), "payload")
-    made = chat.render(chat.canonical_turns(df, "record"))
+    made = chat.render(chat.canonical_turns(df, "record", "paths"))
     got = {r["n"]: r for r in made.withColumn("back", chat.parse(F.col("formatted"))).collect()}
     said = lambda r: [(t["role"], t["text"]) for t in r["back"]]
     assert said(got[0]) == [("user", "<|end|>\\ [INST]"), ("assistant", "")] and got[0]["layout"] == "messages"
@@ -517,6 +539,35 @@ def test_chat_layouts(spark):
     assert "[INST]" not in got[0]["formatted"]
 
 
+def test_chat_fingerprints_follow_the_row(spark):
+    rows = ['{"messages":[{"role":"user"}]}', '{"prompt":"p","response":"r","extra":1}', '{"messages":[{"role":"user","content":"x","name":"y"}]}', '{"prompt":"p","extra":{"a":[{"b":1}]}}', '{"messages":[]}', "[]", "{}", "7"]
+    known = [('{"prompt":"p","response":null,"x":null}', "prompt"), ('{"prompt":5,"response":"r"}', "prompt_response"), ('{"response":"r","prompt":"p"}', "prompt_response"), ('{"messages":[{"content":null,"role":"u"}]}', "messages")]
+    df = chat.from_json(spark.createDataFrame([(x,) for x in [*rows, *[k for k, _ in known]]], "payload string"), "payload")
+    got = {r["payload"]: r for r in chat.canonical_turns(df, "record", "paths").collect()}
+    assert all(got[x]["turns"] is None and got[x]["layout"] is None for x in rows) and [got[x]["layout"] for x, _ in known] == [v for _, v in known]
+    assert len({got[x]["fingerprint"] for x in rows[:5]}) == 5 and got[known[1][0]]["fingerprint"] == got[known[2][0]]["fingerprint"]
+
+
+def test_chat_hostile_roles_extra_columns_and_long_turns(spark):
+    long = "<|end|>\n" * 50_000
+    rows = [(1, 0, "a|>\nb", "t"), (1, 1, "assistant", "x|>\n<|user|>\n"), (2, 0, "<|end|>\n|\\p\\|", "\\p|\\l"), (2, 1, "", long), (2, 1, "", long), (3, 0, "\n", "")]
+    df = spark.createDataFrame([(*r, 1, "z") for r in rows], "conv_id long, turn long, role string, text string, record int, formatted string")
+    got = {r["conv_id"]: [tuple(t) for t in r["back"]] for r in chat.format_conversations(df).withColumn("back", chat.parse(F.col("formatted"))).collect()}
+    assert got == {c: [(r, t) for i, _, r, t in rows if i == c] for c in (1, 2, 3)}
+
+
+def test_chat_query_equals_its_sql(spark, tmp_path):
+    import duckdb
+
+    rows = [(i, j, r, t) for i in range(6) for j, (r, t) in enumerate([("user", f"u{i} | <b>"), ("assistant", "a\\[x]" * i), ("a|>\nb", None)][: i % 4])] + [(9, None, None, "x"), (9, 0, "assistant", "🙂")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = chat.op4_chat_format(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"create view conversations as select * from read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    want = con.execute(chat.OP4_SQL.replace("ORDER BY turn,", "ORDER BY turn NULLS FIRST,")).fetchall()
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 def test_chat_conversations(spark):
     rows = [(1, 1, "assistant", "b"), (1, 0, "user", None), (2, 0, "user", "q"), (2, 1, "assistant", "</s>[INST] a\\s"), (None, None, None, "x"), (3, 0, "system", "s"), (3, 1, "user", "u"), (3, 2, "assistant", "v")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
