@@ -12,7 +12,7 @@ with one threshold scores the labelled texts, and the toxic ones are graded 1 to
 Fitting uses a bounded sample: ``FIT_ROWS`` labelled documents, chosen by hash of
 their id over the whole label table. Features that fewer than ``MIN_ROWS`` of them
 hold or that do not separate the classes (two-proportion z below ``MIN_Z``) are left
-out, at most ``MAX_FEATURES`` stay. Scoring covers every document.
+out. Scoring covers every document, in numpy batches.
 
 Edge cases: null and empty texts have no features and so the severity of the
 intercepts; labels of unknown documents and null labels are ignored; repeated
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ._common import col, map_batches, map_rows, map_whole, read
 
-FIT_ROWS, MIN_ROWS, MIN_Z, MAX_FEATURES = 16_384, 8, 4.0, 4096
+FIT_ROWS, MIN_ROWS, MIN_Z = 16_384, 8, 4.0
 GRADES = 4
 PREFIXES = (4, 5, 6)
 _WORD = re.compile(r"[^\W\d_]+")
@@ -45,7 +45,7 @@ def _features(word: str) -> tuple[int, ...]:
 
 
 class _Memo(dict):
-    """word -> features that the model knows."""
+    """word -> features, or with a model the places of those that it knows."""
 
     def __init__(self, known=None):
         super().__init__()
@@ -55,7 +55,7 @@ class _Memo(dict):
         if len(self) > MEMO:
             self.clear()
         fs = _features(word)
-        got = self[word] = fs if self.known is None else tuple(f for f in fs if f in self.known)
+        got = self[word] = fs if self.known is None else tuple(self.known[f] for f in fs if f in self.known)
         return got
 
 
@@ -72,12 +72,18 @@ def text_features(text: str | None, memo: _Memo) -> set[int]:
 class Model:
     def __init__(self, weights: dict[int, float], cuts: list[float]):
         self.weights, self.cuts = weights, cuts
+        self.place = {f: i for i, f in enumerate(weights)}
+        self.values = np.array([*weights.values(), 0.0])
 
-    def severity(self, features) -> tuple[float, float]:
-        """(expected severity, probability of grade 1 or more)."""
-        z = sum(self.weights[f] for f in features)
-        p = [1 / (1 + np.exp(-np.clip(z - b, -50, 50))) for b in self.cuts]
-        return float(sum(p)), float(p[0]) if p else 0.0
+    def severity(self, texts: list[str | None], memo: _Memo) -> tuple[np.ndarray, np.ndarray]:
+        """Expected severities and probabilities of grade 1 or more of a batch; ``memo`` is one of this model's ``place``."""
+        found = [text_features(t, memo) for t in texts]
+        lens = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter((f for x in found for f in sorted(x)), np.int64, int(lens.sum()))
+        starts = np.cumsum(lens) - lens
+        z = np.where(lens > 0, np.add.reduceat(np.append(self.values[flat], 0.0), starts), 0.0) if len(found) else np.zeros(0)
+        p = 1 / (1 + np.exp(-np.clip(z[:, None] - np.array(self.cuts), -50, 50)))
+        return p.sum(axis=1), p[:, 0]
 
 
 def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, n_features: int, n_grades: int, steps: int = 300, l2: float = 1e-4, rate: float = 0.3) -> tuple[np.ndarray, np.ndarray]:
@@ -132,7 +138,6 @@ def fit(texts: list[np.ndarray], toxic: np.ndarray) -> Model:
     share = all_rows / n
     z = (hits / k - (all_rows - hits) / (n - k)) / np.sqrt(share * (1 - share) * (1 / k + 1 / (n - k)) + 1e-12)
     chosen = np.flatnonzero(np.abs(z) >= MIN_Z)
-    chosen = chosen[np.argsort(-np.abs(z[chosen]), kind="stable")][:MAX_FEATURES]
     index = np.full(len(names), -1)
     index[chosen] = np.arange(len(chosen))
     kept = index[place] >= 0
@@ -177,11 +182,11 @@ def train(documents: DataFrame, labels: DataFrame, text: str = "text", id_col: s
 def score(documents: DataFrame, model: Model, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """id, severity, p_toxic, toxic, grade per row."""
     def make():
-        memo = _Memo(model.weights)
+        memo = _Memo(model.place)
 
         def f(ids, texts):
-            s = [model.severity(text_features(t, memo)) for t in texts]
-            return [ids, [round(x, 9) for x, _ in s], [round(p, 9) for _, p in s], [p >= 0.5 for _, p in s], [int(x + 0.5) for x, _ in s]]
+            s, p = model.severity(texts, memo)
+            return [ids, np.round(s, 9), np.round(p, 9), p >= 0.5, (s + 0.5).astype(np.int32)]
 
         return f
 
@@ -195,11 +200,11 @@ def non_toxic(documents: DataFrame, model: Model, text: str = "text") -> DataFra
     def run(batches):
         import pyarrow as pa
 
-        memo = _Memo(model.weights)
+        memo = _Memo(model.place)
         for whole in batches:
             for k in range(0, whole.num_rows, 512):
                 b = whole.slice(k, 512)
-                yield b.filter(pa.array([model.severity(text_features(t, memo))[1] < 0.5 for t in b.column(at).to_pylist()], pa.bool_()))
+                yield b.filter(pa.array(model.severity(b.column(at).to_pylist(), memo)[1] < 0.5, pa.bool_()))
 
     return map_whole(documents, run)
 

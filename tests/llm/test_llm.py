@@ -367,6 +367,38 @@ def test_toxicity_fits_on_the_whole_sample():
     assert inspect.signature(toxicity.train).parameters["fit_rows"].default == toxicity.FIT_ROWS == 16_384
 
 
+def test_toxicity_thresholds_are_at_the_likelihoods_top():
+    """No step of a weight or an ordered threshold raises the ordinal likelihood; scores equal the plain formula; ties do not matter."""
+    r = np.random.default_rng(4)
+    rows = [np.flatnonzero(r.random(6) < 0.4) for _ in range(400)]
+    true = np.array([2.0, -1.0, 1.0, 0.5, 0.0, -2.0])
+    z = np.array([true[x].sum() for x in rows]) + r.logistic(size=400)
+    grades = np.searchsorted([0.0, 1.5, 2.5], z)
+    w, b = toxicity.fit_ordinal(rows, grades, 6, 4)
+    sig = lambda x: 1 / (1 + np.exp(-x))
+
+    def loss(w, b):
+        s = np.array([w[x].sum() for x in rows])
+        above = np.concatenate([np.ones((400, 1)), sig(s[:, None] - b), np.zeros((400, 1))], axis=1)
+        return -np.log(above[np.arange(400), grades] - above[np.arange(400), grades + 1]).mean() + 0.5e-4 * (w**2).sum()
+
+    best = loss(w, b)
+    assert (np.diff(b) > 0).all() and np.abs(w - true).max() < 1
+    for i in range(9):
+        for step in (-0.02, 0.02):
+            v, c = w.copy(), b.copy()
+            (v if i < 6 else c)[i if i < 6 else i - 6] += step
+            assert loss(v, c) > best - 1e-6
+    model = toxicity.Model({11: 1.5, 12: -0.5, 13: 0.25}, [0.0, 1.0, 2.0])
+    memo = toxicity._Memo(model.place)
+    memo.update({"a": (0, 2), "b": (1,), "c": (2,), "d": ()})
+    want = [sum(sig(x - np.array(model.cuts))) for x in (1.75, 1.25, 0, 0, 0.25)]
+    got, first = model.severity(["a c d", "a b c", None, "", "c c"], memo)
+    assert np.allclose(got, want) and np.allclose(first, [sig(1.75), sig(1.25), 0.5, 0.5, sig(0.25)])
+    same = toxicity.fit([np.array([1, 2], np.uint32)] * 30 + [np.array([3], np.uint32)] * 90, np.arange(120) < 30)
+    assert same.cuts == sorted(same.cuts)
+
+
 SLOW = {
     0: r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", 1: r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", 2: r"[0-9]([\x20-]?[0-9])+", 3: r"\+[0-9][\x20().0-9-]+[0-9]",
 }
