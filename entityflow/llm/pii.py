@@ -6,8 +6,9 @@ both sides, the characters a span is glued to); everything else that has a
 kind's shape is an unknown instance: tokens of three digits or more and their
 parts, numbers in groups, addresses with @ or a written-out at, IPv6. On the
 graph of patterns and distinct instances Spark iterates until nothing changes:
-a pattern's confidence for a kind is the confidence mass of that kind's
-instances over all its seeds and the unknown instances that can be of the kind,
+a pattern's confidence for a kind is the confidence mass of the places where it stands at
+that kind's instances, over all places where it stands in the corpus (for words: before
+or around anything at all; for glued characters: before an instance),
 an unknown instance's is 1 minus the product of (1 - confidence) over its
 trusted patterns. Patterns of confidence ``MIN_CONFIDENCE`` and MIN_SEEDS
 distinct seeds or discovered instances are trusted, and mark unknown instances
@@ -26,7 +27,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator, Mapping
+from itertools import chain
 
 import numpy as np
 import xxhash
@@ -34,6 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ._common import col, drop, map_batches, map_rows, map_whole, read, written
+from .words import mix, word_hashes
 
 KINDS = ("email", "ip", "card", "phone")
 MIN_CONFIDENCE, MIN_SEEDS, MAX_TOKEN = 0.8, 3, 100
@@ -183,10 +187,10 @@ def patterns(text: str, start: int, end: int) -> list[str]:
 
 
 def edges(documents: DataFrame, text: str = "text") -> DataFrame:
-    """Distinct (pattern, instance, kind, can) of the corpus; kind is null for unknown instances, can has the bits of the kinds they can be."""
+    """(pattern, instance, kind, can, n) of the corpus, n places each; kind is null for unknown instances, can has the bits of the kinds they can be."""
     def make():
         def f(texts):
-            found = set()
+            found: Counter = Counter()
             for t in texts:
                 if t:
                     spans = base_spans(t)
@@ -194,11 +198,76 @@ def edges(documents: DataFrame, text: str = "text") -> DataFrame:
                         i = xxhash.xxh3_64_intdigest(t[s:e].lower()) >> 1
                         can = _can_be(t[s:e]) if k is None else 15
                         found.update((p, i, None if k is None else KINDS[k], can) for p in patterns(t, s, e))
-            return list(zip(*found)) if found else None
+            return [*zip(*found), list(found.values())] if found else None
 
         return f
 
-    return map_rows(documents, [col(text)], make, "pattern string, instance long, kind string, can int").distinct()
+    rows = map_rows(documents, [col(text)], make, "pattern string, instance long, kind string, can int, n long")
+    return rows.groupBy("pattern", "instance", "kind", "can").agg(F.sum("n").alias("n"))
+
+
+#: Odd weights of the words of a context, by the kind of pattern.
+_CONTEXT = {"l1": (0x9E3779B97F4A7C15,), "l2": (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9), "lr": (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)}
+
+
+def _context_key(pattern: str) -> int | None:
+    """The key of a pattern of words, as ``_context_keys`` finds it in texts; None for glued characters."""
+    kind, _, rest = pattern.partition(" ")
+    if kind not in _CONTEXT:
+        return None
+    h = word_hashes([rest], strip=True)[0]
+    if len(h) != len(_CONTEXT[kind]):
+        return None
+    return int(mix(sum(x * np.uint64(w) for x, w in zip(h[:, None], _CONTEXT[kind])))[0].view(np.int64))
+
+
+def _context_keys(h: np.ndarray) -> np.ndarray:
+    """Keys of all places of all kinds of word patterns in a text of these word hashes."""
+    w = {k: [np.uint64(x) for x in v] for k, v in _CONTEXT.items()}
+    return np.concatenate([mix(h * w["l1"][0]), mix(h[:-1] * w["l2"][0] + h[1:] * w["l2"][1]), mix(h[:-2] * w["lr"][0] + h[2:] * w["lr"][1])]).view(np.int64)
+
+
+def places(documents: DataFrame, wanted: DataFrame, text: str, most: int) -> DataFrame:
+    """(pattern, places) of the word patterns of the table ``wanted``: where their words stand in all texts. Documents are scanned once a block of patterns."""
+    sc = documents.sparkSession.sparkContext
+    keyed = written(map_rows(wanted, [F.col("pattern")], lambda: lambda names: [names, [_context_key(p) for p in names]], "pattern string, key long").where("key is not null"), "pii-contexts")
+
+    def count(block: np.ndarray) -> DataFrame:
+        shared = sc.broadcast(np.unique(block))
+
+        def make():
+            keys = shared.value
+            seen = np.zeros(len(keys), np.int64)
+            maybe = np.zeros(1 << 22, bool)
+            maybe[(keys.view(np.uint64) >> np.uint64(42)).astype(np.int64)] = True
+
+            def f(texts):
+                for h in word_hashes(texts, strip=True):
+                    k = _context_keys(h)
+                    k = k[maybe[(k.view(np.uint64) >> np.uint64(42)).astype(np.int64)]]
+                    at = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
+                    np.add.at(seen, at[keys[at] == k], 1)
+                return None
+
+            f.end = lambda: [keys[seen > 0], seen[seen > 0]] if seen.any() else None
+            return f
+
+        got = written(map_rows(documents, [col(text)], make, "key long, places long").groupBy("key").agg(F.sum("places").alias("places")), "pii-places")
+        shared.destroy()
+        return got
+
+    counts, held, size = None, [], 0
+    packed = map_rows(keyed, [F.col("key")], lambda: lambda keys: [[np.array(keys, np.int64).tobytes()]], "keys binary", min(most, 1 << 14))
+    for raw in chain((r["keys"] for r in packed.toLocalIterator()), [None]):
+        if raw is not None:
+            held.append(np.frombuffer(raw, np.int64))
+            size += len(held[-1])
+        if held and (raw is None or size >= most):
+            got = count(np.concatenate(held))
+            counts = got if counts is None else counts.unionByName(got)
+            held, size = [], 0
+    none = wanted.sparkSession.createDataFrame([], "pattern string, places long")
+    return none if counts is None else keyed.join(counts, "key").select("pattern", "places")
 
 
 def _hash(pattern: str) -> int:
@@ -255,20 +324,23 @@ def _blocks(trusted: Mapping[str, str], most: int) -> Iterator[tuple[np.ndarray,
         yield block()
 
 
-def bootstrap(documents: DataFrame, text: str = "text") -> Trusted:
-    """All trusted patterns and their kinds."""
+def bootstrap(documents: DataFrame, text: str = "text", most: int = BLOCK) -> Trusted:
+    """All trusted patterns and their kinds. ``most``: patterns of a broadcast."""
     graph = written(edges(documents, text), "pii-graph")
     seeds, unknown = graph.where("kind is not null"), graph.where("kind is null")
     bit = {k: 1 << i for i, k in enumerate(KINDS)}
     of_kind = lambda values: F.coalesce(*[F.when(F.col("kind") == k, v) for k, v in values.items()])
-    total = written(graph.groupBy("pattern").agg(*[F.sum((F.col("can").bitwiseAND(b) > 0).cast("long")).alias(k) for k, b in bit.items()]), "pii-totals")
-    support = written(seeds.groupBy("pattern", "kind").agg(F.count("*").cast("double").alias("mass"), F.count("*").alias("seeds")), "pii-seeds")
+    # only patterns with enough instances of any kind can ever be trusted
+    able = written(graph.groupBy("pattern").agg(F.count("*").alias("instances"), *[F.sum(F.when(F.col("can").bitwiseAND(b) > 0, F.col("n")).otherwise(0)).alias(k) for k, b in bit.items()]).where(F.col("instances") >= MIN_SEEDS), "pii-able")
+    stands = places(documents, able.select("pattern"), text, most)
+    total = written(able.join(stands, "pattern", "left").select("pattern", *[F.greatest(F.col(k), F.coalesce("places", F.lit(0))).alias(k) for k in KINDS]), "pii-totals")
+    support = written(seeds.groupBy("pattern", "kind").agg(F.sum("n").cast("double").alias("mass"), F.count("*").alias("seeds")), "pii-seeds")
     trusted = found = None
     before = (-1, -1, -1.0)
     while True:
         mass = support
         if found is not None:  # unknown instances that trusted patterns of the last round hold
-            more = unknown.select("pattern", "instance").join(found, "instance").groupBy("pattern", "kind").agg(F.sum("confidence").alias("mass"), F.sum((F.col("confidence") >= MIN_CONFIDENCE).cast("long")).alias("seeds"))
+            more = unknown.select("pattern", "instance", "n").join(found, "instance").groupBy("pattern", "kind").agg(F.sum(F.col("confidence") * F.col("n")).alias("mass"), F.sum((F.col("confidence") >= MIN_CONFIDENCE).cast("long")).alias("seeds"))
             mass = mass.unionByName(more).groupBy("pattern", "kind").agg(F.sum("mass").alias("mass"), F.sum("seeds").alias("seeds"))
         scored = mass.where(F.col("seeds") >= MIN_SEEDS).join(total, "pattern").withColumn("confidence", F.col("mass") / of_kind({k: F.col(k) for k in KINDS}))
         new = written(scored.where(F.col("confidence") >= MIN_CONFIDENCE).select("pattern", "kind", "confidence"), "pii-patterns")
@@ -286,7 +358,7 @@ def bootstrap(documents: DataFrame, text: str = "text") -> Trusted:
         before = now
     best = Window.partitionBy("pattern").orderBy(F.desc("confidence"), "kind")
     kept = written(trusted.withColumn("r", F.row_number().over(best)).where("r = 1").select("pattern", "kind"), "pii-trusted")
-    drop(graph, total, support, trusted, found)
+    drop(graph, able, total, support, trusted, found)
     return Trusted(kept)
 
 
