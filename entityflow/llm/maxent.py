@@ -49,7 +49,7 @@ SIGNS, BUCKETS = 15, 1 << 13
 WIDTH = CLASSES + 1
 #: Rows of all features: token before, token before that, pair of classes (CLASSES: other tokens, CLASSES + 1: before the text).
 ROWS = 2 * BUCKETS + (CLASSES + 2) ** 2
-#: Tokens of a numpy batch, of a flush, keys of a bucket.
+#: Tokens of a numpy batch, of a flush, and of a counting task.
 BATCH, FLUSH, BUCKET = 1 << 15, 1 << 19, 1 << 21
 #: Expected counts are summed in units of 2^-15.
 UNIT = 1 << 15
@@ -494,7 +494,7 @@ def score(documents: DataFrame, model: Model, text: str = "text", id_col: str =
     spark = documents.sparkSession
     shared = spark.sparkContext.broadcast(model)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-model.total // BUCKET))
-    keys = _keys(documents, max(64, parts), text, id_col).repartition(parts, "bucket").sortWithinPartitions("bucket")
+    keys = _keys(documents, 4 * parts, text, id_col).repartition(parts, "bucket").sortWithinPartitions("bucket")
     both = map_batches(keys, _totals, PACKED).unionByName(_texts(documents, text, id_col))
 
     def run(batches):

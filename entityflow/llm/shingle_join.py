@@ -59,7 +59,7 @@ from .words import shingles, word_hashes
 
 #: Counters of the sketch that finds keys too frequent to gather in one task, and how far above the mean these are.
 SKETCH_BITS, PARTS, HOT, HOT_MEANS = 18, 16, 2000, 8
-#: Shingles that a task deals at once (with 65,535 sets at most), and of a bucket.
+#: Shingles that a task deals at once (with 65,535 sets at most), and that a task counts.
 FLUSH, BUCKET = 1 << 21, 1 << 21
 #: A round with centres is followed by another while it joins this share of the open classes; all rounds at most.
 WORTH, ROUNDS = 0.05, 8
@@ -287,9 +287,9 @@ def postings(documents: DataFrame, rows: DataFrame, k: int, t: int, text: str, i
     """(key, s1, n, pos, parities): the shingles of every set's prefix that another set holds too; rows may repeat."""
     spark = documents.sparkSession
     hot, total = _hot(rows)
-    buckets = min(1 << 23, max(64, -(-total // BUCKET)))
     shared = spark.sparkContext.broadcast(hot)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET))
+    buckets = min(1 << 23, 4 * parts)  # several a task, so tasks are alike
     dealt = _dealt(documents, k, shared, buckets, text, id_col).repartition(parts, "bucket").sortWithinPartitions("bucket")
     back = map_batches(dealt, _count, DEALT, __name__).repartition(parts, "flush").sortWithinPartitions("flush")
     return map_batches(back, _prefixes(t), POSTINGS, __name__)
@@ -396,15 +396,17 @@ def _pairs(live: DataFrame, t: int) -> DataFrame:
 
 
 def _prepared(documents: DataFrame, k: int, t: int, text: str, id_col: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Rows with their signatures, classes by signature, postings that may have a partner, and the sets behind these."""
+    """Rows with their signatures, classes by signature, postings that may have a partner, and the sets behind these (the last two are written tables)."""
     made = written(classes(documents, k, text, id_col), "join-classes")
     rows = made.where("part is null").select("id", "n", "s1", "s2")
     class_of = rows.where("id is not null and s1 is not null").groupBy("s1", "s2").agg(F.min("id").alias("rep"))
     found = written(postings(documents, made, k, t, text, id_col), "join-prefixes")
     known = found.distinct().join(class_of, "s1").select("key", F.col("rep").alias("id"), "n", "pos", *MARKS)
-    post = _with_partner(written(known, "join-postings"), t)
-    drop(found)
-    sets = written(shingle_sets(documents, k, written(post.select("id").distinct(), "join-ids"), text, id_col), "join-sets")
+    known = written(known, "join-postings")
+    post = _with_partner(known, t)
+    ids = written(post.select("id").distinct(), "join-ids")
+    sets = written(shingle_sets(documents, k, ids, text, id_col), "join-sets")
+    drop(found, known, ids)
     return rows, class_of, post, sets
 
 
@@ -412,38 +414,42 @@ def components(documents: DataFrame, k: int = 3, t: int = 90, text: str = "text"
     """(id, n, component) per row."""
     rows, class_of, post, sets = _prepared(documents, k, t, text, id_col)
     labels = tested = None
+    made_tables = [post, sets]
+
+    def save(df: DataFrame, name: str) -> DataFrame:
+        made_tables.append(written(df, name))
+        return made_tables[-1]
+
     for number in range(ROUNDS + 1):
         comp = F.col("id") if labels is None else F.coalesce("component", "id")
         at = post if labels is None else post.join(labels.withColumnRenamed("node", "id"), "id", "left")
         at = at.select("key", "bucket", "id", "n", "pos", *MARKS, comp.alias("comp"))
         several = at.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least <> most").select("key")
-        live = written(at.join(several, "key", "left_semi"), "join-live")
+        live = save(at.join(several, "key", "left_semi"), "join-live")
         open_ = live.select("id").distinct().count()
         if not open_:
-            drop(live)
             break
         last = number == ROUNDS or (number > 0 and joined < WORTH * open_)
         pairs = _pairs(live, t) if last else _star_pairs(live, t, number)
         if tested is not None:  # each pair is verified once
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, "join-pairs")
-        links = written(linked(pairs, sets, t).select("a", "b"), "join-links")
+        pairs = save(pairs, "join-pairs")
+        links = save(linked(pairs, sets, t).select("a", "b"), "join-links")
         tested = pairs if tested is None else tested.unionByName(pairs)
         joined = links.count()
         if joined:
             ends = live.select("id", "comp").distinct()
             e = links.join(ends.select(F.col("id").alias("a"), F.col("comp").alias("src")), "a").join(ends.select(F.col("id").alias("b"), F.col("comp").alias("dst")), "b").select("src", "dst")
-            made = connected_components(e, lambda d: written(d, "join-cc"))
+            made = connected_components(e, lambda d: save(d, "join-cc"))
             if labels is None:
                 labels = made
             else:
                 step = made.select(F.col("node").alias("component"), F.col("component").alias("to"))
                 old = labels.join(step, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
-                labels = written(old.unionByName(made.join(labels.select("node"), "node", "left_anti")), "join-labels")
-        drop(live, links)
+                labels = save(old.unionByName(made.join(labels.select("node"), "node", "left_anti")), "join-labels")
         if last:
             break
-    drop(post, sets)
+    drop(*[x for x in made_tables if x is not labels])
     out = rows.join(class_of, ["s1", "s2"], "left")
     if labels is not None:
         out = out.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left")
@@ -457,8 +463,9 @@ def links(documents: DataFrame, k: int = 3, t: int = 90, text: str = "text", id_
     """The whole join: (a, b, shared, n_a, n_b) of every pair of classes that link, a class named by its smallest id,
     and (id, class) of all rows with a set. Rows of one class link with each other too; they are not expanded."""
     rows, class_of, post, sets = _prepared(documents, k, t, text, id_col)
-    pairs = written(linked(written(_pairs(post, t), "join-pairs"), sets, t), "join-links")
-    drop(post, sets)
+    tried = written(_pairs(post, t), "join-pairs")
+    pairs = written(linked(tried, sets, t), "join-links")
+    drop(post, sets, tried)
     return pairs, rows.where("id is not null").join(class_of, ["s1", "s2"]).select("id", F.col("rep").alias("class"))
 
 
