@@ -5,7 +5,8 @@ The tables below are fixed values: they name the fields and rules that results d
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import os
+from dataclasses import dataclass, field, fields
 
 PRESERVE, APPEND, REPLACE, BETTER, AGENT = "preserve_existing", "append_unique", "replace_always", "replace_if_better", "agent_only"
 
@@ -89,10 +90,15 @@ class Config:
 
     @classmethod
     def from_yaml(cls, path: str) -> Config:
-        """Keys of the file replace the tables of the same name; rules are mappings with Rule's fields."""
+        """Keys of the file replace the tables of the same name; rules are mappings with Rule's fields.
+
+        Files that describe types one by one are read too: ``entity_schemas`` has a type's extracted fields (``llm_fields``) and its stored
+        ones (``mappings``: field to type, merge_strategy and the extracted field), ``systematic_merge.matching_rules`` a type's rules.
+        """
         import yaml
 
-        raw = yaml.safe_load(open(path, encoding="utf-8")) or {}
+        with open(path, encoding="utf-8") as f:
+            raw = yaml.safe_load(f) or {}
         out = cls(**{k: v for k, v in raw.items() if k in ("mappings", "prompt_fields", "embedding_dim")})
         if "fields" in raw:
             out.fields = {t: (tuple(v.get("scalars", ())), tuple(v.get("arrays", ()))) for t, v in raw["fields"].items()}
@@ -100,6 +106,16 @@ class Config:
             out.strategies = {(t, f): s for t, fs in raw["strategies"].items() for f, s in fs.items()}
         if "rules" in raw:
             out.rules = [Rule(r["entity_type"], r["kind"], r["match"], r.get("db", r["match"]), r.get("priority", 999), r.get("confidence", 0.0)) for r in raw["rules"]]
+        if types := raw.get("entity_schemas"):
+            stored = {t: v.get("mappings", {}) for t, v in types.items()}
+            strings = {t: [f for f, m in fs.items() if "[" not in m.get("type", "STRING")] for t, fs in stored.items()}
+            lists = {t: [f for f, m in fs.items() if m.get("type") == "STRING[]"] for t, fs in stored.items()}
+            out.fields = {t: (tuple(f for f in strings[t] if f not in COMMON_SCALARS), tuple(f for f in lists[t] if f not in COMMON_ARRAYS)) for t in stored}
+            out.prompt_fields = {t: tuple(v.get("llm_fields", ())) for t, v in types.items()}
+            out.mappings = {t: {m["mapping"]: f for f, m in fs.items() if m.get("mapping", f) != f} for t, fs in stored.items()}
+            out.strategies = {(t, f): m["merge_strategy"] for t, fs in stored.items() for f, m in fs.items() if "merge_strategy" in m}
+        if rules := raw.get("systematic_merge", {}).get("matching_rules"):
+            out.rules = [Rule(t, r["rule"], r["match"], r.get("db", r["match"]), r.get("priority", 999), r.get("confidence", 0.0)) for t, rs in rules.items() for r in rs]
         return out
 
     def entity_types(self) -> list[str]:
@@ -129,3 +145,48 @@ class Config:
 
     def all_arrays(self) -> list[str]:
         return list(dict.fromkeys(f for t in self.fields for f in self.arrays(t)))
+
+
+@dataclass
+class Settings:
+    """Settings of a run, from the environment: ``ENTITYFLOW_`` and the field's name in capitals."""
+
+    endpoint: str = "http://localhost:8080"
+    schema: str = "mail"
+    namespace: str = "default"
+    cluster: str = "content"
+    base: str = "graph"
+    progress: str = "graph/_progress"
+    output: str = "graph/_output"
+    batch_size: int = 5
+    max_documents: int = 1000
+    page_size: int = 100
+    parallel_calls: int = 10
+    max_hits: int = 100
+    request_timeout: int = 120
+    connection_timeout: int = 10
+    read_timeout: int = 30
+    max_retries: int = 3
+    retry_failed: bool = False
+    save_results: bool = True
+    detect_data_type: bool = False
+
+    @classmethod
+    def from_env(cls, environ: dict | None = None) -> Settings:
+        env = os.environ if environ is None else environ
+        found = {}
+        for f in fields(cls):
+            raw = env.get(f"ENTITYFLOW_{f.name.upper()}")
+            if raw is not None:
+                try:
+                    found[f.name] = int(raw) if f.type == "int" else raw.strip().lower() in ("1", "true", "yes") if f.type == "bool" else raw
+                except ValueError:
+                    raise ValueError(f"{f.name} must be a whole number, not {raw!r}") from None
+        out = cls(**found)
+        if problem := out.problem():
+            raise ValueError(problem)
+        return out
+
+    def problem(self) -> str | None:
+        """What is wrong with the settings, if anything: numbers are greater than 0."""
+        return next((f"{f.name} must be greater than 0" for f in fields(self) if f.type == "int" and getattr(self, f.name) <= 0), None)

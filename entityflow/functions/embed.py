@@ -34,6 +34,24 @@ class HashingEmbedder:
         return out / np.where(norm == 0, 1, norm)
 
 
+class PooledEmbedder:
+    """An embedder over a model of token vectors: ``encode(texts) -> (rows x tokens x dim, mask)``; vectors are pooled by the mask."""
+
+    def __init__(self, encode, dim: int):
+        self.encode, self.dim = encode, dim
+
+    def embed(self, texts: list[str]) -> np.ndarray:
+        return mean_pooled(*self.encode(texts)).astype(np.float32)
+
+
+def works(embedder: Embedder) -> bool:
+    """Whether the embedder gives a vector of its size for a word."""
+    try:
+        return np.asarray(embedder.embed(["test"])).shape == (1, embedder.dim)
+    except Exception:  # noqa: BLE001  a plug-in's failure is the answer
+        return False
+
+
 def mean_pooled(tokens: np.ndarray, mask: np.ndarray) -> np.ndarray:
     """Mean of token vectors (rows, tokens, dim) under an attention mask; rows without tokens are zero."""
     m = mask[:, :, None].astype(tokens.dtype)

@@ -17,11 +17,43 @@ class Extractor(Protocol):
     def extract(self, texts: list[str]) -> list[str]: ...
 
 
-def prompt(config: Config | None = None) -> str:
-    """System prompt for a model: the types, their attributes and the record format."""
+#: What a prompt says about the texts of a data type.
+ABOUT = {
+    "email": "The text is an e-mail. Look for the people and organisations that write, are written to or are spoken of, and for what they plan and decide.",
+    "document": "The text is a document. Look for organisations, projects, teams and people, for who wrote, reviewed, describes or refers to what, and for states, dates and owners of projects.",
+    "code": "The text is about code. Look for repositories, branches, changes and issues, and for who made, reviewed or reported them.",
+    "meeting": "The text is the record of a meeting. Look for who took part, for topics, decisions and tasks with their owners.",
+    "chat": "The text is a chat. Look for who talks to whom, for topics, and for projects, issues and events that they mention.",
+}
+
+
+def prompt(config: Config | None = None, data_type: str = "email", entity_types: list[str] | None = None) -> str:
+    """System prompt for a model: what to look for, the types with their attributes, and the record format."""
     c = config or Config()
-    types = "\n".join(f"- {t}: {', '.join(fs)}" for t, fs in c.prompt_fields.items())
-    return f'List entities and relationships of the text, one record a line, each ending in ##.\nEntities: ("entity"<|>name<|>type<|>"key": "value"...)\nRelationships: ("relationship"<|>source<|>target<|>type<|>description<|>strength 1-10)\nEnd with <|COMPLETE|>. Types and attributes:\n{types}'
+    types = "\n".join(f"- {t}: {', '.join(fs)}" for t, fs in c.prompt_fields.items() if entity_types is None or t in entity_types)
+    return f'{ABOUT.get(data_type, ABOUT["email"])}\nList entities and relationships of the text, one record a line, each ending in ##.\nEntities: ("entity"<|>name<|>type<|>"key": "value"...)\nRelationships: ("relationship"<|>source<|>target<|>type<|>description<|>strength 1-10)\nEnd with <|COMPLETE|>. Types and attributes:\n{types}'
+
+
+def extraction_prompt(context: str, config: Config | None = None, data_type: str = "email", entity_types: list[str] | None = None) -> str:
+    """The message with one text."""
+    names = entity_types or list((config or Config()).prompt_fields)
+    return f"Entity types: {', '.join(names)}\n{data_type.capitalize()} text: {context}\n\nReturn only records in the format above and end with <|COMPLETE|>."
+
+
+class ChatExtractor:
+    """An extractor over any chat model: ``call(system, user) -> text``; a failed call gives an empty text."""
+
+    def __init__(self, call, config: Config | None = None, data_type: str = "email"):
+        self.call, self.config, self.data_type = call, config, data_type
+
+    def extract(self, texts: list[str]) -> list[str]:
+        out = []
+        for t in texts:
+            try:
+                out.append(self.call(prompt(self.config, self.data_type), extraction_prompt(t, self.config, self.data_type)) or "")
+            except Exception:  # noqa: BLE001  the model's failure is an empty answer
+                out.append("")
+        return out
 
 
 def extract_with(docs: DataFrame, extractor: Extractor, text: str = "text", item_id: str = "item_id") -> DataFrame:

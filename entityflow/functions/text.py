@@ -37,12 +37,26 @@ def tagged_relation_id(src: Column, kind: Column, tag: Column, dst: Column) -> C
     return F.sha2(F.concat_ws("::", src, kind, tag, dst), 256)
 
 
-def entity_id(kind: Column, name: Column, first_email: Column, works_at: Column, domain: Column) -> Column:
-    """Hash of the type and the best key: a person's first e-mail, or name with employer, or name; an organisation's domain or name; else the name."""
-    some = lambda c: F.when(c != "", c)
-    person = F.coalesce(some(first_email), F.when((works_at != "") & (name != ""), F.concat_ws("::", name, works_at)), some(name))
-    key = F.when(kind == "Person", person).when(kind == "Organization", F.coalesce(some(domain), some(name))).otherwise(some(name))
-    return F.sha2(F.concat_ws("::", kind, key), 256)
+def json_text(attributes: Column, list_keys: Column) -> Column:
+    """A map of value lists as one JSON object with sorted keys; values of keys that are no lists are scalars."""
+    quoted = lambda v: F.substring(F.to_json(F.array(v)), F.lit(2), F.length(F.to_json(F.array(v))) - 2)
+    many = lambda vs: F.concat(F.lit("["), F.array_join(F.transform(vs, quoted), ", "), F.lit("]"))
+    pair = lambda k: F.concat(quoted(k), F.lit(": "), F.when(F.array_contains(list_keys, k) | (F.size(attributes[k]) != 1), many(attributes[k])).otherwise(quoted(F.get(attributes[k], F.lit(0)))))
+    return F.concat(F.lit("{"), F.array_join(F.transform(F.array_sort(F.map_keys(attributes)), pair), ", "), F.lit("}"))
+
+
+def entity_id(kind: Column, name: Column, first_email: Column, works_at: Column, domain: Column, fallback: Column | None = None) -> Column:
+    """Hash of the type and the best key: a person's first e-mail, or name with employer, or name; an organisation's domain or name; else the name.
+
+    Without any of them the key is ``fallback`` (the attributes as ``json_text``), so nameless entities of one type stay apart.
+    """
+    some = lambda c: F.when(c != "", F.lower(c))
+    said = lambda label, *cs: F.concat(F.lit(f"::{label}::"), F.array_join(F.array(*cs), "::"))
+    mail, place, at, own = some(first_email), some(works_at), some(domain), some(name)
+    by_name = F.when(own.isNotNull(), said("name", own))
+    person = F.when(mail.isNotNull(), said("email", mail)).when(own.isNotNull() & place.isNotNull(), said("name_worksAt", own, place)).otherwise(by_name)
+    key = F.when(kind == "Person", person).when((kind == "Organization") & at.isNotNull(), said("domain", at)).otherwise(by_name)
+    return F.sha2(F.concat(kind, F.coalesce(key, F.concat(F.lit("::fallback::"), F.coalesce(fallback if fallback is not None else F.lit(None).cast("string"), F.lit("{}"))))), 256)
 
 
 def fallback_name(name: Column, title: Column, email: Column) -> Column:
@@ -91,10 +105,29 @@ def lists_overlap(a: Column, b: Column) -> Column:
     return F.arrays_overlap(clean(a), clean(b))
 
 
+# The data types and the keys that tell them, first type first.
+DATA_TYPES = ("email", "document", "code", "meeting", "chat")
+TYPE_KEYS = {
+    "email": ("from", "to", "subject", "sender", "recipient"),
+    "code": ("repository", "commit", "pull_request", "code", "file_path"),
+    "meeting": ("meeting_title", "attendees", "transcript", "agenda"),
+    "chat": ("channel", "thread", "message_thread", "chat_id"),
+}
+
+
 def data_type(explicit: Column, has: dict[str, Column]) -> Column:
-    """Explicit type, else by the keys a record has, else email. has: key -> whether it is there."""
-    any_of = lambda *ks: reduce(lambda x, y: x | y, [has.get(k, F.lit(False)) for k in ks])
-    return F.when(explicit != "", F.lower(explicit)).when(any_of("from", "to", "subject"), "email").when(any_of("repository", "commit", "branch"), "code").when(any_of("attendees", "meeting_id"), "meeting").when(any_of("channel", "messages"), "chat").otherwise("email")
+    """An explicit known type, else by the keys a record has, else email. has: key -> whether it is there."""
+    out = F.when(F.lower(explicit).isin(*DATA_TYPES), F.lower(explicit))
+    for kind, keys in TYPE_KEYS.items():
+        if there := [has[k] for k in keys if k in has]:
+            out = out.when(reduce(lambda x, y: x | y, there), kind)
+    return out.otherwise("email")
+
+
+def data_type_of(record: Column) -> Column:
+    """The data type of a JSON object's text by its own keys."""
+    keys = F.coalesce(F.json_object_keys(record), F.array().cast("array<string>"))
+    return data_type(F.get_json_object(record, "$.data_type"), {k: F.array_contains(keys, k) for ks in TYPE_KEYS.values() for k in ks})
 
 
 def sequence_ratio(a: Column, b: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entityflow.functions.embed import Embedder, HashingEmbedder
@@ -122,14 +122,56 @@ class GraphSession:
 
     def run(self, line: str):
         command, args = parse_command(line)
-        return {"search": self.search, "simple": self.search, "details": self.details, "relations": self.relations_of, "stats": self.stats}.get(command, lambda *a: None)(*args)
+        return {"search": self.search, "simple": lambda q: self.search(q).select("name", "type", "similarity"), "details": self.details, "relations": self.relations_of, "stats": self.stats}.get(command, lambda *a: None)(*args)
 
 
 def edges_by_tags(relations: DataFrame) -> DataFrame:
     return relations.groupBy("relationTag").agg(F.count("*").alias("n"))
 
 
-def embedded(nodes: DataFrame, text: Column, embedder: Embedder | None = None) -> DataFrame:
-    from entityflow.functions.embed import embed
+HELP = """free text              search for entities
+details <name> <type>  fields of an entity
+relations <name> <type>  its relations in both directions
+top <n> <text>         search with n hits (1 to 50)
+simple <text>          search without fields
+stats                  numbers of entities and relations
+help                   this text
+exit                   end"""
 
-    return nodes.withColumn("embedding", embed(text, embedder))
+
+def outgoing(relations: DataFrame, kind: str, name: str, tag: str | None = None) -> DataFrame:
+    """Edges from a node, of one tag if asked for."""
+    out = relations.where((F.col("src_type") == kind) & (F.col("src_name") == name))
+    return out.where(F.array_contains("relationTag", tag)) if tag is not None else out
+
+
+def two_hops(relations: DataFrame, start_type: str) -> DataFrame:
+    """Directed paths of two edges from nodes of a type: (start, middle, end) names."""
+    a = relations.where(F.col("src_type") == start_type).select(F.col("src_name").alias("start"), F.col("dst_name").alias("middle"), F.col("dst_type").alias("_t"))
+    b = relations.select(F.col("src_name").alias("middle"), F.col("src_type").alias("_t"), F.col("dst_name").alias("end"))
+    return a.join(b, ["middle", "_t"]).select("start", "middle", "end")
+
+
+def with_email(nodes: DataFrame, email: str) -> DataFrame:
+    return nodes.where(F.array_contains("emails", email))
+
+
+def interactive(session: GraphSession, lines, show) -> int:
+    """Answer lines until exit; ``show`` takes a text or a DataFrame. A line that fails is reported and the loop goes on. Returns the number of lines."""
+    n = 0
+    for line in lines:
+        n += 1
+        command, _ = parse_command(line)
+        if command == "exit":
+            break
+        if command == "help":
+            show(HELP)
+            continue
+        try:
+            out = session.run(line)
+        except Exception as e:  # noqa: BLE001  one bad line must not end the loop
+            show(f"{type(e).__name__}: {e}")
+            continue
+        for df in out if isinstance(out, tuple) else (out,):
+            show(df)
+    return n

@@ -78,3 +78,20 @@ def match_stored(items: DataFrame, nodes: DataFrame, rules: list[Rule]) -> DataF
     keys = blocking_keys(items, rules).where("side in ('E', 'P')").select("entity_type", "priority", "key", "uid")
     hits = keys.join(db, ["entity_type", "priority", "key"])
     return hits.groupBy("uid").agg(F.min(F.struct("priority", "name", "confidence")).alias("h")).select("uid", "h.name", "h.priority", "h.confidence")
+
+
+def legacy_lookup(items: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(uid, name, step): the stored node of each item by its hashed id as a name (1), for persons by an e-mail among the stored ones (2), then by
+    name and employer together (3); the first step that hits, then the least name."""
+    from entityflow.functions.text import entity_id, json_text
+
+    at = lambda k: F.get(F.try_element_at("attributes", F.lit(k)), F.lit(0))
+    it = items.select("uid", "entity_type", at("email").alias("email"), at("name").alias("own"), at("worksAt").alias("place"), entity_id(F.col("entity_type"), at("name"), at("emails"), at("worksAt"), at("domain"), json_text(F.col("attributes"), F.col("list_keys"))).alias("id"))
+    n = nodes.select(F.col("type").alias("entity_type"), "name", "emails", "worksAt")
+    steps = [
+        it.join(n, [it["entity_type"] == n["entity_type"], it["id"] == n["name"]]).select("uid", "name", F.lit(1).alias("step")),
+        it.where("entity_type = 'Person'").join(n.where("entity_type = 'Person'").select("name", F.explode("emails").alias("email")), "email").select("uid", "name", F.lit(2).alias("step")),
+        it.where("entity_type = 'Person'").join(n.where("entity_type = 'Person'").select("name", F.col("worksAt").alias("place"), F.col("name").alias("own")), ["own", "place"]).select("uid", "name", F.lit(3).alias("step")),
+    ]
+    hits = steps[0].unionByName(steps[1]).unionByName(steps[2])
+    return hits.groupBy("uid").agg(F.min(F.struct("step", "name")).alias("h")).select("uid", "h.name", "h.step")

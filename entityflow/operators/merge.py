@@ -125,9 +125,24 @@ def delete_nodes(nodes: DataFrame, relations: DataFrame, gone: DataFrame) -> tup
     return left, relations
 
 
-def filtered_fields(attributes: Column, allowed: list[str]) -> Column:
-    return F.map_filter(attributes, lambda k, v: k.isin(*allowed))
+def processed_attributes(items: DataFrame, config: Config | None = None, from_agent: bool = False) -> DataFrame:
+    """(uid, entity_type, attributes): extracted attributes under their stored names, as lists.
 
-
-def as_list(value: Column, is_list: Column) -> Column:
-    return F.when(is_list, value).otherwise(F.slice(value, 1, 1))
+    Fields whose strategy leaves them to the agent are skipped unless they come from it. Values of fields that share a stored array come
+    behind each other, the last of several fields wins a stored scalar, descriptions are always a list, and the type's arrays that no field
+    fills are empty. ``items`` has uid, item_id, entity_type and attributes; the item's id joins the sources.
+    """
+    c = config or Config()
+    spark = items.sparkSession
+    targets = {t: list(dict.fromkeys([*c.scalars(t), *c.arrays(t)])) for t in c.entity_types()}
+    gate = [(t, k, c.target(t, k), c.target(t, k) in c.arrays(t)) for t in targets for k in dict.fromkeys([*targets[t], *c.mappings.get(t, {}), *c.mappings.get("*", {}), *c.prompt_fields.get(t, ())]) if c.mergeable(t, k, from_agent) and c.mergeable(t, c.target(t, k), from_agent)]
+    known = F.broadcast(spark.createDataFrame(gate, "entity_type string, field string, target string, is_array boolean"))
+    mine = F.concat(F.transform(F.map_entries("attributes"), lambda e, i: F.struct(i.alias("at"), e["key"].alias("field"), e["value"].alias("vs"))), F.array(F.struct(F.lit(1 << 20).alias("at"), F.lit("sources").alias("field"), F.array("item_id").alias("vs"))))
+    long = items.select("uid", "entity_type", F.explode(mine).alias("e")).select("uid", "entity_type", "e.*").join(known, ["entity_type", "field"])
+    none = F.array().cast("array<string>")
+    empty = spark.createDataFrame([(t, f) for t in targets for f in c.arrays(t) if c.mergeable(t, f, from_agent)], "entity_type string, target string")
+    blank = items.select("uid", "entity_type").join(F.broadcast(empty), "entity_type").select("entity_type", "uid", F.lit(-1).alias("at"), "target", F.lit(True).alias("is_array"), none.alias("vs"))
+    both = long.select("entity_type", "uid", "at", "target", "is_array", F.coalesce("vs", none).alias("vs")).unionByName(blank)
+    one = both.groupBy("uid", "entity_type", "target", "is_array").agg(F.sort_array(F.collect_list(F.struct("at", "vs"))).alias("x"))
+    values = F.when(F.col("is_array"), F.array_distinct(F.flatten(F.transform("x", lambda e: e["vs"])))).otherwise(F.element_at("x", -1)["vs"])
+    return one.groupBy("uid", "entity_type").agg(F.map_from_entries(F.collect_list(F.struct(F.col("target"), values.alias("v")))).alias("attributes"))

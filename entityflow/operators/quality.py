@@ -33,3 +33,9 @@ def untagged(relations: DataFrame) -> DataFrame:
 
 def batch_totals(results: DataFrame) -> DataFrame:
     return results.agg(F.count("*").alias("documents"), F.coalesce(F.sum("entity_count"), F.lit(0)).alias("entities"), F.coalesce(F.sum("relationship_count"), F.lit(0)).alias("relationships"), F.count_if(F.col("error").isNotNull()).alias("errors"))
+
+
+def batch_statistics(batches: DataFrame) -> DataFrame:
+    """(file, documents, entities, relations, rejected, errors) of read batches (file, item_id, entities, relations, error, rejected)."""
+    n = lambda c: F.coalesce(F.sum(F.greatest(F.size(c), F.lit(0))), F.lit(0)).cast("long")
+    return batches.groupBy("file").agg(F.count_if(F.col("error").isNull()).alias("documents"), n("entities").alias("entities"), n("relations").alias("relations"), F.coalesce(F.sum("rejected"), F.lit(0)).alias("rejected"), F.count_if(F.col("error").isNotNull()).alias("errors"))

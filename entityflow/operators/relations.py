@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entityflow.functions.text import append_unique, normalise, relation_id
+from entityflow.functions.embed import embed
+from entityflow.functions.text import append_unique, normalise, relation_id, relation_text
 
 
 def alias_map(items: DataFrame, heads: DataFrame) -> DataFrame:
@@ -23,25 +24,54 @@ def with_endpoints(relations: DataFrame, aliases: DataFrame) -> tuple[DataFrame,
     return both.where(known), both.where(~known)
 
 
+LISTS = ("description", "relationTag", "permissions", "sources")
+
+
 def consolidate(relations: DataFrame) -> DataFrame:
     """One row per (src, dst, type): distinct descriptions, sources, permissions and tags in first-seen order, the largest strength (missing: 1).
 
-    Values are de-duplicated by partial aggregates before they are gathered.
+    Values are de-duplicated by a first aggregate before a second one gathers them; the strength goes through both.
     """
     key = ["src_type", "src_name", "dst_type", "dst_name", F.col("relationship_type").alias("type")]
+    keys = ["src_type", "src_name", "dst_type", "dst_name", "type"]
     none = F.array().cast("array<string>")
     perms = F.col("permissions") if "permissions" in relations.columns else none
-    rows = relations.select(*key, F.coalesce("strength", F.lit(1.0)).alias("strength"), F.struct("item_id", "rel_no").alias("o"), F.array("description").alias("description"), F.array("relationship_type").alias("relationTag"), F.coalesce(perms, none).alias("permissions"), F.coalesce("sources", none).alias("sources"))
-    keys = ["src_type", "src_name", "dst_type", "dst_name", "type"]
-    top = rows.groupBy(*keys).agg(F.max("strength").alias("strength"))
-    tagged = lambda f: F.transform(F.col(f), lambda v: F.struct(F.lit(f).alias("f"), v.alias("v")))
-    lists = [tagged(f) for f in ("description", "relationTag", "permissions", "sources")]
-    long = rows.select(*keys, "o", F.posexplode(F.concat(*lists)).alias("at", "x")).where("x.v <> ''")
-    once = long.groupBy(*keys, "x.f", "x.v").agg(F.min(F.struct("o", "at")).alias("o"))
-    ordered = lambda f: F.transform(F.sort_array(F.collect_list(F.when(F.col("f") == f, F.struct("o", "v")))), lambda x: x["v"]).alias(f)
-    got = once.groupBy(*keys).agg(*[ordered(f) for f in ("description", "relationTag", "permissions", "sources")])
-    out = top.join(got, keys, "left")
-    return out.select(relation_id(F.col("src_name"), F.col("type"), F.col("dst_name")).alias("relation_id"), *keys, "strength", *[F.coalesce(f, none).alias(f) for f in ("description", "relationTag", "permissions", "sources")])
+    columns = {"description": F.array("description"), "relationTag": F.array("relationship_type"), "permissions": F.coalesce(perms, none), "sources": F.coalesce("sources", none)}
+    # the empty value of no list stands for the row itself, so rows without values stay
+
+    def marked(i: int, values: Column) -> Column:
+        return F.transform(values, lambda v: F.struct(F.lit(i).alias("f"), v.alias("v")))
+
+    def listed(i: int) -> Column:
+        return F.transform(F.filter("xs", lambda x: x["f"] == i), lambda x: x["v"])
+
+    tagged = [F.array(F.struct(F.lit(-1).alias("f"), F.lit("").alias("v"))), *[marked(i, c) for i, c in enumerate(columns.values())]]
+    long = relations.select(*key, F.coalesce("strength", F.lit(1.0)).alias("strength"), F.struct("item_id", "rel_no").alias("o"), F.posexplode(F.concat(*tagged)).alias("at", "x")).where("x.v <> '' or x.f = -1")
+    once = long.groupBy(*keys, F.col("x.f").alias("f"), F.col("x.v").alias("v")).agg(F.min(F.struct("o", "at")).alias("o"), F.max("strength").alias("strength"))
+    got = once.groupBy(*keys).agg(F.max("strength").alias("strength"), F.sort_array(F.collect_list(F.struct("f", "o", "v"))).alias("xs"))
+    return got.select(relation_id(F.col("src_name"), F.col("type"), F.col("dst_name")).alias("relation_id"), *keys, "strength", *[listed(i).alias(f) for i, f in enumerate(columns)])
+
+
+def consolidate_into(stored: DataFrame, relations: DataFrame, embedder=None, now: Column | None = None) -> DataFrame:
+    """The relation table after a merge: consolidated, upserted, and touched rows embedded anew from their merged texts."""
+    new = consolidate(relations)
+    merged = upsert_relations(stored, new, now)
+    fresh = new.select("relation_id", "src_type", "dst_type", F.lit(True).alias("_new"))
+    both = merged.join(fresh, ["relation_id", "src_type", "dst_type"], "left")
+    said = relation_text(F.col("relationTag"), F.col("type"), F.col("description"), F.col("strength"))
+    vector = embed(F.when(F.col("_new"), said), embedder)
+    return both.withColumn("embedding", F.when(F.col("_new"), vector).otherwise(F.col("embedding"))).select(*stored.columns)
+
+
+def with_known_ends(relations: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(relations whose two typed ends are stored nodes, the others)."""
+    keys = nodes.select("type", "name").distinct()
+    out = relations
+    for side in ("src", "dst"):
+        ends = keys.select(F.col("type").alias(f"{side}_type"), F.col("name").alias(f"{side}_name"), F.lit(True).alias(f"_{side}"))
+        out = out.join(ends, [f"{side}_type", f"{side}_name"], "left")
+    known = F.col("_src").isNotNull() & F.col("_dst").isNotNull()
+    return out.where(known).select(*relations.columns), out.where(~known).select(*relations.columns)
 
 
 def upsert_relations(stored: DataFrame, new: DataFrame, now: Column | None = None) -> DataFrame:
@@ -54,7 +84,7 @@ def upsert_relations(stored: DataFrame, new: DataFrame, now: Column | None = Non
     out = []
     for f in stored.columns:
         old = F.col(f"s.{f}")
-        if f in ("description", "relationTag", "permissions", "sources"):
+        if f in LISTS:
             value = F.when(touched, F.array_distinct(append_unique(old, F.col(f"n.{f}")))).otherwise(old)
         elif f == "strength":
             value = F.greatest(old, F.col("n.strength"))

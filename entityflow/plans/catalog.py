@@ -13,7 +13,7 @@ from entityflow.operators import graph, match, merge, quality, relations
 from entityflow.plans.pipeline import extracted, items_of
 from entityflow.sources import documents as sources
 from entityflow.sources import sinks
-from entityflow.streaming.ingest import latest_status
+from entityflow.streaming.ingest import latest_status, unprocessed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -97,13 +97,14 @@ def edge_count_by_tag(spark, d):
 
 @query(f"SELECT count(*) AS n FROM ({_EDGES})")
 def edge_count(spark, d):
-    return _edges(spark, d).agg(F.count("*").alias("n"))
+    return graph.GraphSession(spark, _nodes(spark, d).withColumn("permissions", F.array()), _edges(spark, d)).stats()[1].select(F.col("relations").alias("n"))
 
 
 # -- progress -------------------------------------------------------------------------
 @query("SELECT doc_id, source FROM documents WHERE NOT EXISTS (SELECT 1 FROM labels WHERE labels.doc_id = documents.doc_id)")
 def unprocessed_anti_join(spark, d):
-    return _t(spark, d, "documents").select("doc_id", "source").join(_t(spark, d, "labels").select("doc_id"), "doc_id", "left_anti")
+    done = _t(spark, d, "labels").select(F.col("doc_id").alias("item_id"), F.lit("processed").alias("status"))
+    return unprocessed(_t(spark, d, "documents").select("doc_id", "source"), done, "doc_id")
 
 
 @query("""WITH s AS (SELECT user_id, CASE WHEN event_type = 'purchase' THEN 'processed' WHEN event_type = 'error' THEN 'failed' ELSE 'reset' END AS status, ts FROM events),
@@ -126,8 +127,10 @@ def prepare_text(spark, d):
 
 @query("SELECT conv_id, sha256(string_agg(coalesce(text, ''), ' ' ORDER BY turn, text)) AS digest, count(*) AS chunks FROM conversations GROUP BY conv_id")
 def mail_chunks_join(spark, d):
-    c = _t(spark, d, "conversations").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", F.coalesce("text", F.lit("")).alias("text")))).alias("chunks"))
-    return c.select("conv_id", F.sha2(F.array_join(F.transform("chunks", lambda x: x["text"]), " "), 256).alias("digest"), F.size("chunks").cast("long").alias("chunks"))
+    c = _t(spark, d, "conversations").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", F.coalesce("text", F.lit("")).alias("text")))).alias("ms"))
+    record = F.struct(F.col("conv_id").cast("string").alias("id"), F.struct(F.transform("ms", lambda x: x["text"]).alias("chunks"), F.size("ms").alias("n")).alias("fields"))
+    v = sources.parse_visit(c.select(F.to_json(record).alias("value")))
+    return v.select(F.col("id").cast("long").alias("conv_id"), F.sha2("content", 256).alias("digest"), F.col("metadata")["n"].cast("long").alias("chunks"))
 
 
 @query("SELECT event_id, epoch_ms(date_trunc('second', ts)) // 1000 AS from_seconds, epoch_ms(date_trunc('second', ts)) // 1000 AS from_millis, epoch_ms(date_trunc('second', ts)) // 1000 AS from_text FROM events")
@@ -172,7 +175,7 @@ def projected_export(spark, d):
 
 @query("SELECT source, count(*) AS n FROM documents GROUP BY source")
 def documents_by_type(spark, d):
-    return _t(spark, d, "documents").groupBy("source").agg(F.count("*").alias("n"))
+    return graph.type_distribution(_t(spark, d, "documents").select(F.col("source").alias("type"))).select(F.col("type").alias("source"), "n")
 
 
 # -- tuple parsing --------------------------------------------------------------------
@@ -324,10 +327,7 @@ def edges_between(spark, d):
 
 @query(f"WITH e AS ({_EDGES}) SELECT a.src_name AS person, a.dst_name AS team, b.dst_name AS topic FROM e a JOIN e b ON a.dst_type = b.src_type AND a.dst_name = b.src_name WHERE a.src_type = 'Person'")
 def person_org_pattern(spark, d):
-    e = _edges(spark, d)
-    a = e.where("src_type = 'Person'").select(F.col("src_name").alias("person"), F.col("dst_name").alias("team"), F.col("dst_type").alias("t"))
-    b = e.select(F.col("src_name").alias("team"), F.col("src_type").alias("t"), F.col("dst_name").alias("topic"))
-    return a.join(b, ["team", "t"]).select("person", "team", "topic")
+    return graph.two_hops(_edges(spark, d), "Person").toDF("person", "team", "topic")
 
 
 # -- vectors --------------------------------------------------------------------------
@@ -385,7 +385,7 @@ def embedding_text(spark, d):
     return _t(spark, d, "part").select("p_partkey", text.entity_text(F.lit("Project"), F.col("p_name"), desc, role=F.col("p_brand")).alias("said"))
 
 
-@query("SELECT c_custkey, sha256('Person::' || CASE WHEN c_custkey % 3 = 0 THEN lower(c_name) || '@x.org' WHEN c_custkey % 3 = 1 THEN c_name || '::' || c_mktsegment ELSE c_name END) AS entity_id FROM customer")
+@query("SELECT c_custkey, sha256('Person::' || CASE WHEN c_custkey % 3 = 0 THEN 'email::' || lower(c_name) || '@x.org' WHEN c_custkey % 3 = 1 THEN 'name_worksAt::' || lower(c_name) || '::' || lower(c_mktsegment) ELSE 'name::' || lower(c_name) END) AS entity_id FROM customer")
 def entity_id_legacy(spark, d):
     k = F.col("c_custkey") % 3
     mail = F.when(k == 0, F.concat(F.lower("c_name"), F.lit("@x.org")))
@@ -410,7 +410,11 @@ def parameterised_sql(spark, d):
     return graph.GraphSession(spark, _nodes(spark, d), _edges(spark, d)).sql("SELECT type, count(*) AS n FROM nodes WHERE name > :low GROUP BY type", low="M")
 
 
-@query()
+@query(r"""WITH d AS (SELECT coalesce(source, 'unknown') AS source, text FROM documents WHERE trim(coalesce(text, '')) <> ''), m AS (SELECT unnest(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+')) AS mail FROM d)
+SELECT 'Topic' AS type, count(DISTINCT lower(source)) AS n FROM d HAVING count(*) > 0 UNION ALL SELECT 'Person', count(DISTINCT lower(split_part(mail, '@', 1))) FROM m HAVING count(*) > 0 UNION ALL SELECT 'Organization', count(DISTINCT lower(split_part(mail, '@', 2))) FROM m HAVING count(*) > 0""")
 def extraction_to_types(spark, d):
     """The flagship on any size: extractor, parser, rules, components."""
     return flagship(spark, d)
+
+
+from entityflow.plans import catalog_store  # noqa: E402, F401  registers its queries here

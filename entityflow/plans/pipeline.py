@@ -11,8 +11,9 @@ from entityflow.config import Config
 from entityflow.functions import extract, parse
 from entityflow.functions.embed import Embedder, embed
 from entityflow.functions.text import entity_text
-from entityflow.operators import match, merge, relations
+from entityflow.operators import match, merge, quality, relations
 from entityflow.schema import GraphStore
+from entityflow.sources import documents as sources
 
 
 def saver(spark: SparkSession, base: str):
@@ -35,21 +36,31 @@ def saver(spark: SparkSession, base: str):
 
 
 def extracted(docs: DataFrame, extractor: extract.Extractor | None = None) -> DataFrame:
-    """Documents (id, text or content, source) to parsed results; a plug-in replaces the rule-based default."""
+    """Documents (id, text or content, source, optional permissions) to parsed results; a plug-in replaces the rule-based default."""
     text = "text" if "text" in docs.columns else "content"
     d = docs.select(F.col("id").cast("string").alias("item_id"), F.col(text).alias("text"), F.coalesce("source", F.lit("unknown")).alias("source"))
     raw = extract.extract_with(d, extractor) if extractor else extract.extract_rules(d)
-    return parse.parsed(raw)
+    out = parse.parsed(raw)
+    if "permissions" in docs.columns:
+        out = relations.attach_permissions(out, docs.select(F.col("id").cast("string").alias("item_id"), "permissions"))
+    return out
 
 
 def items_of(results: DataFrame) -> DataFrame:
-    """Entity rows with a unique id whose order is (document, place)."""
-    it = parse.entity_items(results)
-    return it.withColumn("uid", F.concat_ws("#", "item_id", F.lpad(F.col("batch_id").cast("string"), 8, "0"))).withColumn("ord", F.col("uid"))
+    """Entity rows with a unique id whose order is (document, place); permissions of the document become an attribute."""
+    return numbered(parse.entity_items(results))
+
+
+def numbered(items: DataFrame) -> DataFrame:
+    if "permissions" in items.columns:
+        there = F.size("permissions") > 0
+        rest = F.map_filter("attributes", lambda k, v: k != "permissions")
+        items = items.withColumns({"attributes": F.when(there, F.map_concat(rest, F.create_map(F.lit("permissions"), F.col("permissions")))).otherwise(F.col("attributes")), "list_keys": F.when(there, F.array_union("list_keys", F.array(F.lit("permissions")))).otherwise(F.col("list_keys"))}).drop("permissions")
+    return items.withColumn("uid", F.concat_ws("#", "item_id", F.lpad(F.col("batch_id").cast("string"), 8, "0"))).withColumn("ord", F.col("uid"))
 
 
 def build(items: DataFrame, rels: DataFrame, stored: DataFrame, config: Config, save) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(new nodes, new relations, rejected relations). Stored nodes take part as items that come first, so their names win."""
+    """(new nodes, relations between them, rejected relations). Stored nodes take part as items that come first, so their names win."""
     arrays = [f.name for f in stored.schema.fields if f.dataType.simpleString() == "array<string>"]
     strings = [f.name for f in stored.schema.fields if f.dataType.simpleString() == "string" and f.name not in ("type", "name", "lastUpdated")]
     pairs = [F.struct(F.lit(c).alias("k"), F.array(F.col(c)).alias("v")) for c in strings] + [F.struct(F.lit(c).alias("k"), F.coalesce(F.col(c), F.array().cast("array<string>")).alias("v")) for c in arrays]
@@ -61,19 +72,48 @@ def build(items: DataFrame, rels: DataFrame, stored: DataFrame, config: Config,
     nodes = save(merge.clusters_to_nodes(tagged, config))
     mapping = relations.alias_map(tagged.where("item_id is not null"), nodes.select("cluster", "type", "name"))
     good, bad = relations.with_endpoints(rels, mapping)
-    return nodes.drop("cluster"), relations.consolidate(good), bad
+    return nodes.drop("cluster"), good, bad
 
 
-def ingest(spark: SparkSession, docs: DataFrame, store: GraphStore, now: Column, extractor: extract.Extractor | None = None, embedder: Embedder | None = None) -> DataFrame:
-    """Merge documents into the store; returns a status row per document."""
-    store.create()
-    save = saver(spark, store.base)
-    results = save(extracted(docs, extractor))
-    good = results.where("error is null")
-    nodes, rels, _ = build(items_of(good), parse.relation_items(good), store.read("nodes"), store.config, save)
+def merge_into(store: GraphStore, items: DataFrame, rels: DataFrame, now: Column, save, embedder: Embedder | None = None) -> DataFrame:
+    """Resolve items against the store, merge nodes and relations with new embeddings, commit both tables at once; returns the rejected relations."""
+    nodes, good, bad = build(items, rels, store.read("nodes"), store.config, save)
     text = entity_text(F.col("type"), F.col("name"), F.col("rawDescriptions"), title=F.col("title"), role=F.array_join("role", ", "))
     # several clusters may end under one name: they are one node of the table
     once = nodes.groupBy("type", "name").agg(*[(F.array_distinct(F.flatten(F.collect_list(c))) if c in store.config.all_arrays() else F.first(c, ignorenulls=True)).alias(c) for c in nodes.columns if c not in ("type", "name")])
-    store.commit("nodes", merge.upsert_nodes(store.read("nodes"), once.withColumn("embedding", embed(text, embedder)), store.config, now))
-    store.commit("relations", relations.upsert_relations(store.read("relations"), rels, now))
-    return results.select("item_id", F.when(F.col("error").isNull(), F.lit("processed")).otherwise(F.lit("failed")).alias("status"), "entity_count", "relationship_count", "error")
+    store.commit(
+        nodes=merge.upsert_nodes(store.read("nodes"), once.withColumn("embedding", embed(text, embedder)), store.config, now),
+        relations=relations.consolidate_into(store.read("relations"), good, embedder, now),
+    )
+    return bad
+
+
+def ingest(spark: SparkSession, docs: DataFrame, store: GraphStore, now: Column, extractor: extract.Extractor | None = None, embedder: Embedder | None = None) -> DataFrame:
+    """Merge documents into the store; returns a status row per document. Scratch tables go at the end."""
+    store.create()
+    save = saver(spark, store.base)
+    try:
+        results = save(extracted(docs, extractor))
+        good = results.where("error is null")
+        merge_into(store, items_of(good), parse.relation_items(good), now, save, embedder)
+        status = results.select("item_id", F.when(F.col("error").isNull(), F.lit("processed")).otherwise(F.lit("failed")).alias("status"), "entity_count", "relationship_count", "error")
+        return store.keep_status(status)
+    finally:
+        save.clean()
+
+
+def merge_files(spark: SparkSession, path: str, store: GraphStore, now: Column, pattern: str = "*.json", embedder: Embedder | None = None) -> DataFrame:
+    """Merge extraction batches of a file or folder into the store; returns a row per file: documents, entities, relations, rejected relations, errors.
+
+    A file that is neither layout counts as an error and changes nothing.
+    """
+    store.create()
+    save = saver(spark, store.base)
+    try:
+        batches = save(sources.read_batches(spark, path, pattern))
+        items, rels = numbered(sources.batch_entities(batches)), sources.batch_relations(batches)
+        bad = save(merge_into(store, items, rels, now, save, embedder).select("item_id"))
+        rejected = bad.groupBy("item_id").agg(F.count("*").alias("rejected"))
+        return store.keep_status(quality.batch_statistics(batches.join(rejected, "item_id", "left")))
+    finally:
+        save.clean()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 
 from .config import DATE_FIELDS, Config
 
+# The type words of schema files.
 _TYPES = {"STRING": T.StringType(), "STRING PRIMARY KEY": T.StringType(), "STRING[]": T.ArrayType(T.StringType()), "DOUBLE[]": T.ArrayType(T.FloatType()), "FLOAT": T.FloatType(), "DATE": T.DateType(), "TIMESTAMP": T.TimestampType()}
 
 
@@ -26,6 +28,7 @@ def spark_type(name: str) -> T.DataType | None:
 def separate(schema: dict) -> tuple[dict, dict]:
     """(entity types, relation) of a schema mapping; without a relation the default one."""
     entities = {k: v for k, v in schema.items() if k != "Relation"}
+    # The relation of a schema file without one.
     default = {"relation_id": "STRING PRIMARY KEY", "description": "STRING[]", "relationTag": "STRING[]", "type": "STRING", "strength": "FLOAT", "permissions": "STRING[]", "sources": "STRING[]", "createdAt": "STRING", "lastUpdated": "STRING", "embedding": "FLOAT[1024]"}
     return entities, schema.get("Relation", default)
 
@@ -65,9 +68,11 @@ def relations_schema() -> T.StructType:
 
 
 class GraphStore:
-    """Versioned Parquet snapshots of ``nodes`` and ``relations`` below a base path, with a pointer file per table.
+    """Versioned Parquet snapshots of ``nodes`` and ``relations`` below a base path.
 
-    A commit writes a new version and then moves the pointer, so readers never see half a table.
+    A commit writes new snapshots and then one log entry that names the snapshot of every table, by an atomic rename; so
+    readers see both tables of one commit or of another, never a mix or half a table. Snapshots of the
+    commit before stay for readers that still use them; older ones are deleted.
     """
 
     TABLES = ("nodes", "relations")
@@ -82,40 +87,86 @@ class GraphStore:
     def schema(self, table: str) -> T.StructType:
         return nodes_schema(self.config) if table == "nodes" else relations_schema()
 
+    def _names(self, path: str) -> list[str]:
+        fs, at = self._fs(path)
+        return [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
+
+    def log(self) -> dict[int, dict[str, int]]:
+        """Commits that are still kept: number -> snapshot of each table."""
+        out = {}
+        for name in self._names(f"{self.base}/_log"):
+            if name.isdigit():
+                fs, at = self._fs(f"{self.base}/_log/{name}")
+                with_stream = fs.open(at)
+                out[int(name)] = json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(with_stream, "UTF-8"))
+                with_stream.close()
+        return out
+
     def version(self, table: str) -> int | None:
-        fs, at = self._fs(f"{self.base}/{table}")
-        if not fs.exists(at):
-            return None
-        done = [int(s.getPath().getName()[8:]) for s in fs.listStatus(at) if s.getPath().getName().startswith("current=")]
-        return max(done, default=None)
+        log = self.log()
+        return log[max(log)].get(table) if log else None
 
     def exists(self, table: str) -> bool:
         return self.version(table) is not None
 
+    def works(self) -> bool:
+        """Whether the base path can be reached and its log read."""
+        try:
+            self.log()
+            return True
+        except Exception:  # noqa: BLE001  any failure of the file system is the answer
+            return False
+
     def read(self, table: str) -> DataFrame:
         v = self.version(table)
         if v is None:
             return self.spark.createDataFrame([], self.schema(table))
         return self.spark.read.schema(self.schema(table)).parquet(f"{self.base}/{table}/v={v}")
 
-    def commit(self, table: str, df: DataFrame) -> int:
-        old = self.version(table)
-        v = 0 if old is None else old + 1
-        names = self.schema(table).fieldNames()
-        df.select(*[F.col(n).cast(self.schema(table)[n].dataType) if n in df.columns else F.lit(None).cast(self.schema(table)[n].dataType).alias(n) for n in names]).write.mode("overwrite").parquet(f"{self.base}/{table}/v={v}")
-        fs, at = self._fs(f"{self.base}/{table}/current={v}")
-        fs.create(at, True).close()
-        if old is not None:
-            fs.delete(self._fs(f"{self.base}/{table}/current={old}")[1], True)
-        return v
+    def commit(self, **tables: DataFrame) -> int:
+        """New snapshots of the given tables, all visible at once; the others keep theirs. A commit of another writer in between raises."""
+        log = self.log()
+        n = max(log, default=-1) + 1
+        for table, df in tables.items():
+            kinds = self.schema(table)
+            df.select(*[F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in kinds.fields]).write.mode("overwrite").parquet(f"{self.base}/{table}/v={n}")
+        entry = {**(log[max(log)] if log else {}), **{t: n for t in tables}}
+        fs, draft = self._fs(f"{self.base}/_log/_draft-{uuid.uuid4().hex}")
+        out = fs.create(draft, True)
+        out.write(bytearray(json.dumps(entry).encode()))
+        out.close()
+        if not fs.rename(draft, self._fs(f"{self.base}/_log/{n:010d}")[1]):
+            fs.delete(draft, False)
+            raise RuntimeError(f"commit {n} exists: another writer was faster")
+        self._forget({**log, n: entry}, n)
+        return n
+
+    def _forget(self, log: dict[int, dict[str, int]], n: int) -> None:
+        """Delete what neither this commit nor the one before it reads."""
+        kept = [e for k, e in log.items() if k >= n - 1]
+        fs, _ = self._fs(self.base)
+        for k in log:
+            if k < n - 1:
+                fs.delete(self._fs(f"{self.base}/_log/{k:010d}")[1], False)
+        for t in self.TABLES:
+            used = {f"v={e[t]}" for e in kept if t in e}
+            for name in self._names(f"{self.base}/{t}"):
+                if name.startswith("v=") and name not in used and int(name[2:]) < n:
+                    fs.delete(self._fs(f"{self.base}/{t}/{name}")[1], True)
+
+    def keep_status(self, rows: DataFrame) -> DataFrame:
+        """A run's result as a table of its own, so that it outlives the run's scratch tables."""
+        path = f"{self.base}/_runs/{uuid.uuid4().hex}"
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
 
     def create(self) -> None:
-        for t in self.TABLES:
-            if not self.exists(t):
-                self.commit(t, self.spark.createDataFrame([], self.schema(t)))
+        if missing := [t for t in self.TABLES if not self.exists(t)]:
+            self.commit(**{t: self.spark.createDataFrame([], self.schema(t)) for t in missing})
 
     def drop(self) -> None:
-        for t in reversed(self.TABLES):
+        """Delete tables, log and run results; missing ones do not matter."""
+        for t in ("_log", *reversed(self.TABLES), "_runs", "_work"):
             fs, at = self._fs(f"{self.base}/{t}")
             fs.delete(at, True)
 
@@ -125,8 +176,8 @@ class GraphStore:
         self.create()
 
     def clean(self) -> None:
-        for t in reversed(self.TABLES):
-            self.commit(t, self.spark.createDataFrame([], self.schema(t)))
+        """Delete all rows of both tables at once."""
+        self.commit(**{t: self.spark.createDataFrame([], self.schema(t)) for t in self.TABLES})
 
     def list_tables(self) -> list[str]:
         return [t for t in self.TABLES if self.exists(t)]
@@ -138,5 +189,8 @@ class GraphStore:
         return n.unionByName(self.read("relations").agg(F.lit("Relation").alias("type"), F.count("*").alias("n")))
 
     def backup_schema(self, path: str) -> None:
-        with open(path, "w", encoding="utf-8") as f:
-            json.dump({t: json.loads(self.schema(t).json()) for t in self.TABLES}, f, indent=1)
+        """The schemas as one JSON file in any file system that Spark reaches."""
+        fs, at = self._fs(path)
+        out = fs.create(at, True)
+        out.write(bytearray(json.dumps({t: json.loads(self.schema(t).json()) for t in self.TABLES}, indent=1).encode()))
+        out.close()

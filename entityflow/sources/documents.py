@@ -70,13 +70,45 @@ def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_batches(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
-    """Extraction batches, {results: [...]} or {entities, relations}, of a file or a folder: one row per document with JSON arrays."""
-    raw = spark.read.option("pathGlobFilter", pattern).option("wholetext", True).text(path)
+    """Extraction batches, {results: [...]} or {entities, relations}, of a file or a folder: (file, item_id, entities, relations, error) per document.
+
+    Entities and relations are arrays of JSON texts. A file that is neither gives one row with an error.
+    """
+    raw = spark.read.option("pathGlobFilter", pattern).text(path, wholetext=True)
     v = raw.select(F.input_file_name().alias("file"), F.try_parse_json("value").alias("v"))
     many = v.select("file", F.explode_outer(F.try_variant_get("v", "$.results", "array<variant>")).alias("r"), "v")
     r = F.coalesce("r", "v")
-    got = many.select(F.coalesce(F.try_variant_get(r, "$.item_id", "string"), F.try_variant_get(r, "$.source_item_id", "string"), F.col("file")).alias("item_id"), F.try_variant_get(r, "$.entities", "array<variant>").alias("e"), F.coalesce(F.try_variant_get(r, "$.relationships", "array<variant>"), F.try_variant_get(r, "$.relations", "array<variant>")).alias("q"))
-    return got.where("e is not null or q is not null").select("item_id", F.transform("e", lambda x: F.to_json(x)).alias("entities_json"), F.transform("q", lambda x: F.to_json(x)).alias("relations_json"))
+    array = lambda k: F.try_variant_get(r, f"$.{k}", "array<variant>")
+    got = many.select("file", F.coalesce(F.try_variant_get(r, "$.item_id", "string"), F.try_variant_get(r, "$.source_item_id", "string"), F.lit("unknown")).alias("item_id"), array("entities").alias("e"), F.coalesce(array("relationships"), array("relations")).alias("q"))
+    said = lambda c: F.transform(F.coalesce(c, F.array().cast("array<variant>")), lambda x: F.to_json(x))
+    error = F.when(F.col("e").isNull() & F.col("q").isNull(), "unknown format")
+    return got.select("file", "item_id", said(F.col("e")).alias("entities"), said(F.col("q")).alias("relations"), error.alias("error"))
+
+
+def as_list(value: Column) -> Column:
+    """A variant as a list of texts: an array's elements, a scalar alone, null for null."""
+    one = F.try_variant_get(value, "$", "string")
+    return F.coalesce(F.try_variant_get(value, "$", "array<string>"), F.when(one.isNotNull(), F.array(one)))
+
+
+def batch_entities(batches: DataFrame) -> DataFrame:
+    """Entity rows of read batches: item_id, batch_id, entity_name, entity_type, attributes, list_keys. The document's id joins the sources."""
+    e = batches.select(F.col("item_id"), F.posexplode("entities").alias("batch_id", "json")).withColumn("v", F.try_parse_json("json"))
+    at = lambda *ks: F.coalesce(*[F.try_variant_get("v", f"$.{k}", "string") for k in ks])
+    e = e.select("item_id", "batch_id", at("entity_name", "name").alias("entity_name"), at("entity_type", "type").alias("entity_type"), F.coalesce(F.try_variant_get("v", "$.attributes", "map<string,variant>"), F.create_map().cast("map<string,variant>")).alias("m"))
+    e = e.where("entity_name is not null and entity_type is not null").withColumns({"kept": F.map_filter(F.transform_values("m", lambda k, v: as_list(v)), lambda k, v: v.isNotNull() & (k != "sources")), "listed": F.map_keys(F.map_filter("m", lambda k, v: F.schema_of_variant(v).startswith("ARRAY")))})
+    own = F.coalesce(as_list(F.try_element_at("m", F.lit("sources"))), F.array().cast("array<string>"))
+    return e.select("item_id", "batch_id", "entity_name", "entity_type", F.map_concat("kept", F.create_map(F.lit("sources"), F.array_distinct(F.concat(own, F.array("item_id"))))).alias("attributes"), F.array_union("listed", F.array(F.lit("sources"))).alias("list_keys"))
+
+
+def batch_relations(batches: DataFrame) -> DataFrame:
+    """Relation rows of read batches: item_id, rel_no, endpoints, type, description, strength (1 without one), sources, permissions."""
+    q = batches.select("item_id", F.posexplode("relations").alias("rel_no", "json")).withColumn("v", F.try_parse_json("json"))
+    at = lambda *ks: F.coalesce(*[F.try_variant_get("v", f"$.{k}", "string") for k in ks])
+    own = F.coalesce(as_list(F.try_variant_get("v", "$.sources", "variant")), F.array().cast("array<string>"))
+    perms = F.coalesce(as_list(F.try_variant_get("v", "$.permissions", "variant")), F.array().cast("array<string>"))
+    out = q.select("item_id", "rel_no", at("source_entity", "source").alias("source_entity"), at("target_entity", "target").alias("target_entity"), at("relationship_type", "type").alias("relationship_type"), at("description").alias("description"), F.coalesce(F.try_variant_get("v", "$.strength", "double"), F.lit(1.0)).alias("strength"), F.array_distinct(F.concat(own, F.array("item_id"))).alias("sources"), perms.alias("permissions"))
+    return out.where("source_entity is not null and target_entity is not null")
 
 
 def query(docs: DataFrame, text: str | None = None, doc_type: str | None = None, filters: dict | None = None, limit: int | None = None) -> DataFrame:
@@ -107,6 +139,32 @@ def per_type(docs: DataFrame, types: list[str], limit: int, by: str = "doc_type"
     return docs.where(F.col(by).isin(types)).withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= quota).drop("_r")
 
 
+def fetch_recent(docs: DataFrame, now: Column, hours: int = 24) -> DataFrame:
+    """Recent documents, prepared for extraction."""
+    return prepare(recent(docs, now, hours))
+
+
+def search_content(docs: DataFrame, term: str, limit: int = 50) -> DataFrame:
+    """Documents with all words of a term, prepared for extraction."""
+    return prepare(query(docs, term, limit=limit))
+
+
+def fetch_all(pages: DataFrame, max_documents: int | None = None, payload: str = "value") -> DataFrame:
+    """All documents of a visit (JSON pages of any reader), parsed and prepared for extraction."""
+    return prepare(parse_visit(visit_all(pages, max_documents), payload))
+
+
+def to_json_text(docs: DataFrame) -> DataFrame:
+    """A JSON object a document in column ``value``; null timestamps and fields are left out."""
+    return docs.select(F.to_json(F.struct("*"), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss"}).alias("value"))
+
+
+def from_json_text(rows: DataFrame, payload: str = "value") -> DataFrame:
+    """Documents of JSON objects: unreadable timestamps are null, a missing type is document; rows without an id go."""
+    d = rows.select(F.from_json(payload, DOCUMENT).alias("d")).select("d.*")
+    return d.where("id is not null").withColumns({"doc_type": F.coalesce("doc_type", F.lit("document")), "timestamp": timestamp(F.col("timestamp"))})
+
+
 def visit_all(pages: DataFrame, max_documents: int | None = None) -> DataFrame:
     return pages if max_documents is None else pages.limit(max_documents)
 
@@ -154,12 +212,20 @@ class VisitReader(DataSourceReader):
             try:
                 with urlopen(url, timeout=float(self.o.get("timeout", 30))) as r:
                     return json.load(r)
-            except OSError:
-                if i + 1 == tries:
+            except OSError as e:
+                code = getattr(e, "code", 500)  # an answer that a request is wrong stays the same
+                if i + 1 == tries or 400 <= code < 500 and code not in (408, 429):
                     raise
                 time.sleep(1)
         raise RuntimeError("no attempts")
 
+    def works(self) -> bool:
+        """Whether the server answers a request for one page."""
+        try:
+            return isinstance(self.fetch(self.url(0, None)), dict)
+        except (OSError, ValueError):
+            return False
+
     def read(self, partition):
         import json
 

@@ -2,21 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 LIGHT_FIELDS = ("id", "title", "doc_type", "timestamp")
 
 
-def export_json(docs: DataFrame, path: str, run_at: str, include_metadata: bool = True) -> DataFrame:
-    """JSON Lines below ``documents`` and one row about the export below ``metadata``."""
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes below a path of any file system that Spark reaches."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
+
+
+def export_json(docs: DataFrame, path: str, run_at: str, include_metadata: bool = True, pretty: bool = False) -> DataFrame:
+    """JSON below ``documents`` (lines, or indented objects) and one row about the export below ``metadata``: number of documents, bytes, time."""
+    spark = docs.sparkSession
     out = docs if include_metadata or "metadata" not in docs.columns else docs.drop("metadata")
-    out.write.mode("overwrite").json(f"{path}/documents")
-    stats = docs.sparkSession.read.schema(out.schema).json(f"{path}/documents").agg(F.count("*").alias("total_documents")).withColumns({"exported_at": F.lit(run_at), "include_metadata": F.lit(include_metadata)})
+    if pretty:
+        out = out.select(F.to_json(F.struct("*"), {"pretty": "true"}).alias("value"))
+        out.write.mode("overwrite").text(f"{path}/documents", lineSep="\n\n")
+        n = spark.read.text(f"{path}/documents", lineSep="\n\n").count()
+    else:
+        out.write.mode("overwrite").json(f"{path}/documents")
+        n = spark.read.schema(out.schema).json(f"{path}/documents").count()
+    stats = spark.createDataFrame([(n, size_of(spark, f"{path}/documents"), run_at, include_metadata)], "total_documents long, bytes long, exported_at string, include_metadata boolean")
     stats.write.mode("overwrite").json(f"{path}/metadata")
     return stats
 
 
+def export(docs: DataFrame, path: str, kind: str = "json", run_at: str = "", **options) -> DataFrame:
+    """One door to all exports: json, by_type (types, limit), light (fields) and lines. Returns what was written where: documents and bytes."""
+    if kind == "json":
+        return export_json(docs, path, run_at, **options)
+    if kind == "by_type":
+        return export_by_type(docs, options.pop("types"), path, **options)
+    if kind == "light":
+        export_light(docs, path, **options)
+    elif kind == "lines":
+        export_json_lines(docs, path)
+    else:
+        raise ValueError(f"no export of kind {kind}")
+    spark = docs.sparkSession
+    return spark.createDataFrame([(spark.read.text(path).count(), size_of(spark, path), run_at)], "total_documents long, bytes long, exported_at string")
+
+
 def top_per_type(docs: DataFrame, limit: int | None, by: str = "doc_type", order: str = "id") -> DataFrame:
     if limit is None:
         return docs

@@ -135,7 +135,7 @@ def test_sources(spark, tmp_path):
     (tmp_path / "b").mkdir()
     (tmp_path / "b/x.json").write_text('{"results":[{"item_id":"i","entities":[{"a":1}],"relationships":[]}]}')
     (tmp_path / "b/y.json").write_text('{"entities":[{"a":1},{"a":2}],"relations":[],"source_item_id":"j"}')
-    assert {(r["item_id"], len(r["entities_json"])) for r in documents.read_batches(spark, str(tmp_path / "b")).collect()} == {("i", 1), ("j", 2)}
+    assert {(r["item_id"], len(r["entities"])) for r in documents.read_batches(spark, str(tmp_path / "b")).collect()} == {("i", 1), ("j", 2)}
     docs = spark.createDataFrame([("1", "a", "x"), ("2", "a", "y"), ("3", "b", "z")], "id string, doc_type string, title string")
     stats = {r["doc_type"]: (r["n"], r["status"]) for r in sinks.export_by_type(docs, ["a", "c"], str(tmp_path / "e"), 1).collect()}
     assert stats == {"a": (1, "exported"), "c": (0, "no documents")}
