@@ -18,8 +18,8 @@ position adds its gradient (observed less expected class) to its three features,
 return sums in whole numbers, and weights move by the scaled gradient. Sums do
 not depend on how the table is split, so neither do scores.
 
-Counts of tokens and pairs are exact over all training tokens. A task sends the distinct
-keys of about ``FLUSH`` tokens, packed, into buckets of the hash space (their number
+Counts of tokens and pairs are exact over all training tokens: those of the model's words are
+broadcast with it, all others go by hash. A task sends the distinct keys of about ``FLUSH`` tokens, packed, into buckets of the hash space (their number
 follows the input), a bucket sends back each key's total in the same order, and the
 texts' tokens meet the totals in a second shuffle, where sparse numpy batches are scored.
 
@@ -43,7 +43,9 @@ from pyspark.sql import functions as F
 from ._common import col, map_batches, map_rows, read, written
 from .words import mix, word_hashes
 
-WORDS, CLASSES, ROUNDS, RATE, BACK = 1 << 16, 32, 1, 0.6, 200
+WORDS, CLASSES, ROUNDS, RATE, BACK = (1 << 16) - 1, 31, 1, 0.6, 200
+#: Number of a token that is none of the model's words, in two bytes.
+OTHER = (1 << 16) - 1
 #: Random signs a word is described by, three to a number; rows of a token feature.
 SIGNS, BUCKETS = 15, 1 << 13
 WIDTH = CLASSES + 1
@@ -173,13 +175,15 @@ class Model:
         a, b = before(cls, ends, CLASSES + 1)
         return cls, np.stack([one, BUCKETS + two, 2 * BUCKETS + a * (CLASSES + 2) + b])
 
-    def probabilities(self, rows: np.ndarray) -> np.ndarray:
-        """P(class | history), one row a position."""
-        x = self.w[rows[0]]
+    def probabilities(self, rows: np.ndarray, first: np.ndarray | None = None) -> np.ndarray:
+        """P(class | history), one row a position; ``first`` has the weights of rows[0] if they are at hand.
+
+        Weights are bounded (a log ratio to a class's share, and steps of 2 RATE a round), so exponents cannot overflow.
+        """
+        x = self.w[rows[0]] if first is None else first
         x += self.w[rows[1]]
         x += self.w[rows[2]]
         x += self.bias
-        x -= x.max(axis=1, keepdims=True)
         np.exp(x, out=x)
         x /= x.sum(axis=1, keepdims=True)
         return x
@@ -303,11 +307,18 @@ def observed(model: Model, table: np.ndarray, h: np.ndarray, ends: np.ndarray) -
 def expected(model: Model, table: np.ndarray, h: np.ndarray, ends: np.ndarray) -> None:
     """Adds every position's class probabilities, in units, to its three features."""
     _, rows = model.features(h, model.words.find(h), ends)
+    rows = rows.astype(np.uint16)  # radix sorts
     for k in range(0, rows.shape[1], BATCH):
         batch = rows[:, k : k + BATCH]
-        p = np.rint(model.probabilities(batch) * UNIT).astype(np.int32)
-        for r in batch:
-            order = np.argsort(r.astype(np.uint16), kind="stable")
+        batch = batch[:, np.argsort(batch[0], kind="stable")]
+        starts = np.flatnonzero(np.append(True, batch[0, 1:] != batch[0, :-1]))
+        first = batch[0, starts]
+        p = model.probabilities(batch, np.repeat(model.w[first], np.diff(np.append(starts, batch.shape[1])), axis=0))
+        p *= UNIT
+        p = np.rint(p, out=p).astype(np.int32)
+        table[first] += np.add.reduceat(p, starts, axis=0)
+        for r in batch[1:]:
+            order = np.argsort(r, kind="stable")
             r = r[order]
             starts = np.flatnonzero(np.append(True, r[1:] != r[:-1]))
             table[r[starts]] += np.add.reduceat(p[order], starts, axis=0)
@@ -386,13 +397,17 @@ class _Flushes:
         return out
 
 
-def _keys(documents: DataFrame, buckets: int, text: str, id_col: str) -> DataFrame:
-    """Distinct keys of a flush (the low seven bytes of each; the bucket has the high bits) and their training counts, by bucket."""
+def _keys(documents: DataFrame, shared, buckets: int, text: str, id_col: str) -> DataFrame:
+    """Distinct keys of a flush (the low seven bytes of each; the bucket has the high bits) and their training counts, by bucket.
+    Keys are pairs, and tokens that are none of the model's words."""
     def make():
+        words = shared.value.words
+
         def emit(flush, ids, h, ends):
             learn = np.repeat([not held_out(i) for i in ids], np.diff(ends, prepend=0))
-            u, at = np.unique(np.concatenate([h, pair_keys(h, ends)]), return_inverse=True)
-            c = np.bincount(at[np.append(learn, learn)], minlength=len(u))
+            other = words.find(h) < 0
+            u, at = np.unique(np.concatenate([h[other], pair_keys(h, ends)]), return_inverse=True)
+            c = np.bincount(at[np.append(learn[other], learn)], minlength=len(u))
             bucket = ((u >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
             cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])).tolist()
             low = np.ascontiguousarray(u.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7])
@@ -434,15 +449,20 @@ def _totals(batches):
         yield pa.RecordBatch.from_arrays([pa.array([bucket] * len(rows), pa.int32()), pa.array([r[1] for r in rows], pa.int64()), pa.array([(b - a).to_bytes(4, "little") + _counts(total[a:b]) for a, b in zip([0, *ends], ends)], pa.binary())], names=["bucket", "flush", "data"])
 
 
-def _texts(documents: DataFrame, text: str, id_col: str) -> DataFrame:
-    """A flush's texts: ids, lengths, distinct token hashes and three bytes for each token."""
+def _texts(documents: DataFrame, shared, text: str, id_col: str) -> DataFrame:
+    """A flush's texts: ids, lengths, two bytes for each token (its word's number, OTHER for others), and the hashes and places of the others."""
     def make():
+        words = shared.value.words
+
         def emit(flush, ids, h, ends):
-            u, at = np.unique(h, return_inverse=True)
+            number = words.find(h)
+            other = number < 0
+            u, at = np.unique(h[other], return_inverse=True)
             some = np.array([i is not None for i in ids], np.uint8)
-            head = np.array([len(ids), len(u)], np.int64).tobytes()
-            place = np.ascontiguousarray(at.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3]) if len(u) < 1 << 24 else at.astype("<u4").view(np.uint8).reshape(-1, 4)
-            return [[-1], [flush], [head + some.tobytes() + np.array([i or 0 for i in ids], np.int64).tobytes() + np.diff(ends, prepend=0).astype(np.int64).tobytes() + u.tobytes() + place.tobytes()]]
+            head = np.array([len(ids), len(u), len(at)], np.int64).tobytes()
+            place = np.ascontiguousarray(at.astype("<u4").view(np.uint8).reshape(-1, 4)[:, : 3 if len(u) < 1 << 24 else 4])
+            parts = (some, np.array([i or 0 for i in ids], np.int64), np.diff(ends, prepend=0).astype(np.int64), u, np.where(other, OTHER, number).astype(np.uint16), place)
+            return [[-1], [flush], [head + b"".join(x.tobytes() for x in parts)]]
 
         return _Flushes(emit)
 
@@ -457,26 +477,42 @@ def _scores(model: Model, rows: list) -> list:
     every = [r[2] for r in rows if r[0] < 0]
     raw, copies = every[0], len(every)
     rows = list({r[0]: r for r in rows if r[0] >= 0}.values())
-    texts, words = np.frombuffer(raw, np.int64, 2).tolist()
-    some = np.frombuffer(raw, np.uint8, texts, 16).astype(bool)
-    at = 16 + texts
-    ids, size = np.frombuffer(raw, np.int64, texts, at), np.frombuffer(raw, np.int64, texts, at + 8 * texts)
-    u = np.frombuffer(raw, np.uint64, words, at + 16 * texts)
-    at += 16 * texts + 8 * words
+    texts, words, others = np.frombuffer(raw, np.int64, 3).tolist()
+    at = 24
+
+    def take(kind, count):
+        nonlocal at
+        x = np.frombuffer(raw, kind, count, at)
+        at += x.nbytes
+        return x
+
+    some, ids, size = take(np.uint8, texts).astype(bool), take(np.int64, texts), take(np.int64, texts)
     n, ends = int(size.sum()), np.cumsum(size)
-    width = (len(raw) - at) // n
-    place = np.zeros((n, 4), np.uint8)
-    place[:, :width] = np.frombuffer(raw, np.uint8, n * width, at).reshape(n, width)
+    u, number = take(np.uint64, words), take(np.uint16, n).astype(np.int32)
+    width = (len(raw) - at) // max(others, 1)
+    place = np.zeros((others, 4), np.uint8)
+    place[:, :width] = take(np.uint8, others * width).reshape(others, width)
     place = place.view("<u4").ravel()
-    h = u[place]
+    other = number == OTHER
+    number[other] = -1
+    h = np.empty(n, np.uint64)
+    h[~other] = model.words.h[number[~other]]
+    h[other] = u[place]
+    pairs, pair_at = np.unique(pair_keys(h, ends), return_inverse=True)
+    # places of both kinds of keys among all distinct keys of the flush, in order
+    keys = np.concatenate([u, pairs])
+    order = np.argsort(keys, kind="stable")
+    rank = np.empty(len(keys), np.int64)
+    rank[order] = np.cumsum(np.append(True, keys[order][1:] != keys[order][:-1])) - 1
     totals = np.concatenate([_read_counts(r[2], int.from_bytes(r[2][:4], "little"), 4) for r in sorted(rows, key=lambda r: r[0])])
-    _, key = np.unique(np.concatenate([h, pair_keys(h, ends)]), return_inverse=True)
-    c, pair = totals[key[:n]], totals[key[n:]]
-    number = model.words.find(u)[place]
+    c = np.empty(n, np.int64)
+    c[~other] = model.c[number[~other]]
+    c[other] = totals[rank[: len(u)]][place]
+    pair = totals[rank[len(u) :]][pair_at]
     cls, features = model.features(h, number, ends)
     share = (c + 0.1) / model.mass[cls]
     first, _ = before(np.arange(n), ends, n)
-    seen = np.append(c, totals[key[int(ends[0]) - 1]])[first]  # before the text: as often as ends
+    seen = np.append(c, c[int(ends[0]) - 1])[first]  # before the text: as often as ends
     p = (pair + BACK * model.class_p(cls, features) * share) / (seen + BACK)
     starts = ends - size
     add = lambda x: np.add.reduceat(x, starts)  # noqa: E731  every text has its end token
@@ -494,8 +530,8 @@ def score(documents: DataFrame, model: Model, text: str = "text", id_col: str =
     spark = documents.sparkSession
     shared = spark.sparkContext.broadcast(model)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-model.total // BUCKET))
-    keys = _keys(documents, 4 * parts, text, id_col).repartition(parts, "bucket").sortWithinPartitions("bucket")
-    both = map_batches(keys, _totals, PACKED).unionByName(_texts(documents, text, id_col))
+    keys = _keys(documents, shared, 4 * parts, text, id_col).repartition(parts, "bucket").sortWithinPartitions("bucket")
+    both = map_batches(keys, _totals, PACKED).unionByName(_texts(documents, shared, text, id_col))
 
     def run(batches):
         for _, rows in _groups(batches, 1):
