@@ -52,7 +52,7 @@ WIDTH = CLASSES + 1
 #: Rows of all features: token before, token before that, pair of classes (CLASSES: other tokens, CLASSES + 1: before the text).
 ROWS = 2 * BUCKETS + (CLASSES + 2) ** 2
 #: Tokens of a numpy batch, of a flush, and of a counting task.
-BATCH, FLUSH, BUCKET = 1 << 15, 1 << 19, 1 << 21
+BATCH, FLUSH, BUCKET = 1 << 16, 1 << 19, 1 << 21
 #: Expected counts are summed in units of 2^-15.
 UNIT = 1 << 15
 END = np.uint64(xxhash.xxh3_64_intdigest(b"\0end"))
@@ -175,12 +175,12 @@ class Model:
         a, b = before(cls, ends, CLASSES + 1)
         return cls, np.stack([one, BUCKETS + two, 2 * BUCKETS + a * (CLASSES + 2) + b])
 
-    def probabilities(self, rows: np.ndarray, first: np.ndarray | None = None) -> np.ndarray:
-        """P(class | history), one row a position; ``first`` has the weights of rows[0] if they are at hand.
+    def probabilities(self, rows: np.ndarray) -> np.ndarray:
+        """P(class | history), one row a position.
 
         Weights are bounded (a log ratio to a class's share, and steps of 2 RATE a round), so exponents cannot overflow.
         """
-        x = self.w[rows[0]] if first is None else first
+        x = self.w[rows[0]]
         x += self.w[rows[1]]
         x += self.w[rows[2]]
         x += self.bias
@@ -299,29 +299,28 @@ def classes_of(model: Model, table: np.ndarray) -> np.ndarray:
 
 
 def observed(model: Model, table: np.ndarray, h: np.ndarray, ends: np.ndarray) -> None:
+    """Adds every position's class to its three features; a class a row."""
     cls, rows = model.features(h, model.words.find(h), ends)
     for r in rows:
-        table += np.bincount(r * WIDTH + cls, minlength=table.size).reshape(table.shape)
+        table += np.bincount(cls * ROWS + r, minlength=table.size).reshape(table.shape)
+
+
+#: First rows of the three features, and the end.
+_RANGES = (0, BUCKETS, 2 * BUCKETS, ROWS)
 
 
 def expected(model: Model, table: np.ndarray, h: np.ndarray, ends: np.ndarray) -> None:
-    """Adds every position's class probabilities, in units, to its three features."""
+    """Adds every position's class probabilities, in units, to its three features; a class a row."""
     _, rows = model.features(h, model.words.find(h), ends)
-    rows = rows.astype(np.uint16)  # radix sorts
     for k in range(0, rows.shape[1], BATCH):
         batch = rows[:, k : k + BATCH]
-        batch = batch[:, np.argsort(batch[0], kind="stable")]
-        starts = np.flatnonzero(np.append(True, batch[0, 1:] != batch[0, :-1]))
-        first = batch[0, starts]
-        p = model.probabilities(batch, np.repeat(model.w[first], np.diff(np.append(starts, batch.shape[1])), axis=0))
+        p = model.probabilities(batch)
         p *= UNIT
-        p = np.rint(p, out=p).astype(np.int32)
-        table[first] += np.add.reduceat(p, starts, axis=0)
-        for r in batch[1:]:
-            order = np.argsort(r, kind="stable")
-            r = r[order]
-            starts = np.flatnonzero(np.append(True, r[1:] != r[:-1]))
-            table[r[starts]] += np.add.reduceat(p[order], starts, axis=0)
+        by_class = np.ascontiguousarray(np.rint(p, out=p).T)
+        for r, a, b in zip(batch, _RANGES, _RANGES[1:]):
+            r = r - a
+            for c, units in enumerate(by_class):  # sums of whole numbers below 2^53 are exact
+                table[c, a:b] += np.bincount(r, weights=units, minlength=b - a).astype(np.int64)
 
 
 def train(documents: DataFrame, model: Model, text: str, id_col: str) -> Model:
@@ -335,13 +334,13 @@ def train(documents: DataFrame, model: Model, text: str, id_col: str) -> Model:
         return out
 
     model.set_classes(classes_of(model, over(company, (SIGNS + 1, WORDS))))
-    seen = over(observed, (ROWS, WIDTH))
+    seen = over(observed, (WIDTH, ROWS)).T
     share = np.exp(model.bias.astype(float))
     pair = seen[2 * BUCKETS :].astype(float)
     with np.errstate(divide="ignore", invalid="ignore"):
         model.w[2 * BUCKETS :] = np.where(share > 0, np.log((pair + 20 * share) / (pair.sum(axis=1, keepdims=True) + 20) / share), 0)
     for _ in range(ROUNDS):
-        e = over(expected, (ROWS, WIDTH)) / UNIT
+        e = over(expected, (WIDTH, ROWS)).T / UNIT
         model.w = model.w + (RATE * (seen - e) / (0.5 * (seen + e) + 4)).astype(np.float32)
     return model
 

@@ -557,14 +557,14 @@ def test_maxent_scores_equal_brute_force(spark, odd, monkeypatch):
     cls, feature = model.features(h, model.words.find(h), ends)
     assert model.w[feature.ravel()].any(axis=1).all()
     first = model.w.copy()
-    table = np.zeros((2, maxent.ROWS, maxent.WIDTH), np.int64)
+    table = np.zeros((2, maxent.WIDTH, maxent.ROWS), np.int64)
     maxent.observed(model, table[0], h, ends)
     maxent.expected(model, table[1], h, ends)
     for r in feature:  # one position after the other
         for x, c in zip(r, cls):
-            table[0, x, c] -= 1
+            table[0, c, x] -= 1
         for x, q in zip(r, model.probabilities(feature)):
-            table[1, x] -= np.rint(q * maxent.UNIT).astype(np.int64)
+            table[1, :, x] -= np.rint(q * maxent.UNIT).astype(np.int64)
     assert not table[0].any() and abs(table[1]).max() <= len(h) and (first == model.w).all()
 
     words = lambda t: [*(t or "").lower().split(), None]
