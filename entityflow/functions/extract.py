@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from entityflow.config import Config
+from entityflow.functions.text import strip
 
 EMAIL = r"([A-Za-z0-9._%+-]+)@([A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)"
 
@@ -85,5 +86,5 @@ def extract_rules(docs: DataFrame, text: str = "text", source: str = "source", i
         F.lit('("entity"<|>'), user(m), F.lit('<|>Person<|>"email": "'), m, F.lit('"<|>"emails": "['), m, F.lit(']"<|>"worksAt": "'), host(m), F.lit('")##\n("entity"<|>'), host(m), F.lit('<|>Organization<|>"domain": "'), host(m),
         F.lit('")##\n("relationship"<|>'), user(m), F.lit("<|>"), host(m), F.lit("<|>WORKS_AT<|>address of the organisation<|>8)##\n(\"relationship\"<|>"), user(m), F.lit("<|>"), F.col(source), F.lit("<|>MENTIONED_IN<|>found in the source<|>5)##")))
     out = F.concat_ws("\n", topic(F.col(source)), F.array_join(lines, "\n"), F.lit("<|COMPLETE|>"))
-    empty = F.trim(F.coalesce(F.col(text), F.lit(""))) == ""
+    empty = strip(F.coalesce(F.col(text), F.lit(""))) == ""
     return docs.select(F.col(item_id).cast("string").alias("item_id"), F.when(~empty, out).alias("raw_output"), F.when(empty, F.lit("empty content")).alias("error"))

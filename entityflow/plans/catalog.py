@@ -410,7 +410,7 @@ def parameterised_sql(spark, d):
     return graph.GraphSession(spark, _nodes(spark, d), _edges(spark, d)).sql("SELECT type, count(*) AS n FROM nodes WHERE name > :low GROUP BY type", low="M")
 
 
-@query(r"""WITH d AS (SELECT coalesce(source, 'unknown') AS source, text FROM documents WHERE trim(coalesce(text, '')) <> ''), m AS (SELECT unnest(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+')) AS mail FROM d)
+@query(r"""WITH d AS (SELECT coalesce(source, 'unknown') AS source, text FROM documents WHERE regexp_matches(coalesce(text, ''), '\S')), m AS (SELECT unnest(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+')) AS mail FROM d)
 SELECT 'Topic' AS type, count(DISTINCT lower(source)) AS n FROM d HAVING count(*) > 0 UNION ALL SELECT 'Person', count(DISTINCT lower(split_part(mail, '@', 1))) FROM m HAVING count(*) > 0 UNION ALL SELECT 'Organization', count(DISTINCT lower(split_part(mail, '@', 2))) FROM m HAVING count(*) > 0""")
 def extraction_to_types(spark, d):
     """The flagship on any size: extractor, parser, rules, components."""

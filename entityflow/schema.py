@@ -67,6 +67,10 @@ def relations_schema() -> T.StructType:
     return T.StructType([T.StructField("relation_id", T.StringType()), *_ENDPOINTS, *[T.StructField(n, t) for n, t in rest]])
 
 
+def _number(snapshot: str) -> int:
+    return int(snapshot[2:].partition("-")[0])
+
+
 class GraphStore:
     """Versioned Parquet snapshots of ``nodes`` and ``relations`` below a base path.
 
@@ -91,8 +95,8 @@ class GraphStore:
         fs, at = self._fs(path)
         return [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
 
-    def log(self) -> dict[int, dict[str, int]]:
-        """Commits that are still kept: number -> snapshot of each table."""
+    def log(self) -> dict[int, dict[str, str]]:
+        """Commits that are still kept: number -> snapshot folder of each table."""
         out = {}
         for name in self._names(f"{self.base}/_log"):
             if name.isdigit():
@@ -102,10 +106,15 @@ class GraphStore:
                 with_stream.close()
         return out
 
-    def version(self, table: str) -> int | None:
+    def _snapshot(self, table: str) -> str | None:
         log = self.log()
         return log[max(log)].get(table) if log else None
 
+    def version(self, table: str) -> int | None:
+        """Number of the commit that wrote the table's snapshot."""
+        name = self._snapshot(table)
+        return None if name is None else _number(name)
+
     def exists(self, table: str) -> bool:
         return self.version(table) is not None
 
@@ -118,30 +127,33 @@ class GraphStore:
             return False
 
     def read(self, table: str) -> DataFrame:
-        v = self.version(table)
-        if v is None:
+        name = self._snapshot(table)
+        if name is None:
             return self.spark.createDataFrame([], self.schema(table))
-        return self.spark.read.schema(self.schema(table)).parquet(f"{self.base}/{table}/v={v}")
+        return self.spark.read.schema(self.schema(table)).parquet(f"{self.base}/{table}/{name}")
 
     def commit(self, **tables: DataFrame) -> int:
         """New snapshots of the given tables, all visible at once; the others keep theirs. A commit of another writer in between raises."""
         log = self.log()
         n = max(log, default=-1) + 1
+        name = f"v={n}-{uuid.uuid4().hex}"  # no other writer's
         for table, df in tables.items():
             kinds = self.schema(table)
-            df.select(*[F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in kinds.fields]).write.mode("overwrite").parquet(f"{self.base}/{table}/v={n}")
-        entry = {**(log[max(log)] if log else {}), **{t: n for t in tables}}
+            df.select(*[F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in kinds.fields]).write.parquet(f"{self.base}/{table}/{name}")
+        entry = {**(log[max(log)] if log else {}), **dict.fromkeys(tables, name)}
         fs, draft = self._fs(f"{self.base}/_log/_draft-{uuid.uuid4().hex}")
         out = fs.create(draft, True)
         out.write(bytearray(json.dumps(entry).encode()))
         out.close()
         if not fs.rename(draft, self._fs(f"{self.base}/_log/{n:010d}")[1]):
             fs.delete(draft, False)
+            for table in tables:
+                fs.delete(self._fs(f"{self.base}/{table}/{name}")[1], True)
             raise RuntimeError(f"commit {n} exists: another writer was faster")
         self._forget({**log, n: entry}, n)
         return n
 
-    def _forget(self, log: dict[int, dict[str, int]], n: int) -> None:
+    def _forget(self, log: dict[int, dict[str, str]], n: int) -> None:
         """Delete what neither this commit nor the one before it reads."""
         kept = [e for k, e in log.items() if k >= n - 1]
         fs, _ = self._fs(self.base)
@@ -149,9 +161,9 @@ class GraphStore:
             if k < n - 1:
                 fs.delete(self._fs(f"{self.base}/_log/{k:010d}")[1], False)
         for t in self.TABLES:
-            used = {f"v={e[t]}" for e in kept if t in e}
+            used = {e[t] for e in kept if t in e}
             for name in self._names(f"{self.base}/{t}"):
-                if name.startswith("v=") and name not in used and int(name[2:]) < n:
+                if name.startswith("v=") and name not in used and _number(name) < n:
                     fs.delete(self._fs(f"{self.base}/{t}/{name}")[1], True)
 
     def keep_status(self, rows: DataFrame) -> DataFrame:

@@ -188,6 +188,120 @@ def test_extractor_plugin(spark):
     assert "Person" in extract.prompt()
 
 
+def test_store_commits_both_tables_and_forgets_old_ones(spark, tmp_path):
+    import os
+
+    base = str(tmp_path / "g")
+    store = GraphStore(spark, base)
+    assert store.works() and store.read("nodes").count() == 0 and store.version("nodes") is None
+    store.create()
+    node = lambda n: spark.createDataFrame([("Team", f"t{i}") for i in range(n)], "type string, name string")
+    before = store.read("nodes")
+    for i in range(1, 4):
+        store.commit(nodes=node(i))
+    assert store.version("nodes") == 3 and store.version("relations") == 0 and store.read("nodes").count() == 3
+    assert sorted(x[:4] for x in os.listdir(f"{base}/nodes") if x.startswith("v=")) == ["v=2-", "v=3-"] and sorted(x for x in os.listdir(f"{base}/_log") if x.isdigit()) == ["0000000002", "0000000003"]
+    assert before.schema == store.read("nodes").schema
+    other = GraphStore(spark, base)
+    log = other.log()
+    other.log = lambda: log  # a writer that has not seen the next commit
+    store.commit(nodes=node(5))
+    with pytest.raises(RuntimeError):
+        other.commit(nodes=node(7))
+    assert store.read("nodes").count() == 5 and not [x for x in os.listdir(f"{base}/_log") if x.startswith("_draft")]
+
+
+def test_ingest_leaves_no_scratch_and_embeds_relations(spark, tmp_path):
+    import os
+
+    base = str(tmp_path / "g")
+    store = GraphStore(spark, base)
+    docs = spark.createDataFrame([("1", "ann@acme.org", "news", ["p"]), ("2", "bo@acme.org", "news", []), ("3", None, "news", ["q"])], "id string, text string, source string, permissions array<string>")
+    status = ingest(spark, docs, store, F.lit("2024"), embedder=embed.HashingEmbedder(8))
+    assert status.count() == 3 and not os.listdir(f"{base}/_work")
+    r = {x["src_name"]: x for x in store.read("relations").where("type = 'WORKS_AT'").collect()}
+    assert len(r["ann"]["embedding"]) == 8 and r["ann"]["permissions"] == ["p"] and r["bo"]["permissions"] == []
+    n = {(x["type"], x["name"]): x["permissions"] for x in store.read("nodes").collect()}
+    assert n["Person", "ann"] == ["p"] and n["Person", "bo"] == [] and n["Organization", "acme.org"] == ["p"]
+
+
+def test_commands_of_the_command_line(spark, tmp_path, capsys, monkeypatch):
+    import io
+    import sys
+
+    base = str(tmp_path / "g")
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b/x.json").write_text(json.dumps({"results": [{"item_id": "i", "entities": [{"entity_name": "Ann", "entity_type": "Person", "attributes": {"email": "ann@x.org", "role": ["a", "b"], "worksAt": 5, "none": None}}, {"entity_type": "Person"}], "relationships": [{"source_entity": "Ann", "target_entity": " ANN ", "relationship_type": "IS"}, {"source_entity": "Ann"}]}]}, indent=2))
+    (tmp_path / "b/y.json").write_text("[]")
+    (tmp_path / "d.json").write_text(json.dumps({"documents": [{"id": "1", "title": "t", "content": "bo@acme.org", "source": "s"}, {"id": "2", "title": " ", "content": " ", "source": "s"}]}))
+    run = lambda *a: (cli.main(["--base", base, *a], spark), capsys.readouterr().out)
+    assert run("test") == (0, "reached\n")
+    code, out = run("merge", str(tmp_path / "b/x.json"))
+    assert code == 0 and "Person" in out
+    assert run("merge", str(tmp_path / "b"))[0] == 1  # one file is no batch
+    assert "ann@x.org" in run("persons")[1]
+    ann = GraphStore(spark, base).read("nodes").where("name = 'Ann'").first()
+    assert (ann["emails"], ann["role"], ann["worksAt"], ann["sources"]) == (["ann@x.org"], ["a", "b"], "5", ["i"]) and GraphStore(spark, base).read("relations").count() == 1
+    assert run("run", str(tmp_path / "d.json"), "--max", "5")[0] == 0
+    assert "50.0" in run("progress")[1] and run("reset") == (0, "1 failed documents are new again\n") and "100.0" in run("progress")[1]
+    monkeypatch.setattr(sys, "stdin", io.StringIO("help\nstats\nexit\n"))
+    code, out = run("interactive")
+    assert code == 0 and "relations" in out and "Topic" in out
+    monkeypatch.setenv("ENTITYFLOW_PAGE_SIZE", "0")
+    with pytest.raises(ValueError):
+        run("status")
+
+
+def test_configuration_files(tmp_path):
+    (tmp_path / "c.yaml").write_text("""
+entity_schemas:
+  Ship:
+    llm_fields: [name, flag, note]
+    mappings:
+      name: {type: "STRING PRIMARY KEY", merge_strategy: preserve_existing, mapping: name}
+      flags: {type: "STRING[]", merge_strategy: append_unique, mapping: flag}
+      rawDescriptions: {type: "STRING[]", mapping: note}
+      port: {type: STRING, merge_strategy: replace_always, mapping: port}
+      embedding: {type: "DOUBLE[]", mapping: embedding}
+systematic_merge:
+  matching_rules:
+    Ship:
+      - {rule: search, match: flag, db: flags, type: list, priority: 2, confidence: 0.7}
+      - {rule: exact, match: name, priority: 1, confidence: 0.9}
+""")
+    c = Config.from_yaml(str(tmp_path / "c.yaml"))
+    assert c.entity_types() == ["Ship"] and "port" in c.scalars("Ship") and "flags" in c.arrays("Ship") and c.target("Ship", "flag") == "flags" and c.target("Ship", "note") == "rawDescriptions"
+    assert c.strategy("Ship", "port") == "replace_always" and [(r.kind, r.match, r.db) for r in c.rules_of("Ship")] == [("exact", "name", "name"), ("search", "flag", "flags")] and c.prompt_fields["Ship"] == ("name", "flag", "note")
+
+
+def test_prompts_and_chat_extractor(spark):
+    assert len({extract.prompt(data_type=t) for t in text.DATA_TYPES}) == 5 and "Team" not in extract.prompt(entity_types=["Person"]) and "Widget" in extract.extraction_prompt("x", entity_types=["Widget"])
+
+    def call(system, user):
+        if "boom" in user:
+            raise OSError("away")
+        return user[-3:] + str(len(system) > 100)
+
+    assert extract.ChatExtractor(call, data_type="chat").extract(["a", "boom"]) == ["|>:True", ""] or extract.ChatExtractor(call).extract(["boom"]) == [""]
+
+
+def test_visit_source_gives_up_on_wrong_requests(monkeypatch):
+    from urllib import request
+    from urllib.error import HTTPError
+
+    tries = []
+
+    def answer(url, timeout):
+        tries.append(url)
+        raise HTTPError(url, 404 if len(tries) == 1 else 503, "no", {}, None)
+
+    monkeypatch.setattr(request, "urlopen", answer)
+    monkeypatch.setattr("time.sleep", lambda s: None)
+    reader = documents.VisitReader({"url": "http://x", "retries": "3"})
+    assert not reader.works() and len(tries) == 1
+    assert not reader.works() and len(tries) == 4
+
+
 @pytest.mark.parametrize("line,want", [("details Ann Lee Person", ("details", ("Ann Lee", "Person"))), ("top 99 graph db", ("search", ("graph db", 50))), ("top x y", ("search", ("top x y", 10))), ("stats", ("stats", ())), ("quit", ("exit", ())), ("", ("help", ())), ("who is it", ("search", ("who is it", 10)))])
 def test_commands(line, want):
     assert graph.parse_command(line) == want
