@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from entityflow.config import BETTER, PRESERVE, RULES, Config
 from entityflow.functions import parse, text
 from entityflow.operators import graph, match, merge, quality, relations
-from entityflow.plans.pipeline import extracted, items_of
+from entityflow.plans.pipeline import extracted, items_of, saver
 from entityflow.sources import documents as sources
 from entityflow.sources import sinks
 from entityflow.streaming.ingest import latest_status, unprocessed
@@ -33,14 +35,15 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-def _save(spark: SparkSession):
-    """Reliable checkpoints in the shared folder that the session names."""
-    sc = spark.sparkContext
-    if not spark.conf.get("spark.checkpoint.dir", None) and sc.getCheckpointDir() is None:
-        import tempfile
+def folder(spark: SparkSession) -> str:
+    """A new folder where the session keeps shared files; a temporary one only where it names none (tests)."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or "file://" + tempfile.mkdtemp(prefix="entityflow-")
+    return f"{base.rstrip('/')}/queries/{uuid.uuid4().hex}"
+
 
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="entityflow-"))
-    return lambda df: df.checkpoint()
+def _save(spark: SparkSession):
+    """Written tables in the shared folder."""
+    return saver(spark, folder(spark))
 
 
 # -- stand-ins: typed nodes and edges of the star schema ------------------------------

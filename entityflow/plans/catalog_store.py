@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +10,7 @@ from entityflow.config import RULES, Config, Settings
 from entityflow.functions import embed, extract, parse, text
 from entityflow.operators import graph, match, merge, quality, relations
 from entityflow.plans import pipeline
-from entityflow.plans.catalog import _EDGES, _NODES, _edges, _nodes, _save, _t, query
+from entityflow.plans.catalog import _EDGES, _NODES, _edges, _nodes, _save, _t, folder, query
 from entityflow.schema import GraphStore, nodes_schema, relations_schema, separate, unify
 from entityflow.sources import documents as sources
 from entityflow.sources import sinks
@@ -22,12 +19,6 @@ from entityflow.streaming import ingest as streaming
 NOW = "2024-01-01T00:00:00"
 
 
-def _folder(spark: SparkSession) -> str:
-    """A new folder where the session keeps shared files; a temporary one only where it names none."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or "file://" + tempfile.mkdtemp(prefix="entityflow-")
-    return f"{base.rstrip('/')}/queries/{uuid.uuid4().hex}"
-
-
 def _rows(spark: SparkSession, rows: list, schema: str) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
@@ -116,14 +107,14 @@ def data_type_of_record(spark, d):
 # -- exports --------------------------------------------------------------------------
 @query("SELECT doc_id::VARCHAR AS id, source AS title, lang AS source FROM documents")
 def json_lines_round_trip(spark, d):
-    at = _folder(spark)
+    at = folder(spark)
     sinks.export(_documents(spark, d), at, "lines")
     return sources.read_json_lines(spark, at).select("id", "title", "source")
 
 
 @query("SELECT n_nationkey::VARCHAR AS id, n_name AS title, 'document' AS doc_type FROM nation")
 def json_file_documents(spark, d):
-    at = _folder(spark)
+    at = folder(spark)
     n = _t(spark, d, "nation").select(F.struct(F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("title")).alias("x"))
     bad = F.struct(F.lit(None).cast("string").alias("id"), F.lit("no id").alias("title"))
     n.groupBy().agg(F.to_json(F.struct(F.concat(F.collect_list("x"), F.array(bad)).alias("documents"))).alias("value")).write.text(at)
@@ -132,13 +123,13 @@ def json_file_documents(spark, d):
 
 @query("SELECT count(*) AS total_documents, true AS has_bytes, false AS include_metadata FROM documents")
 def json_export_statistics(spark, d):
-    s = sinks.export(_documents(spark, d), _folder(spark), "json", NOW, include_metadata=False)
+    s = sinks.export(_documents(spark, d), folder(spark), "json", NOW, include_metadata=False)
     return s.select("total_documents", (F.col("bytes") > 2).alias("has_bytes"), "include_metadata")
 
 
 @query("SELECT count(*) AS total_documents, true AS indented FROM nation")
 def pretty_json_export(spark, d):
-    at = _folder(spark)
+    at = folder(spark)
     s = sinks.export_json(_t(spark, d, "nation"), at, NOW, pretty=True)
     lines = spark.read.text(f"{at}/documents").agg(F.count_if(F.col("value").startswith("  ")).alias("n"))
     return s.join(lines).select("total_documents", (F.col("n") >= F.col("total_documents")).alias("indented"))
@@ -147,19 +138,19 @@ def pretty_json_export(spark, d):
 @query("SELECT t.lang AS doc_type, least(5, count(d.doc_id)) AS n, CASE WHEN count(d.doc_id) > 0 THEN 'exported' ELSE 'no documents' END AS status FROM (VALUES ('en'), ('fr'), ('xx')) t(lang) LEFT JOIN documents d ON d.lang = t.lang GROUP BY 1")
 def export_by_type_status(spark, d):
     docs = _t(spark, d, "documents").select(F.col("doc_id").alias("id"), F.col("lang").alias("doc_type"), "source")
-    return sinks.export(docs, _folder(spark), "by_type", types=["en", "fr", "xx"], limit=5)
+    return sinks.export(docs, folder(spark), "by_type", types=["en", "fr", "xx"], limit=5)
 
 
 @query("SELECT doc_id::VARCHAR AS id, source AS title FROM documents")
 def light_export(spark, d):
-    at = _folder(spark)
+    at = folder(spark)
     sinks.export(_documents(spark, d), at, "light", fields=["id", "title", "none"])
     return spark.read.schema("id string, title string").json(at)
 
 
 @query("SELECT doc_id, lang FROM documents")
 def saved_results(spark, d):
-    at = _folder(spark)
+    at = folder(spark)
     sinks.save_results(_t(spark, d, "documents").select("doc_id", "lang"), at, "r1")
     return spark.read.schema("doc_id long, lang string").json(f"{at}/run=r1")
 
@@ -449,7 +440,7 @@ def interactive_session(spark, d):
 # -- stores ---------------------------------------------------------------------------
 @query("SELECT * FROM (VALUES (1, 'missing', '', 0, 0), (2, 'init', 'nodes,relations', 0, 0), (3, 'filled', 'nodes,relations', 25, 25), (4, 'nodes again', 'nodes,relations', 20, 25), (5, 'cleared', 'nodes,relations', 0, 0), (6, 'migrated', 'nodes,relations', 0, 0), (7, 'dropped', '', 0, 0)) t(step, what, tables, nodes, relations)")
 def store_lifecycle(spark, d):
-    store = GraphStore(spark, _folder(spark))
+    store = GraphStore(spark, folder(spark))
     rows = []
 
     def note(what):
@@ -474,15 +465,15 @@ def store_lifecycle(spark, d):
 
 @query("SELECT t.type, count(n.n_name) AS n FROM (VALUES ('Person'),('Team'),('Organization'),('Project'),('Repository'),('Branch'),('CodeChangeRequest'),('Issue'),('Event'),('Topic')) t(type) LEFT JOIN nation n ON t.type = 'Team' GROUP BY 1 UNION ALL SELECT 'Relation', count(*) FROM nation")
 def store_info(spark, d):
-    store = GraphStore(spark, _folder(spark))
+    store = GraphStore(spark, folder(spark))
     store.commit(nodes=_full_nodes(spark, d).where("type = 'Team'"), relations=_relations(spark, d).where("src_type = 'Team'"))
     return store.info()
 
 
 @query("SELECT * FROM (VALUES ('nodes', true), ('relations', true)) t(tab, has_fields)")
 def schema_backup(spark, d):
-    at = f"{_folder(spark)}/schema.json"
-    GraphStore(spark, _folder(spark)).backup_schema(at)
+    at = f"{folder(spark)}/schema.json"
+    GraphStore(spark, folder(spark)).backup_schema(at)
     v = spark.read.text(at, wholetext=True).select(F.explode(F.from_json("value", "map<string,struct<fields:array<struct<name:string>>>>")).alias("tab", "s"))
     return v.select("tab", (F.size("s.fields") > 10).alias("has_fields"))
 
@@ -496,13 +487,13 @@ def connectivity_probes(spark, d):
             raise OSError("no model")
 
     away = sources.VisitReader({"url": "http://127.0.0.1:9", "retries": "1", "timeout": "1"})
-    return _rows(spark, [("embedder", embed.works(embed.HashingEmbedder(8))), ("failing embedder", embed.works(Broken())), ("missing server", away.works()), ("store", GraphStore(spark, _folder(spark)).works())], "what string, works boolean")
+    return _rows(spark, [("embedder", embed.works(embed.HashingEmbedder(8))), ("failing embedder", embed.works(Broken())), ("missing server", away.works()), ("store", GraphStore(spark, folder(spark)).works())], "what string, works boolean")
 
 
 # -- batches and runs -----------------------------------------------------------------
 def _batch_files(spark, d) -> str:
     """A file for each region: results of its nations (odd regions) or one batch (even ones); suppliers are persons at their nation."""
-    at = _folder(spark)
+    at = folder(spark)
     n = _t(spark, d, "nation").join(F.broadcast(_t(spark, d, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
     entity = lambda name, kind, **a: F.struct(name.alias("entity_name"), F.lit(kind).alias("entity_type"), F.struct(*[v.alias(k) for k, v in a.items()]).alias("attributes"))
     team = entity(F.col("n_name"), "Team", description=F.concat(F.lit("in "), F.col("r_name")), aliases=F.array(F.lower("n_name")))
@@ -536,7 +527,7 @@ def batch_file_relations(spark, d):
 @query("SELECT 'Team' AS type, n_name AS name, 'in ' || r_name AS descriptions, CASE WHEN n_regionkey % 2 = 1 THEN 'n' || n_nationkey ELSE 'r' || n_regionkey END AS sources FROM nation JOIN region ON r_regionkey = n_regionkey UNION ALL SELECT 'Topic', upper(r_name), 'a region', string_agg(DISTINCT CASE WHEN n_regionkey % 2 = 1 THEN 'n' || n_nationkey ELSE 'r' || n_regionkey END, '|' ORDER BY CASE WHEN n_regionkey % 2 = 1 THEN 'n' || n_nationkey ELSE 'r' || n_regionkey END) FROM nation JOIN region ON r_regionkey = n_regionkey GROUP BY r_name")
 def merge_batch_files(spark, d):
     """Two merges of the same files: the second changes nothing."""
-    store, at = GraphStore(spark, _folder(spark)), _batch_files(spark, d)
+    store, at = GraphStore(spark, folder(spark)), _batch_files(spark, d)
     for _ in range(2):
         pipeline.merge_files(spark, at, store, F.lit(NOW), "*.txt", embed.HashingEmbedder(8))
     return store.read("nodes").select("type", "name", _joined("rawDescriptions").alias("descriptions"), F.array_join(F.array_sort("sources"), "|").alias("sources"))
@@ -544,7 +535,7 @@ def merge_batch_files(spark, d):
 
 @query("SELECT r_regionkey::VARCHAR AS region, CASE WHEN r_regionkey % 2 = 1 THEN count(*) ELSE 1 END AS documents, 2 * count(*) AS entities, 2 * count(*) AS relations, count(*) AS rejected, 0::BIGINT AS errors FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY r_regionkey UNION ALL SELECT '99', 0, 0, 0, 0, 1")
 def merge_batch_statistics(spark, d):
-    store = GraphStore(spark, _folder(spark))
+    store = GraphStore(spark, folder(spark))
     return _files(pipeline.merge_files(spark, _batch_files(spark, d), store, F.lit(NOW), "*.txt", embed.HashingEmbedder(8))).drop("file")
 
 
@@ -562,7 +553,7 @@ _MAILED = "SELECT s_suppkey AS k, 'u' || s_suppkey AS who, 'n' || s_nationkey ||
 @query(f"WITH m AS ({_MAILED}) SELECT 'node' AS kind, 'Person' AS type, who AS name FROM m WHERE k % 2 = 1 UNION ALL SELECT DISTINCT 'node', 'Organization', org FROM m WHERE k % 2 = 1 UNION ALL SELECT DISTINCT 'node', 'Topic', src FROM m WHERE k % 2 = 1 UNION ALL SELECT 'edge', 'WORKS_AT', who FROM m WHERE k % 2 = 1 UNION ALL SELECT 'edge', 'MENTIONED_IN', who FROM m WHERE k % 2 = 1")
 def permissions_reach_graph(spark, d):
     """Documents with permissions, ingested and read back by a principal."""
-    store = GraphStore(spark, _folder(spark))
+    store = GraphStore(spark, folder(spark))
     pipeline.ingest(spark, _mails(spark, d), store, F.lit(NOW), embedder=embed.HashingEmbedder(8))
     s = graph.GraphSession(spark, store.read("nodes"), store.read("relations"), principal="p1")
     return s.nodes.select(F.lit("node").alias("kind"), "type", "name").unionByName(s.relations.select(F.lit("edge").alias("kind"), "type", F.col("src_name").alias("name")))
@@ -581,12 +572,12 @@ _LOG = "SELECT user_id::VARCHAR AS item_id, CASE WHEN event_type = 'purchase' TH
 
 @query(f"SELECT 's' || event_id % 3 AS session_id, count(*) FILTER (status = 'processed') AS processed, count(*) FILTER (status = 'failed') AS failed, (2 * count(*))::BIGINT AS entities, count(*) AS relationships FROM ({_LOG}) GROUP BY 1")
 def progress_sessions(spark, d):
-    return _log(spark, d, _folder(spark)).sessions().select("session_id", "processed", "failed", "entities", "relationships")
+    return _log(spark, d, folder(spark)).sessions().select("session_id", "processed", "failed", "entities", "relationships")
 
 
 @query(f"WITH l AS (SELECT item_id, bool_or(status = 'processed') AS ok FROM ({_LOG}) GROUP BY 1) SELECT count(*) FILTER (ok) AS processed, count(*) FILTER (NOT ok) AS failed, (SELECT count(*) FROM l WHERE ok) AS after_reset, 0::BIGINT AS failed_after_reset FROM l")
 def progress_summary_and_reset(spark, d):
-    p = _log(spark, d, _folder(spark))
+    p = _log(spark, d, folder(spark))
     before = p.summary().first()
     p.reset_failed("2099")
     after = p.summary().first()
@@ -596,13 +587,13 @@ def progress_summary_and_reset(spark, d):
 @query(f"SELECT DISTINCT user_id::VARCHAR AS id FROM events WHERE user_id::VARCHAR NOT IN (SELECT item_id FROM ({_LOG}) WHERE status = 'processed')")
 def unprocessed_documents(spark, d):
     docs = _t(spark, d, "events").select(F.col("user_id").cast("string").alias("id")).distinct().unionByName(spark.createDataFrame([("",), (None,)], "id string"))
-    return _log(spark, d, _folder(spark)).unprocessed(docs)
+    return _log(spark, d, folder(spark)).unprocessed(docs)
 
 
 @query(f"SELECT count(*) FILTER (k % 7 <> 0) AS processed, count(*) FILTER (k % 7 = 0) AS failed, (3 * count(*) FILTER (k % 7 <> 0))::BIGINT AS entities, (2 * count(*) FILTER (k % 7 <> 0))::BIGINT AS relationships, (SELECT count(DISTINCT who) + count(DISTINCT org) + count(DISTINCT src) FROM ({_MAILED})) AS nodes, 0::BIGINT AS left_over FROM (SELECT s_suppkey AS k FROM supplier)")
 def pipeline_run(spark, d):
     """A session over documents that are not processed; a second one has the failed ones only."""
-    at = _folder(spark)
+    at = folder(spark)
     store, p = GraphStore(spark, f"{at}/g"), streaming.Progress(spark, f"{at}/p")
     docs = _mails(spark, d)
     s = streaming.run(spark, docs, store, p, "one", F.lit(NOW), results=f"{at}/o").first()
@@ -614,7 +605,7 @@ def pipeline_run(spark, d):
 @query(f"SELECT count(*) FILTER (k % 7 <> 0) AS processed, count(*) FILTER (k % 7 = 0) AS failed, (SELECT count(DISTINCT who) + count(DISTINCT org) + count(DISTINCT src) FROM ({_MAILED})) AS nodes, (SELECT 2 * count(*) FROM ({_MAILED})) AS relations FROM (SELECT s_suppkey AS k FROM supplier)")
 def stream_ingest(spark, d):
     """The same documents as a stream of files in micro-batches, with what is there when it starts."""
-    at = _folder(spark)
+    at = folder(spark)
     docs = _mails(spark, d)
     docs.repartition(2, "id").write.parquet(f"{at}/in")
     store, p = GraphStore(spark, f"{at}/g"), streaming.Progress(spark, f"{at}/p")
