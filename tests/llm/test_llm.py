@@ -654,6 +654,135 @@ def test_chat_conversations(spark):
     assert chat.format_conversations(df.limit(0)).count() == 0
 
 
+@pytest.fixture(scope="module")
+def corpus(spark, tmp_path_factory):
+    """A folder of small tables with nulls, repeated rows, near copies, planted benchmark text, personal data and toxic words."""
+    r = random.Random(12)
+    at = tmp_path_factory.mktemp("corpus")
+    items = [prose(n, 5000 + n) for n in (8, 14, 30)]
+    rows = []
+    for i in range(150):
+        w = prose(r.randint(0, 120), i).split()
+        if i % 5 == 0:
+            w[len(w) // 2 : len(w) // 2] = ["vileword", "awfulness", "nastything"][: 1 + i % 3]
+        if i % 11 == 0:
+            w += items[i % 3].split()
+        if i % 7 == 0:
+            w.insert(len(w) // 3, r.choice(["ann@x.org", "10.1.2.3", "4111 1111 1111 1111", "+1 555 010 2233"]))
+        rows.append((i, " ".join(w)))
+    for i in range(40):  # near copies and copies
+        w = rows[r.choice((20, 61, 62))][1].split()
+        for _ in range(r.randint(0, 3)):
+            if w:
+                w[r.randrange(len(w))] = r.choice(VOCAB)
+        rows.append((200 + i, " ".join(w)))
+    rows += [(300, None), (301, ""), (302, " \n"), (None, "no id"), (303, "Ünï 🙂 </s> it's"), (304, "y" * 5000), (20, rows[20][1])]
+    spark.createDataFrame([(i, t, "s", len(t or "")) for i, t in rows], "doc_id long, text string, source string, n_chars long").repartition(3).write.parquet(f"{at}/documents.parquet")
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(f"{at}/benchmark.parquet")
+    spark.createDataFrame([(i, 1, int(i % 5 == 0)) for i in range(0, 150, 2)], "doc_id long, quality int, toxic int").write.parquet(f"{at}/labels.parquet")
+    return str(at), rows, items
+
+
+def _shingles(text, k):
+    w = (text or "").encode().lower().split()
+    return {tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} if w else set()
+
+
+def test_each_query_keeps_its_contract(spark, corpus):
+    import sentencepiece
+    import tokenizers
+
+    at, rows, items = corpus
+    many = lambda f: collections.Counter((i, *f(t or "")) for i, t in rows)
+    got = lambda op, *names: collections.Counter(tuple(r[n] for n in ("doc_id", *names)) for r in op(spark, at).collect())
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.op1_decontaminate(spark, at).collect()}
+    h = {k: words.word_hashes([t], strip=True)[0] for k, t in enumerate(items)}
+    want = set()
+    for i, t in rows:
+        w = words.word_hashes([t], strip=True)[0]
+        want |= {(i, k) for k, x in h.items() if any(decontaminate._run(w, x, d)[2] >= decontaminate._need(x) for d in range(-len(x), len(w)) if min(len(x), len(w) - d) > max(0, -d))}
+    assert found == want and len(want) >= 10
+
+    toxic = {r["doc_id"]: r["toxic"] for r in toxicity.op2_toxicity(spark, at).collect()}
+    assert len(toxic) == len({i for i, _ in rows}) and all(isinstance(x, bool) for x in toxic.values())
+
+    fast = tokenizers.Tokenizer.from_file(BPE)
+    ids = lambda t: fast.encode(t, add_special_tokens=False).ids
+    assert got(bpe.op3_bpe, "n_tokens", "ids_sha256", "decoded_sha256") == many(lambda t: (len(x := ids(t)), sha(" ".join(map(str, x))), sha(fast.decode(x, skip_special_tokens=False))))
+
+    known = collections.Counter(w for i, t in rows if not maxent.held_out(i) for w in [*(t or "").encode().lower().split(), None])
+    n, z = sum(known.values()), sum(known.values()) + 0.1 * (len(known) + 1)
+    said = lambda t: [*t.encode().lower().split(), None]
+    lm = {}
+    for r in maxent.op5_maxent(spark, at).collect():
+        lm[r["doc_id"]] = r
+    for i, t in rows:
+        w = said(t or "")
+        r = lm[i]
+        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (maxent.held_out(i), len(w), sum(known[x] > 0 for x in w), n)
+        assert abs(r["base_score"] - sum(np.log10((known[x] + 0.1) / z) for x in w)) < 1e-9 * len(w) + 1e-9 and r["score"] < 0
+
+    # rows that repeat an id are one document
+    sets = {i: _shingles(t, 3) for i, t in rows if i is not None}
+    order = sorted(sets)
+    comp = dict(zip(order, (order[c] for c in links([sets[i] for i in order], 90))))
+    assert got(shingle_join.op6_shingle_join, "n_shingles", "component_id") == collections.Counter((i, len(_shingles(t, 3)), comp.get(i)) for i, t in rows)
+
+    def base(t):
+        spans = sorted(slow_spans(t))
+        return (*[sum(k == j for k, _, _ in spans) for j in range(4)], sha(",".join(f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in spans)))
+
+    assert got(pii.op7_pii, "n_email", "n_ip", "n_card", "n_phone", "base_sha256") == many(base)
+
+    pieces = sentencepiece.SentencePieceProcessor(model_file=P.path("piece_bpe_32k.model"))
+    assert got(token_counts.op8_token_counts, "n_bytes", "n_tokens", "over_limit") == many(lambda t: (len(t.encode()), m := len(pieces.encode(t)), m > 4096))
+
+    crc = lambda t: (len(x := [*ids(t), 1]), zlib.crc32(np.array(x, "<u4").tobytes()))
+    files = simple8b.op9_simple8b(spark, at).collect()
+    assert collections.Counter((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in files) == many(crc)
+    starts = sorted((r["start"], r["n_tokens"], r["doc_id"]) for r in files)
+    assert [s for s, _, _ in starts] == [0, *np.cumsum([m for _, m, _ in starts])[:-1].tolist()] and [i for _, _, i in starts] == sorted((i for _, _, i in starts), key=lambda i: (i is not None, i))
+
+    full = lambda t: (raw := t.encode()) + b" " * (-len(raw) % 192 if raw else 192)
+    assert got(tiff.op10_tiff_media, "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32") == many(lambda t: (len(t.encode()), len(p := full(t)), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-16:])))
+
+
+def test_pipeline_equals_plain_stages(spark, corpus):
+    """run() against the same rules row by row: the model's formula, brute-force links, every diagonal, plain redaction, the library's ids."""
+    import corpus_pipeline
+    import tokenizers
+
+    at, rows, items = corpus
+    docs = spark.read.parquet(f"{at}/documents.parquet")
+    model = toxicity.train(docs, spark.read.parquet(f"{at}/labels.parquet"))
+    memo = toxicity._Memo(model.place)
+    sig = lambda x: 1 / (1 + np.exp(-x))
+    bad = lambda t: sig(sum(model.values[f] for f in toxicity.text_features(t, memo)) - model.cuts[0]) >= 0.5
+    left = [(i, t) for i, t in rows if not bad(t)]
+    assert 10 < len(rows) - len(left) < 100
+    sets = {i: _shingles(t, 5) for i, t in left if i is not None}
+    order = sorted(sets)
+    comp = dict(zip(order, (order[c] for c in links([sets[i] for i in order], 80))))
+    kept = [(i, t) for i, t in left if i is None or comp[i] == i]
+    assert len(kept) < len(left)
+    h = [words.word_hashes([t], strip=True)[0] for t in items]
+
+    def leak(t):
+        w = words.word_hashes([t], strip=True)[0]
+        return any(decontaminate._run(w, x, d)[2] >= decontaminate._need(x) for x in h for d in range(-len(x), len(w)) if min(len(x), len(w) - d) > max(0, -d))
+
+    clean = [(i, t) for i, t in kept if not leak(t)]
+    assert len(clean) < len(kept)
+    trusted = dict(pii.bootstrap(spark.createDataFrame(clean, "doc_id long, text string")))
+    fast = tokenizers.Tokenizer.from_file(BPE)
+    want = collections.Counter((i, tuple(fast.encode(pii.redacted(t, trusted) or "", add_special_tokens=False).ids)) for i, t in clean)
+    made = corpus_pipeline.run(spark, at).collect()
+    assert collections.Counter((r["doc_id"], tuple(r["ids"])) for r in made) == want and all(r["n_tokens"] == len(r["ids"]) for r in made)
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "decontamination", "pii", "bpe"]
+
+
 def test_pipeline_stages(spark, tmp_path, odd, none):
     import corpus_pipeline
 
