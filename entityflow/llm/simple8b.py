@@ -14,7 +14,7 @@ container, so any store that Spark writes will do). A segment's payload is::
     u32 block id counts | u32 block word counts | u32 escape word positions | u64 words
 
 Edge cases: null and empty texts are the end id alone; a null doc_id sorts
-first; rows of equal doc_id are ordered by text; empty tables give no segment.
+first; rows of equal doc_id are ordered by a hash of their texts, then by text; empty tables give no segment.
 """
 
 from __future__ import annotations
@@ -186,7 +186,8 @@ def write_ids(df: DataFrame, encoder, end_id: int | None, text: str = "text", id
             yield out()
 
     rows = df.select(col(id_col).cast("long").alias("k"), col(text).alias("t"))
-    dealt = rows.repartitionByRange("k").sortWithinPartitions("k", "t")
+    # rows of one id (or of none) are spread by a hash of their texts
+    dealt = rows.withColumn("h", F.xxhash64("t")).repartitionByRange("k", "h").sortWithinPartitions("k", "h", "t").select("k", "t")
     return written(map_batches(dealt, run, SEGMENTS), "simple8b")
 
 
