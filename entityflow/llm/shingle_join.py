@@ -503,5 +503,20 @@ def one_of_each(documents: DataFrame, k: int = 5, t: int = 80, text: str = "text
     return plain.join(gone, plain[f"c{documents.columns.index(id_col)}"] == gone["id"], "left_anti").toDF(*documents.columns)
 
 
+#: The same by joining all shingles with each other: for small tables.
+OP6_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN []::VARCHAR[] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) END AS sh FROM w
+), x AS (SELECT DISTINCT doc_id, len(sh) AS n, unnest(sh) AS k FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS m FROM x a JOIN x b ON a.k = b.k AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n) GROUP BY ALL),
+e AS (SELECT a, b FROM p WHERE 100 * m >= 90 * (na + nb - m)),
+u AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT doc_id AS node, doc_id AS reach FROM documents UNION SELECT r.node, u.b FROM r JOIN u ON u.a = r.reach)
+SELECT s.doc_id, len(sh)::BIGINT AS n_shingles, (SELECT min(reach) FROM r WHERE r.node = s.doc_id) AS component_id FROM s
+"""
+
 QUERIES = {"op6_shingle_join": op6_shingle_join}
-ORACLES: dict[str, str] = {}
+ORACLES = {"op6_shingle_join": OP6_SQL}

@@ -730,6 +730,12 @@ def test_each_query_keeps_its_contract(spark, corpus):
     comp = dict(zip(order, (order[c] for c in links([sets[i] for i in order], 90))))
     assert got(shingle_join.op6_shingle_join, "n_shingles", "component_id") == collections.Counter((i, len(_shingles(t, 3)), comp.get(i)) for i, t in rows)
 
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from read_parquet('{at}/documents.parquet/*.parquet')")
+    assert collections.Counter(con.execute(shingle_join.OP6_SQL).fetchall()) == collections.Counter((i, len(_shingles(t, 3)), comp.get(i)) for i, t in rows)
+
     def base(t):
         spans = sorted(slow_spans(t))
         return (*[sum(k == j for k, _, _ in spans) for j in range(4)], sha(",".join(f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in spans)))
