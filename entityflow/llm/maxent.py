@@ -468,7 +468,7 @@ def _texts(documents: DataFrame, shared, text: str, id_col: str) -> DataFrame:
     return map_rows(documents, [col(id_col).cast("long"), col(text)], make, PACKED)
 
 
-SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, score_per_token double"
 
 
 def _scores(model: Model, rows: list) -> list:
@@ -515,17 +515,17 @@ def _scores(model: Model, rows: list) -> list:
     p = (pair + BACK * model.class_p(cls, features) * share) / (seen + BACK)
     starts = ends - size
     add = lambda x: np.add.reduceat(x, starts)  # noqa: E731  every text has its end token
-    null = ~some
+    null, total = ~some, add(np.log10(p))
     out = [
         pa.array(ids, pa.int64(), mask=null), pa.array([held_out(i if s else None) for i, s in zip(ids.tolist(), some.tolist())], pa.bool_()), pa.array(size, pa.int64()),
         pa.array(add((c > 0).astype(np.int64)), pa.int64()), pa.array(np.full(texts, model.total), pa.int64()),
-        pa.array(add(np.log10((c + 0.1) / model.z)), pa.float64()), pa.array(add(np.log10(p)), pa.float64()),
+        pa.array(add(np.log10((c + 0.1) / model.z)), pa.float64()), pa.array(total, pa.float64()), pa.array(total / size, pa.float64()),
     ]
     return [pa.concat_arrays([x] * copies) for x in out]
 
 
 def score(documents: DataFrame, model: Model, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score per row."""
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and score_per_token per row."""
     spark = documents.sparkSession
     shared = spark.sparkContext.broadcast(model)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-model.total // BUCKET))
