@@ -69,6 +69,9 @@ def test_bpe_operator(spark, odd, none):
     assert spread == sorted(map(str, got))
     back = {r["doc_id"]: r["text"] for r in bpe.decode(bpe.encode(odd, BPE), BPE).collect()}
     assert back[1] == back[2] == back[3] == ""
+    for wrong in (10**6, -1):
+        with pytest.raises(KeyError):
+            bpe.vocabulary(BPE).decode([5, wrong])
     chunked = bpe._encode_spread(spark.createDataFrame([("k", "ab" * 500 + " the " + "the" * 300)], "key string, text string"), BPE, 100).first()["ids"]
     from tokenizers import Tokenizer
 
@@ -435,6 +438,8 @@ def test_pii(spark, odd, none):
     got = {r["doc_id"]: r for r in pii.extract(docs, trusted).collect()}
     assert got[200]["n_added"] == 1 and got[200]["spans"] == "phone:14:22" and got[200]["n_phone"] == 0
     assert got[3]["n_email"] == 1 and hashlib.sha256(",".join(f"email:{m}:{n}" for _, m, n in slow_spans(rows[3][1]) if _ == 0).encode()).hexdigest() == got[3]["base_sha256"]
+    spans = pii.extract(odd, trusted).collect()
+    assert collections.Counter(r["doc_id"] for r in spans) == collections.Counter([1, 2, 3, 4, 5, 5, None, 7, 8]) and all(r["spans"] == "" for r in spans if r["doc_id"] in (1, 2, 3))
     clean = pii.redact(odd, trusted)
     assert clean.columns == odd.columns and clean.count() == 9 and pii.redact(none, {}).count() == 0 and pii.bootstrap(none) == {}
     assert "[EMAIL]" in pii.redacted(rows[3][1], trusted)
@@ -676,7 +681,7 @@ def corpus(spark, tmp_path_factory):
             if w:
                 w[r.randrange(len(w))] = r.choice(VOCAB)
         rows.append((200 + i, " ".join(w)))
-    rows += [(300, None), (301, ""), (302, " \n"), (None, "no id"), (303, "Ünï 🙂 </s> it's"), (304, "y" * 5000), (20, rows[20][1])]
+    rows += [(300, None), (301, ""), (302, " \n"), (None, "no id"), (303, "Ünï 🙂 </s> it's"), (304, "y" * 5000), (305, prose(5000, 9)), (20, rows[20][1])]
     spark.createDataFrame([(i, t, "s", len(t or "")) for i, t in rows], "doc_id long, text string, source string, n_chars long").repartition(3).write.parquet(f"{at}/documents.parquet")
     spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(f"{at}/benchmark.parquet")
     spark.createDataFrame([(i, 1, int(i % 5 == 0)) for i in range(0, 150, 2)], "doc_id long, quality int, toxic int").write.parquet(f"{at}/labels.parquet")
@@ -744,6 +749,7 @@ def test_each_query_keeps_its_contract(spark, corpus):
 
     pieces = sentencepiece.SentencePieceProcessor(model_file=P.path("piece_bpe_32k.model"))
     assert got(token_counts.op8_token_counts, "n_bytes", "n_tokens", "over_limit") == many(lambda t: (len(t.encode()), m := len(pieces.encode(t)), m > 4096))
+    assert len(pieces.encode(prose(5000, 9))) > 4096
 
     crc = lambda t: (len(x := [*ids(t), 1]), zlib.crc32(np.array(x, "<u4").tobytes()))
     files = simple8b.op9_simple8b(spark, at).collect()
