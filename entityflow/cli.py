@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import sys
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -85,7 +86,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     elif a.command == "persons":
         _show(session().persons().select("name", "emails", "role", "worksAt"))
     elif a.command == "merge":
+        began = time.monotonic()
         stats = merge_files(spark, a.path, store, now, a.pattern)
+        print(f"{time.monotonic() - began:.1f} seconds")
         _show(stats.orderBy("file"))
         _show(store.info().orderBy("type"))
         return 1 if stats.agg(F.sum("errors")).first()[0] else 0

@@ -36,6 +36,6 @@ def batch_totals(results: DataFrame) -> DataFrame:
 
 
 def batch_statistics(batches: DataFrame) -> DataFrame:
-    """(file, documents, entities, relations, rejected, errors) of read batches (file, item_id, entities, relations, error, rejected)."""
+    """(file, documents, entities, merged, relations, rejected, errors) of read batches (file, item_id, entities, relations, error, merged, rejected)."""
     n = lambda c: F.coalesce(F.sum(F.greatest(F.size(c), F.lit(0))), F.lit(0)).cast("long")
-    return batches.groupBy("file").agg(F.count_if(F.col("error").isNull()).alias("documents"), n("entities").alias("entities"), n("relations").alias("relations"), F.coalesce(F.sum("rejected"), F.lit(0)).alias("rejected"), F.count_if(F.col("error").isNotNull()).alias("errors"))
+    return batches.groupBy("file").agg(F.count_if(F.col("error").isNull()).alias("documents"), n("entities").alias("entities"), F.coalesce(F.sum("merged"), F.lit(0)).alias("merged"), n("relations").alias("relations"), F.coalesce(F.sum("rejected"), F.lit(0)).alias("rejected"), F.count_if(F.col("error").isNotNull()).alias("errors"))

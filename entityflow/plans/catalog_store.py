@@ -533,7 +533,7 @@ def merge_batch_files(spark, d):
     return store.read("nodes").select("type", "name", _joined("rawDescriptions").alias("descriptions"), F.array_join(F.array_sort("sources"), "|").alias("sources"))
 
 
-@query("SELECT r_regionkey::VARCHAR AS region, CASE WHEN r_regionkey % 2 = 1 THEN count(*) ELSE 1 END AS documents, 2 * count(*) AS entities, 2 * count(*) AS relations, count(*) AS rejected, 0::BIGINT AS errors FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY r_regionkey UNION ALL SELECT '99', 0, 0, 0, 0, 1")
+@query("SELECT r_regionkey::VARCHAR AS region, CASE WHEN r_regionkey % 2 = 1 THEN count(*) ELSE 1 END AS documents, 2 * count(*) AS entities, count(*) - 1 AS merged, 2 * count(*) AS relations, count(*) AS rejected, 0::BIGINT AS errors FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY r_regionkey UNION ALL SELECT '99', 0, 0, 0, 0, 0, 1")
 def merge_batch_statistics(spark, d):
     store = GraphStore(spark, folder(spark))
     return _files(pipeline.merge_files(spark, _batch_files(spark, d), store, F.lit(NOW), "*.txt", embed.HashingEmbedder(8))).drop("file")

@@ -59,8 +59,8 @@ def numbered(items: DataFrame) -> DataFrame:
     return items.withColumn("uid", F.concat_ws("#", "item_id", F.lpad(F.col("batch_id").cast("string"), 8, "0"))).withColumn("ord", F.col("uid"))
 
 
-def build(items: DataFrame, rels: DataFrame, stored: DataFrame, config: Config, save) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(new nodes, relations between them, rejected relations). Stored nodes take part as items that come first, so their names win."""
+def build(items: DataFrame, rels: DataFrame, stored: DataFrame, config: Config, save) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(new nodes, relations between them, rejected relations, items with their clusters). Stored nodes take part as items that come first, so their names win."""
     arrays = [f.name for f in stored.schema.fields if f.dataType.simpleString() == "array<string>"]
     strings = [f.name for f in stored.schema.fields if f.dataType.simpleString() == "string" and f.name not in ("type", "name", "lastUpdated")]
     pairs = [F.struct(F.lit(c).alias("k"), F.array(F.col(c)).alias("v")) for c in strings] + [F.struct(F.lit(c).alias("k"), F.coalesce(F.col(c), F.array().cast("array<string>")).alias("v")) for c in arrays]
@@ -72,12 +72,13 @@ def build(items: DataFrame, rels: DataFrame, stored: DataFrame, config: Config,
     nodes = save(merge.clusters_to_nodes(tagged, config))
     mapping = relations.alias_map(tagged.where("item_id is not null"), nodes.select("cluster", "type", "name"))
     good, bad = relations.with_endpoints(rels, mapping)
-    return nodes.drop("cluster"), good, bad
+    return nodes.drop("cluster"), good, bad, tagged
 
 
-def merge_into(store: GraphStore, items: DataFrame, rels: DataFrame, now: Column, save, embedder: Embedder | None = None) -> DataFrame:
-    """Resolve items against the store, merge nodes and relations with new embeddings, commit both tables at once; returns the rejected relations."""
-    nodes, good, bad = build(items, rels, store.read("nodes"), store.config, save)
+def merge_into(store: GraphStore, items: DataFrame, rels: DataFrame, now: Column, save, embedder: Embedder | None = None) -> tuple[DataFrame, DataFrame]:
+    """Resolve items against the store, merge nodes and relations with new embeddings, commit both tables at once; returns the rejected
+    relations and the items that joined an earlier item or a stored node."""
+    nodes, good, bad, tagged = build(items, rels, store.read("nodes"), store.config, save)
     text = entity_text(F.col("type"), F.col("name"), F.col("rawDescriptions"), title=F.col("title"), role=F.array_join("role", ", "))
     # several clusters may end under one name: they are one node of the table
     once = nodes.groupBy("type", "name").agg(*[(F.array_distinct(F.flatten(F.collect_list(c))) if c in store.config.all_arrays() else F.first(c, ignorenulls=True)).alias(c) for c in nodes.columns if c not in ("type", "name")])
@@ -85,7 +86,7 @@ def merge_into(store: GraphStore, items: DataFrame, rels: DataFrame, now: Column
         nodes=merge.upsert_nodes(store.read("nodes"), once.withColumn("embedding", embed(text, embedder)), store.config, now),
         relations=relations.consolidate_into(store.read("relations"), good, embedder, now),
     )
-    return bad
+    return bad, tagged.where("item_id is not null and uid <> cluster")
 
 
 def ingest(spark: SparkSession, docs: DataFrame, store: GraphStore, now: Column, extractor: extract.Extractor | None = None, embedder: Embedder | None = None) -> DataFrame:
@@ -103,7 +104,7 @@ def ingest(spark: SparkSession, docs: DataFrame, store: GraphStore, now: Column,
 
 
 def merge_files(spark: SparkSession, path: str, store: GraphStore, now: Column, pattern: str = "*.json", embedder: Embedder | None = None) -> DataFrame:
-    """Merge extraction batches of a file or folder into the store; returns a row per file: documents, entities, relations, rejected relations, errors.
+    """Merge extraction batches of a file or folder into the store; returns a row per file: documents, entities, those that joined others, relations, rejected relations, errors.
 
     A file that is neither layout counts as an error and changes nothing.
     """
@@ -112,8 +113,9 @@ def merge_files(spark: SparkSession, path: str, store: GraphStore, now: Column,
     try:
         batches = save(sources.read_batches(spark, path, pattern))
         items, rels = numbered(sources.batch_entities(batches)), sources.batch_relations(batches)
-        bad = save(merge_into(store, items, rels, now, save, embedder).select("item_id"))
-        rejected = bad.groupBy("item_id").agg(F.count("*").alias("rejected"))
-        return store.keep_status(quality.batch_statistics(batches.join(rejected, "item_id", "left")))
+        bad, joined = merge_into(store, items, rels, now, save, embedder)
+        each = bad.select("item_id", F.lit(1).alias("rejected"), F.lit(0).alias("merged")).unionByName(joined.select("item_id", F.lit(0).alias("rejected"), F.lit(1).alias("merged")))
+        counts = each.groupBy("item_id").agg(F.sum("rejected").alias("rejected"), F.sum("merged").alias("merged"))
+        return store.keep_status(quality.batch_statistics(batches.join(counts, "item_id", "left")))
     finally:
         save.clean()
