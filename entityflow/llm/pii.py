@@ -429,7 +429,7 @@ def _said(spans: list[tuple[int, int, int]]) -> str:
 
 
 def extract(documents: DataFrame, trusted: Mapping[str, str], text: str = "text", id_col: str = "doc_id", most: int = BLOCK) -> DataFrame:
-    """id, counts of the base kinds, digest of the base spans, all spans and the number added."""
+    """id, counts of the base kinds, digest of the base spans, all spans, the number added and the number of all."""
     rows, shared = _marked(documents.select(col(id_col).cast("long"), col(text)), trusted, 1, most)
 
     def make():
@@ -440,12 +440,12 @@ def extract(documents: DataFrame, trusted: Mapping[str, str], text: str = "text"
             for i, (base, unknown), m in zip(ids, found, _look_up(known, found, marks)):
                 added = _added(unknown, m)
                 n = [sum(k == j for k, _, _ in base) for j in range(4)]
-                rows.append((i, *n, hashlib.sha256(_said(base).encode()).hexdigest(), _said(sorted(base + added)), len(added)))
+                rows.append((i, *n, hashlib.sha256(_said(base).encode()).hexdigest(), _said(sorted(base + added)), len(added), len(base) + len(added)))
             return list(zip(*rows))
 
         return f
 
-    return map_rows(rows, [col(c) for c in rows.columns], make, "id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long").withColumnRenamed("id", id_col)
+    return map_rows(rows, [col(c) for c in rows.columns], make, "id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long, n_spans long").withColumnRenamed("id", id_col)
 
 
 def redacted(text: str | None, trusted: Mapping[str, str]) -> str | None:

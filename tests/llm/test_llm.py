@@ -529,6 +529,7 @@ def test_pii_equals_a_plain_bootstrap(spark):
     want = collections.Counter((i, ",".join(f"{pii.KINDS[k]}:{s}:{e}" for k, s, e in sorted(sum(pii.all_spans(t, best), [])))) for i, t in rows)
     got = pii.extract(docs, trusted).collect()
     assert collections.Counter((x["doc_id"], x["spans"]) for x in got) == want and sum(x["n_added"] for x in got) >= 4
+    assert all(x["n_spans"] == len([y for y in x["spans"].split(",") if y]) for x in got)
 
 
 def test_maxent_counts_and_base(spark):
