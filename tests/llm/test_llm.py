@@ -551,6 +551,22 @@ def test_maxent_counts_and_base(spark):
     assert maxent.language_model_scores(docs.limit(0)).count() == 0
 
 
+def test_maxent_words_are_the_most_frequent(spark, monkeypatch):
+    """All words of the counts above the edge, those of least hash at it; as many as there are where they are few."""
+    r = np.random.default_rng(3)
+    h = np.unique(r.integers(-(2**63), 2**63 - 1, 30_000))
+    c = np.maximum(1, 40_000 // (1 + np.arange(len(h))))
+    counts = spark.createDataFrame(list(zip(h.tolist(), c.tolist())), "h long, c long").repartition(9)
+    for most in (5, 300, 5000, 10**6):
+        monkeypatch.setattr(maxent, "WORDS", most)
+        m = maxent.prepare(counts)
+        rank = sorted(zip((-np.floor(8 * np.log2(c))).tolist(), h.tolist(), c.tolist()))[:most]
+        assert sorted(m.words.h.view(np.int64).tolist()) == sorted(x for _, x, _ in rank) and sorted(m.c.tolist()) == sorted(n for _, _, n in rank)
+        assert (m.total, m.distinct) == (c.sum(), len(h)) and (np.diff(m.c) <= 0).all()
+        got = m.words.find(np.append(m.words.h[::7], np.uint64(12345)))
+        assert got[:-1].tolist() == list(range(0, len(m.c), 7)) and got[-1] == -1
+
+
 def test_maxent_scores_equal_brute_force(spark, odd, monkeypatch):
     """Every position trains; scores equal the plain formula, sum to 1 over all words and do not depend on partitions."""
     monkeypatch.setattr(maxent, "WORDS", 60)
