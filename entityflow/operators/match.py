@@ -62,7 +62,8 @@ def match_edges(keys: DataFrame, strict: bool = False) -> DataFrame:
 
 def resolve(items: DataFrame, rules: list[Rule], save: Callable[[DataFrame], DataFrame], strict: bool = False, scope: str | None = None) -> DataFrame:
     """(uid, cluster): cluster is the smallest uid of the component; items without a match are their own."""
-    labels = connected_components(match_edges(blocking_keys(items, rules, strict, scope), strict), save)
+    keys = save(blocking_keys(items, rules, strict, scope))
+    labels = connected_components(match_edges(keys, strict), save)
     return items.select("uid").join(labels.select(F.col("node").alias("uid"), "component"), "uid", "left").select("uid", F.coalesce("component", "uid").alias("cluster"))
 
 

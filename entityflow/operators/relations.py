@@ -36,20 +36,22 @@ def consolidate(relations: DataFrame) -> DataFrame:
     keys = ["src_type", "src_name", "dst_type", "dst_name", "type"]
     none = F.array().cast("array<string>")
     perms = F.col("permissions") if "permissions" in relations.columns else none
-    columns = {"description": F.array("description"), "relationTag": F.array("relationship_type"), "permissions": F.coalesce(perms, none), "sources": F.coalesce("sources", none)}
-    # the empty value of no list stands for the row itself, so rows without values stay
+    columns = {"description": F.array("description"), "permissions": F.coalesce(perms, none), "sources": F.coalesce("sources", none)}
 
     def marked(i: int, values: Column) -> Column:
-        return F.transform(values, lambda v: F.struct(F.lit(i).alias("f"), v.alias("v")))
+        return F.transform(F.filter(values, lambda v: v != ""), lambda v: F.struct(F.lit(i).alias("f"), v.alias("v")))
 
     def listed(i: int) -> Column:
         return F.transform(F.filter("xs", lambda x: x["f"] == i), lambda x: x["v"])
 
-    tagged = [F.array(F.struct(F.lit(-1).alias("f"), F.lit("").alias("v"))), *[marked(i, c) for i, c in enumerate(columns.values())]]
-    long = relations.select(*key, F.coalesce("strength", F.lit(1.0)).alias("strength"), F.struct("item_id", "rel_no").alias("o"), F.posexplode(F.concat(*tagged)).alias("at", "x")).where("x.v <> '' or x.f = -1")
+    # a row without values stays by a value of no list
+    some = F.concat(*[marked(i, c) for i, c in enumerate(columns.values())])
+    values = F.when(F.size(some) > 0, some).otherwise(F.array(F.struct(F.lit(-1).alias("f"), F.lit("").alias("v"))))
+    long = relations.select(*key, F.coalesce("strength", F.lit(1.0)).alias("strength"), F.struct("item_id", "rel_no").alias("o"), F.posexplode(values).alias("at", "x"))
     once = long.groupBy(*keys, F.col("x.f").alias("f"), F.col("x.v").alias("v")).agg(F.min(F.struct("o", "at")).alias("o"), F.max("strength").alias("strength"))
     got = once.groupBy(*keys).agg(F.max("strength").alias("strength"), F.sort_array(F.collect_list(F.struct("f", "o", "v"))).alias("xs"))
-    return got.select(relation_id(F.col("src_name"), F.col("type"), F.col("dst_name")).alias("relation_id"), *keys, "strength", *[listed(i).alias(f) for i, f in enumerate(columns)])
+    lists = {f: listed(i) for i, f in enumerate(columns)} | {"relationTag": F.when(F.col("type") != "", F.array("type")).otherwise(none)}
+    return got.select(relation_id(F.col("src_name"), F.col("type"), F.col("dst_name")).alias("relation_id"), *keys, "strength", *[lists[f].alias(f) for f in LISTS])
 
 
 def consolidate_into(stored: DataFrame, relations: DataFrame, embedder=None, now: Column | None = None) -> DataFrame:

@@ -76,8 +76,9 @@ def _docs(spark: SparkSession, d: str) -> DataFrame:
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """Documents to entities to clusters: nodes by type."""
-    items = items_of(extracted(_docs(spark, d)).where("error is null"))
-    clusters = match.resolve(items, RULES, _save(spark))
+    save = _save(spark)
+    items = save(items_of(extracted(_docs(spark, d)).where("error is null")))
+    clusters = match.resolve(items, RULES, save)
     heads = items.select("uid", "entity_type").join(clusters, "uid").where("uid = cluster")
     return heads.groupBy(F.col("entity_type").alias("type")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "type")
 
